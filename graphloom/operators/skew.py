@@ -60,3 +60,13 @@ def replicated(
     copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = left.withColumn("_salt", spread(*spread_by, buckets=salts))
     return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+
+
+def small_join(
+    left: DataFrame, right: DataFrame, keys: list[str], spread_by: list[str], how: str = "left", limit: int = 100_000
+) -> DataFrame:
+    """Join with a table that is usually tiny: it is counted, goes to every task up to ``limit``
+    rows, and beyond that is joined by salted copies. Store ``right`` first."""
+    if right.limit(limit + 1).count() <= limit:
+        return left.join(F.broadcast(right), keys, how)
+    return replicated(left, right, keys, spread_by, how)
