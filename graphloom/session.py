@@ -31,13 +31,11 @@ def build_session(master: str | None = None, **settings: str) -> SparkSession:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Give the package to executors, once a session, unless they run in this process.
+    """Give the package to the Python workers of all executors, once a session.
 
     Executors that join later, for instance in the place of lost ones, fetch it too.
     """
     context = spark.sparkContext
-    if context.master.startswith("local[") or context.master == "local":
-        return
     if getattr(context, "_graphloom_shipped", False):
         return
     root = Path(__file__).resolve().parent
