@@ -32,11 +32,12 @@ LEAST_NUMBER_SHARE = 0.8
 #: under which it is an ordinary word.
 NAME_SHARE, ORDINARY_SHARE = 0.5, 0.2
 
-_DOT = r"(?:\.|\s?\[dot\]\s?|\s?\(dot\)\s?|\sdot\s)"
+_SPELLED = r"(?:\s?\[dot\]\s?|\s?\(dot\)\s?|\sdot\s)"
+_DOT = rf"(?:\.|{_SPELLED})"
 _LABEL = r"[a-z0-9](?:[a-z0-9-]*[a-z0-9])?"
 EMAIL = regex.compile(
     rf"(?i)(?<![\w.+@＠-])[a-z0-9][a-z0-9._%+-]*(?:\s?(?:@|＠|\[at\]|\(at\))\s?{_LABEL}(?:{_DOT}{_LABEL})*{_DOT}[a-z]{{2,}}"
-    rf"|\sat\s{_LABEL}(?:\sdot\s{_LABEL})*\sdot\s[a-z]{{2,}})(?![\w-])"
+    rf"|\sat\s{_LABEL}(?:{_SPELLED}{_LABEL})*{_SPELLED}[a-z]{{2,}})(?![\w-])"
 )
 #: International, national with area code in brackets, grouped, and bare with exit code.
 PHONE = regex.compile(
@@ -91,10 +92,10 @@ def cues(text: str, start: int, end: int) -> tuple[str, str, str]:
     return (before[-1] if before else "^"), " ".join(before[-2:]), " ".join(after)
 
 
-def word_cue(text: str, start: int) -> str:
-    """The last word before a number, lower-cased."""
-    words = regex.findall(r"[^\W\d_]+", text[max(0, start - 48) : start])
-    return words[-1].lower() if words else ""
+def word_cues(text: str, start: int) -> tuple[str, str]:
+    """The last word and the last two words before a number, lower-cased."""
+    words = regex.findall(r"[^\W\d_]+", text[max(0, start - 48) : start].lower())
+    return (words[-1] if words else ""), " ".join(words[-2:])
 
 
 def scan_text(doc_id: int, text: str, tokens: Counter, numbers: Counter, forms: Counter) -> Iterator[tuple]:
@@ -111,12 +112,13 @@ def scan_text(doc_id: int, text: str, tokens: Counter, numbers: Counter, forms:
                 yield "sure", doc_id, kind, m.start(), m.end(), m.group(), None, None, None, None, None, None, None
     for m in NUMBER.finditer(text):
         if free(m) and sum(c.isdigit() for c in m.group()) >= LEAST_DIGITS:
-            cue = word_cue(text, m.start())
-            numbers[cue] += 1
-            forms[cue] += NUMBER_FORM.match(m.group()) is not None and IDNUM.match(text, m.start()) is not None
+            formed = IDNUM.match(text, m.start()) is not None
+            for cue in set(word_cues(text, m.start())):
+                numbers[cue] += 1
+                forms[cue] += formed
     for m in IDNUM.finditer(text):
         if free(m):
-            yield "number", doc_id, "idnum", m.start(), m.end(), m.group(), word_cue(text, m.start()), None, None, None, None, None, None
+            yield "number", doc_id, "idnum", m.start(), m.end(), m.group(), *word_cues(text, m.start()), None, None, None, None, None
     for m in CAPITAL.finditer(text):
         if free(m):
             tokens[m.group().lower()] += 1
@@ -153,12 +155,12 @@ def scan(documents: DataFrame) -> DataFrame:
 
 
 def number_cues(scanned: DataFrame) -> DataFrame:
-    """(left1): words after which numbers have a protected form and hardly another."""
+    """(cue): a word, or two, after which numbers have a protected form and hardly another."""
     return (
-        scanned.filter("what = 'cue'").groupBy(F.col("found_text").alias("left1"))
+        scanned.filter("what = 'cue'").groupBy(F.col("found_text").alias("cue"))
         .agg(F.sum("n").alias("n"), F.sum("n_form").alias("n_form"))
-        .filter((F.col("left1") != "") & (F.col("n") >= LEAST_SUPPORT) & (F.col("n_form") >= LEAST_NUMBER_SHARE * F.col("n")))
-        .select("left1", F.lit(True).alias("telling"))
+        .filter((F.col("cue") != "") & (F.col("n") >= LEAST_SUPPORT) & (F.col("n_form") >= LEAST_NUMBER_SHARE * F.col("n")))
+        .select("cue")
     )
 
 
@@ -188,7 +190,7 @@ def name_parts(names: DataFrame) -> DataFrame:
 
 def names(scanned: DataFrame, known_parts: DataFrame) -> DataFrame:
     """The candidates that are names. Accepted are pairs beside a telling cue whose parts are
-    known or not ordinary words, and pairs of two parts that each are names by themselves."""
+    known or not ordinary words, but for one in the place where names have any word, and pairs of two parts that each are names by themselves."""
     parts = materialize(name_parts(known_parts).withColumn("known", F.lit(1)), "parts")
     candidates = scanned.filter("what = 'name'").select("doc_id", "kind", "first", "last", "found_text", "left1", "left2", "right2", "part_a", "part_b")
     for side in ("a", "b"):
@@ -203,7 +205,7 @@ def names(scanned: DataFrame, known_parts: DataFrame) -> DataFrame:
         candidates = small_join(candidates, own, [side], ["doc_id", "first"])
     beside = F.greatest(F.coalesce("bits_left1", F.lit(0.0)), F.coalesce("bits_left2", F.lit(0.0)))
     after = F.coalesce("bits_right2", F.lit(0.0))
-    candidates = candidates.withColumn("cued", (beside > 0) | ((after > 0) & (F.col("known") >= 1)))
+    candidates = candidates.withColumn("led", beside > 0).withColumn("cued", (beside > 0) | ((after > 0) & (F.col("known") >= 1)))
     candidates = materialize(candidates, "cued")
     slots = (
         candidates.filter("cued").select(F.explode(F.array("part_a", "part_b")).alias("part")).groupBy("part").agg(F.count(F.lit(1)).alias("slots"))
@@ -216,9 +218,13 @@ def names(scanned: DataFrame, known_parts: DataFrame) -> DataFrame:
             candidates, shares.select(F.col("part").alias(f"part_{side}"), F.col("share").alias(f"share_{side}")), [f"part_{side}"], ["doc_id", "first"]
         )
     share = {s: F.coalesce(f"share_{s}", F.lit(0.0)) for s in "ab"}
-    plausible = [(F.col(f"known_{s}") == 1) | (share[s] >= ORDINARY_SHARE) for s in "ab"]
-    by_itself = [share[s] >= NAME_SHARE for s in "ab"]
-    accepted = candidates.filter((F.col("cued") & plausible[0] & plausible[1]) | (by_itself[0] & by_itself[1]))
+    sound = {s: (F.col(f"known_{s}") == 1) | (share[s] >= ORDINARY_SHARE) for s in "ab"}
+    by_itself = {s: share[s] >= NAME_SHARE for s in "ab"}
+    # an ordinary word may be the part next to the cue, or the given name after a comma
+    turned = F.col("found_text").contains(", ")
+    accepted = candidates.filter(
+        (F.col("led") & (sound["b"] | (turned & sound["a"]))) | (F.col("cued") & sound["a"] & sound["b"]) | (by_itself["a"] & by_itself["b"])
+    )
     # of overlapping pairs the one beside a cue stands, then the earlier one
     order = Window.partitionBy("doc_id").orderBy("first")
     score = F.col("cued").cast("int")
@@ -242,7 +248,11 @@ def findings(documents: DataFrame, known_parts: DataFrame) -> DataFrame:
     scanned = materialize(scan(documents), "scanned")
     columns = ["doc_id", "kind", "first", "last", "found_text"]
     cue_words = materialize(number_cues(scanned), "number-cues")
-    numbers = small_join(scanned.filter("what = 'number'"), cue_words, ["left1"], ["doc_id", "first"], "inner")
+    numbers = scanned.filter("what = 'number'")
+    for side in ("left1", "left2"):
+        telling = cue_words.select(F.col("cue").alias(side), F.lit(True).alias(f"by_{side}"))
+        numbers = small_join(numbers, telling, [side], ["doc_id", "first"])
+    numbers = numbers.filter("by_left1 OR by_left2")
     return scanned.filter("what = 'sure'").select(*columns).unionByName(numbers.select(*columns)).unionByName(names(scanned, known_parts))
 
 
