@@ -38,7 +38,7 @@ def seconds_text(column: Column | str) -> Column:
 def normal_repo(column: Column | str) -> Column:
     """Repository address without scheme, ``www.``, closing slashes and ``.git``, lower-cased;
     '' for null."""
-    text = F.rtrim(F.lit("/"), F.trim(F.coalesce(_col(column), F.lit(""))))
+    text = F.rtrim(F.trim(F.coalesce(_col(column), F.lit(""))), F.lit("/"))
     text = F.regexp_replace(text, r"^https?://", "")
     text = F.regexp_replace(text, r"^www\.", "")
     return F.lower(F.regexp_replace(text, r"\.git$", ""))
