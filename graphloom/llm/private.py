@@ -10,6 +10,7 @@ number or the name of a node looks alike but its cues tell nothing, so it stays.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -22,8 +23,9 @@ from graphloom.functions.text import strip
 from graphloom.operators.skew import small_join
 from graphloom.sources.shared import materialize
 
-#: A cue must be seen so often with known names, or a number cue so often at all.
-LEAST_SUPPORT = 3
+#: A cue must be seen so often with known names, or a number cue so often at all; one of two words
+#: more often, for there are many more of them.
+LEAST_SUPPORT, LEAST_PAIR_SUPPORT = 3, 5
 #: Bits by which a cue must raise the odds of a known name, and the least share of known names.
 LEAST_BITS, LEAST_NAME_SHARE = 3.0, 0.2
 #: Least share of protected forms among the numbers after a cue.
@@ -40,17 +42,17 @@ EMAIL = regex.compile(
     rf"|\sat\s{_LABEL}(?:{_SPELLED}{_LABEL})*{_SPELLED}[a-z]{{2,}})(?![\w-])"
 )
 #: International, national with area code in brackets, grouped, and bare with exit code.
-PHONE = regex.compile(
+PHONE = re.compile(
     r"(?<![\w.+/@-])(?:\+\d{1,3}[ .-]?(?:\(0\)[ .-]?)?\d{1,5}(?:[ .-]\d{2,6}){1,5}|\(0?\d{2,5}\) ?\d{3,5}[ .-]\d{3,6}"
     r"|\d{3}-\d{3}-\d{4}|\d{3}\.\d{3}\.\d{4}|001\d{10}|07\d{3} \d{6}|0\d{2,4}/\d{5,9}|0\d(?: \d\d){4})(?![\w/]|[.-]\d)"
 )
 #: Forms of official numbers: 3-2-4 and 3 3 3 digits, 11 digits, letter and 8 digits, and two
 #: letters, six digits, one letter.
-NUMBER_FORM = regex.compile(
+NUMBER_FORM = re.compile(
     r"\d{3}-\d{2}-\d{4}|\d{3} \d{3} \d{3}|\d{11}|[A-Z]\d{8}|[A-Z]{2} ?\d{2} ?\d{2} ?\d{2} ?[A-D]"
 )
-IDNUM = regex.compile(rf"(?<![\w.+/@-])(?:{NUMBER_FORM.pattern})(?!\w|[./@-]\w)")
-NUMBER = regex.compile(r"(?<![\w.+/@-])(?:[A-Z]{1,2} ?)?\d+(?:[-./ ]\d+)*(?: ?[A-D])?(?!\w)")
+IDNUM = re.compile(rf"(?<![\w.+/@-])(?:{NUMBER_FORM.pattern})(?!\w|[./@-]\w)")
+NUMBER = re.compile(r"(?<![\w.+/@-])(?:[A-Z]{1,2} ?)?\d+(?:[-./ ]\d+)*(?: ?[A-D])?(?!\w)")
 LEAST_DIGITS = 6
 
 _CAP = r"\p{Lu}[\p{Ll}ß]+"
@@ -66,9 +68,14 @@ ADDRESS = regex.compile(
     rf"|(?:P\.? ?O\.? Box|Postfach|Apartado|BP) \d{{1,6}}(?:{_NEXT}{_CODE}?{_TOWN})?)"
 )
 _PART = r"(?:\p{Lu}[\p{Ll}]+(?:[-'’]\p{Lu}[\p{Ll}]+)*|\p{Lu}{3,}(?:[-'’]\p{Lu}{2,})*)"
-NAME = regex.compile(rf"(?<![\w@.+-])({_PART})(?: (?:\p{{Lu}}\. )?|, )({_PART})(?![\p{{Latin}}\d_@+-])")
 CAPITAL = regex.compile(rf"(?<![\w@.+-]){_PART}(?![\p{{Latin}}\d_@+-])")
-TOKEN = regex.compile(r"\w+|[^\w\s]|\n")
+#: What stands between the two parts of a name: a blank, a comma, or an initial.
+BETWEEN = regex.compile(r" (?:\p{Lu}\. )?|, ")
+#: The sign of a mail address.
+AT_SIGN = regex.compile(r"(?i)[@＠]|[\[(]at[\])]|(?<=\s)at(?=\s[\w-]+(?:\s?[\[(]dot[\])]|\sdot\s))")
+_LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
+TOKEN = re.compile(r"\w+|[^\w\s]|\n")
+WORD = re.compile(r"[^\W\d_]+")
 
 FOUND = (
     "what string, doc_id bigint, kind string, first int, last int, found_text string, left1 string, left2 string, "
@@ -93,42 +100,66 @@ def cues(text: str, start: int, end: int) -> tuple[str, str, str]:
 
 
 def word_cues(text: str, start: int) -> tuple[str, str]:
-    """The last word and the last two words before a number, lower-cased."""
-    words = regex.findall(r"[^\W\d_]+", text[max(0, start - 48) : start].lower())
-    return (words[-1] if words else ""), " ".join(words[-2:])
+    """The last word before a number and, if a blank or hyphen is all that parts them, the last
+    two, lower-cased; '' for none."""
+    words = list(WORD.finditer(text[max(0, start - 48) : start].lower()))
+    if not words:
+        return "", ""
+    last = words[-1].group()
+    pair = len(words) > 1 and words[-1].start() - words[-2].end() == 1 and words[-1].string[words[-2].end()] in " -"
+    return last, f"{words[-2].group()} {last}" if pair else ""
+
+
+def emails(text: str) -> Iterator[tuple[int, int]]:
+    """Places of mail addresses: from each sign back over the local part, then matched as a whole."""
+    done = 0
+    for sign in AT_SIGN.finditer(text):
+        start = sign.start()
+        start -= start > 0 and text[start - 1].isspace()
+        while start > done and text[start - 1] in _LOCAL:
+            start -= 1
+        m = EMAIL.match(text, start)
+        if m is not None and m.end() > sign.end():
+            done = m.end()
+            yield m.span()
 
 
 def scan_text(doc_id: int, text: str, tokens: Counter, numbers: Counter, forms: Counter) -> Iterator[tuple]:
     """Candidates of one text as rows of FOUND; counts capital words and numbers on the way."""
-    taken = [False] * (len(text) + 1)
-
-    def free(m) -> bool:
-        return not any(taken[m.start() : m.end()])
-
-    for kind, pattern in (("email", EMAIL), ("address", ADDRESS), ("phone", PHONE)):
-        for m in pattern.finditer(text):
-            if free(m):
-                taken[m.start() : m.end()] = [True] * (m.end() - m.start())
-                yield "sure", doc_id, kind, m.start(), m.end(), m.group(), None, None, None, None, None, None, None
+    taken = bytearray(len(text))
+
+    def free(start: int, end: int) -> bool:
+        return not any(taken[start:end])
+
+    sure = [("email", *span) for span in emails(text)]
+    sure += [("address", *m.span()) for m in ADDRESS.finditer(text)]
+    sure += [("phone", *m.span()) for m in PHONE.finditer(text)]
+    for kind, start, end in sure:
+        if free(start, end):
+            taken[start:end] = b"\1" * (end - start)
+            yield "sure", doc_id, kind, start, end, text[start:end], None, None, None, None, None, None, None
     for m in NUMBER.finditer(text):
-        if free(m) and sum(c.isdigit() for c in m.group()) >= LEAST_DIGITS:
-            formed = IDNUM.match(text, m.start()) is not None
-            for cue in set(word_cues(text, m.start())):
+        if m.end() - m.start() >= LEAST_DIGITS and free(*m.span()) and sum(map(str.isdigit, m.group())) >= LEAST_DIGITS:
+            formed = IDNUM.match(text, m.start())
+            beside = word_cues(text, m.start())
+            for cue in beside:
                 numbers[cue] += 1
-                forms[cue] += formed
-    for m in IDNUM.finditer(text):
-        if free(m):
-            yield "number", doc_id, "idnum", m.start(), m.end(), m.group(), *word_cues(text, m.start()), None, None, None, None, None
+                forms[cue] += formed is not None
+            if formed is not None:
+                yield "number", doc_id, "idnum", *formed.span(), formed.group(), *beside, None, None, None, None, None
+    before = None
     for m in CAPITAL.finditer(text):
-        if free(m):
-            tokens[m.group().lower()] += 1
-    for m in NAME.finditer(text, overlapped=True):
-        if free(m):
-            left1, left2, right2 = cues(text, m.start(), m.end())
+        if not free(*m.span()):
+            before = None
+            continue
+        tokens[m.group().lower()] += 1
+        if before is not None and BETWEEN.fullmatch(text, before.end(), m.start()):
+            start, end = before.start(), m.end()
+            left1, left2, right2 = cues(text, start, end)
             yield (
-                "name", doc_id, "name", m.start(), m.end(), m.group(), left1, left2, right2,
-                m.group(1).lower(), m.group(2).lower(), None, None,
+                "name", doc_id, "name", start, end, text[start:end], left1, left2, right2, before.group().lower(), m.group().lower(), None, None,
             )
+        before = m
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,10 +187,11 @@ def scan(documents: DataFrame) -> DataFrame:
 
 def number_cues(scanned: DataFrame) -> DataFrame:
     """(cue): a word, or two, after which numbers have a protected form and hardly another."""
+    least = F.when(F.col("cue").contains(" "), LEAST_PAIR_SUPPORT).otherwise(LEAST_SUPPORT)
     return (
         scanned.filter("what = 'cue'").groupBy(F.col("found_text").alias("cue"))
         .agg(F.sum("n").alias("n"), F.sum("n_form").alias("n_form"))
-        .filter((F.col("cue") != "") & (F.col("n") >= LEAST_SUPPORT) & (F.col("n_form") >= LEAST_NUMBER_SHARE * F.col("n")))
+        .filter((F.col("cue") != "") & (F.col("n") >= least) & (F.col("n_form") >= LEAST_NUMBER_SHARE * F.col("n")))
         .select("cue")
     )
 
