@@ -11,7 +11,7 @@ import json
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -180,8 +180,7 @@ class Lake:
         found = {}
         for name, spec in TABLES.items():
             if exists(self.spark, self._at(name)):
-                actual = self.spark.read.parquet(self._at(name))
-                found[name] = drifted(actual.select(*[c for c in actual.columns if c not in ("_x",)]), spec.schema)
+                found[name] = drifted(self.spark.read.parquet(self._at(name)), spec.schema)
         return {k: v for k, v in found.items() if v}
 
     def load(self, lines: DataFrame, documents: DataFrame) -> dict:
@@ -193,10 +192,11 @@ class Lake:
         rows = {}
         for name, df in tables.items():
             spec = TABLES[name]
-            stored = materialize(df, f"load-{name}")
-            writer = (stored.sortWithinPartitions(*spec.sort_by) if spec.sort_by else stored).write.mode("append")
+            counted = Observation()
+            sized = df.observe(counted, F.count(F.lit(1)).alias("n"))
+            writer = (sized.sortWithinPartitions(*spec.partition_by, *spec.sort_by) if spec.sort_by else sized).write.mode("append")
             (writer.partitionBy(*spec.partition_by) if spec.partition_by else writer).parquet(self._at(name))
-            rows[name] = stored.count()
+            rows[name] = counted.get["n"]
         keys = lines.select("manifest_key").distinct().withColumn("versions", F.lit(self._versions()))
         keys.coalesce(1).write.mode("append").parquet(f"{self.path}/consumed")
         bad = failures(derived, lines)

@@ -19,7 +19,7 @@ def manifest_stream(spark: SparkSession, root: str, files_per_batch: int = 1000)
     return (
         spark.readStream.schema(MANIFEST).option("maxFileAge", NO_AGE).option("maxFilesPerTrigger", files_per_batch)
         .option("pathGlobFilter", "*.jsonl.gz").option("recursiveFileLookup", "true").json(f"{root.rstrip('/')}/raw")
-        .select("*", F.regexp_extract("_metadata.file_path", r"(raw/.*)$", 1).alias("manifest_key"), F.monotonically_increasing_id().alias("line"))
+        .select("*", F.regexp_extract("_metadata.file_path", r"(raw/.*)$", 1).alias("manifest_key"))
     )
 
 
@@ -30,7 +30,7 @@ def run_available(lake: Lake, root: str, documents: DataFrame, checkpoint: str,
 
     def load(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
-            results.append(lake.load(batch, documents))
+            results.append(lake.load(batch.withColumn("line", F.monotonically_increasing_id()), documents))
 
     query = (
         manifest_stream(lake.spark, root, files_per_batch).writeStream.foreachBatch(load)
