@@ -10,6 +10,7 @@ number or the name of a node looks alike but its cues tell nothing, so it stays.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -26,8 +27,9 @@ from graphloom.sources.shared import materialize
 #: A cue must be seen so often with known names, or a number cue so often at all; one of two words
 #: more often, for there are many more of them.
 LEAST_SUPPORT, LEAST_PAIR_SUPPORT = 3, 5
-#: Bits by which a cue must raise the odds of a known name, and the least share of known names.
-LEAST_BITS, LEAST_NAME_SHARE = 3.0, 0.2
+#: Part of the bits that certainty would give by which a cue must reveal a known name, and the
+#: least share of known names.
+LEAST_INFORMATION, LEAST_NAME_SHARE = 0.5, 0.2
 #: Least share of protected forms among the numbers after a cue.
 LEAST_NUMBER_SHARE = 0.8
 #: Share of a word's occurrences beside name cues from which it is a name part by itself, and
@@ -211,7 +213,7 @@ def name_cues(candidates: DataFrame) -> DataFrame:
     bits = F.log2(F.col("k") / F.col("n") / share)
     return (
         counted.filter(F.col("k") >= LEAST_SUPPORT).withColumn("bits", bits)
-        .filter((F.col("bits") >= LEAST_BITS) & (F.col("k") >= LEAST_NAME_SHARE * F.col("n"))).select("side", "cue", "bits")
+        .filter((F.col("bits") >= LEAST_INFORMATION * math.log2(1 / share)) & (F.col("k") >= LEAST_NAME_SHARE * F.col("n"))).select("side", "cue", "bits")
     )
 
 
