@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from graphloom.functions.jsontext import clean, decode_object, fields, kind, plain, value_text
 from graphloom.functions.text import strip
+from graphloom.operators.skew import small_join
 from graphloom.sources.shared import materialize
 
 MONTH = r"/(\d{4}-\d{2})/"
@@ -109,7 +110,7 @@ def renames(flat: DataFrame, differing: DataFrame) -> DataFrame:
     values in every pair of an earlier and a later row of one capture and workflow that hold
     both, and at least one such pair.
 
-    All values of a record in a month are first reduced to their least and greatest; all pairs
+    ``differing`` should be stored. All values of a record in a month are first reduced to their least and greatest; all pairs
     agree just when those four are one value. So repeated rows add no pairs.
     """
     def side(drift: str, month: str, name: str) -> DataFrame:
@@ -118,7 +119,7 @@ def renames(flat: DataFrame, differing: DataFrame) -> DataFrame:
             "source", "month", "capture_id", "workflow_id", F.explode("fields").alias("f")
         ).filter(F.col("f.value").isNotNull()).select("source", "month", "capture_id", "workflow_id", "f.field", "f.value")
         return (
-            values.join(wanted, ["source", "month", "field"])
+            small_join(values, wanted, ["source", "month", "field"], ["capture_id"], "inner")
             .groupBy("source", "step", "capture_id", "workflow_id", F.col("field").alias(f"{name}_field"))
             .agg(F.min("value").alias(f"{name}_least"), F.max("value").alias(f"{name}_most"))
         )

@@ -1,8 +1,9 @@
 """Streaks in ordered request logs: sticky latches, self-clearing backoff, dry pages.
 
 Three classes of outcome: a refusal counts up, a success starts anew, anything else does
-neither. A host's log is one window partition; ``compact`` shortens it first where a host may
-have a large part of all rows.
+neither. A host's log may be cut into slices of time: each is one task's work, and what a
+streak carries from slice to slice is worked out on one row a slice. So a host with a third
+of all requests is no single task.
 """
 
 from __future__ import annotations
@@ -29,23 +30,38 @@ def transient(status: Column) -> Column:
     return status >= 500
 
 
-def streaks(log: DataFrame, host: str, order: list[str], counts: Column, resets: Column) -> DataFrame:
+def streaks(log: DataFrame, host: str, order: list[str], counts: Column, resets: Column, slices: Column | None = None) -> DataFrame:
     """Rows of ``log`` that count, with ``streak``: how many of them came since the last reset.
-    Rows with a null outcome neither count nor reset."""
-    own = Window.partitionBy(host).orderBy(*order)
-    upto = own.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    marked = log.withColumns({"_counts": F.coalesce(counts, F.lit(False)), "_resets": F.coalesce(resets, F.lit(False))})
+    Rows with a null outcome neither count nor reset. ``slices`` must not fall where ``order``
+    rises, as the hour of its time does; without it a host is one slice."""
+    key = [host, "_slice"]
+    upto = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    marked = log.withColumns({
+        "_counts": F.coalesce(counts, F.lit(False)), "_resets": F.coalesce(resets, F.lit(False)), "_slice": F.lit(0) if slices is None else slices,
+    })
     runs = marked.filter("_counts OR _resets").withColumn("_run", F.sum(F.col("_resets").cast("long")).over(upto))
-    in_run = Window.partitionBy(host, "_run").orderBy(*order)
-    return runs.filter("_counts").withColumn("streak", F.row_number().over(in_run)).drop("_counts", "_resets", "_run")
-
-
-def latches(log: DataFrame, host: str, order: list[str], counts: Column, resets: Column, threshold: int = LATCH_AT) -> DataFrame:
+    in_run = Window.partitionBy(*key, "_run").orderBy(*order)
+    local = runs.filter("_counts").withColumn("streak", F.row_number().over(in_run))
+    if slices is None:
+        return local.drop("_counts", "_resets", "_run", "_slice")
+    # a slice hands on the streak it ends with; one without a reset adds it to what it was handed
+    ends = runs.groupBy(*key, "_run").agg(F.count_if("_counts").alias("c")).groupBy(*key).agg(F.max_by("c", "_run").alias("tail"), F.max("_run").alias("resets"))
+    by_slice = Window.partitionBy(host).orderBy("_slice")
+    chained = ends.withColumn("_chain", F.sum((F.col("resets") > 0).cast("int")).over(by_slice.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    in_chain = Window.partitionBy(host, "_chain").orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    handed = chained.withColumn("_end", F.sum("tail").over(in_chain)).select(*key, F.coalesce(F.lag("_end").over(by_slice), F.lit(0)).alias("_carry"))
+    whole = F.col("streak") + F.when(F.col("_run") == 0, F.col("_carry")).otherwise(F.lit(0))
+    return local.join(handed, key).withColumn("streak", whole).drop("_counts", "_resets", "_run", "_slice", "_carry")
+
+
+def latches(
+    log: DataFrame, host: str, order: list[str], counts: Column, resets: Column, threshold: int = LATCH_AT, slices: Column | None = None
+) -> DataFrame:
     """The first row of each host at which a streak reaches the threshold. A latch is sticky: later
     successes do not take it back."""
-    reached = streaks(log, host, order, counts, resets).filter(F.col("streak") >= threshold)
-    first = Window.partitionBy(host).orderBy(*order)
-    return reached.withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n")
+    reached = streaks(log, host, order, counts, resets, slices).filter(F.col("streak") >= threshold)
+    others = [c for c in reached.columns if c != host]
+    return reached.groupBy(host).agg(F.min_by(F.struct(*others), F.struct(*order)).alias("_first")).select(host, "_first.*").select(*reached.columns)
 
 
 def active_latches(latched: DataFrame, cleared: DataFrame, host: str, at: str, cleared_at: str) -> DataFrame:
@@ -54,9 +70,12 @@ def active_latches(latched: DataFrame, cleared: DataFrame, host: str, at: str, c
     return latched.join(last, host, "left").filter(F.col("_cleared").isNull() | (F.col("_cleared") < F.col(at))).drop("_cleared")
 
 
-def backoffs(log: DataFrame, host: str, order: list[str], counts: Column, resets: Column, threshold: int = BACKOFF_AT, base: int = BACKOFF_BASE) -> DataFrame:
+def backoffs(
+    log: DataFrame, host: str, order: list[str], counts: Column, resets: Column, threshold: int = BACKOFF_AT, base: int = BACKOFF_BASE,
+    slices: Column | None = None,
+) -> DataFrame:
     """Streak rows with ``seconds``: how long the host is left alone after each."""
-    return streaks(log, host, order, counts, resets).withColumn("seconds", backoff_seconds(F.col("streak"), threshold, base))
+    return streaks(log, host, order, counts, resets, slices).withColumn("seconds", backoff_seconds(F.col("streak"), threshold, base))
 
 
 def gate(hosts: DataFrame, latched: DataFrame, waiting: DataFrame, host: str, until: str, now: Column) -> DataFrame:

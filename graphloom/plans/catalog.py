@@ -336,6 +336,10 @@ runs AS (SELECT *, sum(good::INT) OVER (PARTITION BY user_id ORDER BY ts, event_
 streaks AS (SELECT user_id, ts, event_id, row_number() OVER (PARTITION BY user_id, run ORDER BY ts, event_id) AS streak FROM runs WHERE bad)"""
 
 
+def _hour() -> Column:
+    return F.date_trunc("hour", "ts")
+
+
 def _outcomes() -> tuple[Column, Column]:
     return F.col("event_type") == "error", F.col("event_type").isin("click", "purchase")
 
@@ -346,7 +350,7 @@ def refusal_latch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The refusal that latches each host (W5, R6). Stand-in: users as hosts, errors as refusals,
     clicks and purchases as successes."""
     log = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type")
-    latched = health.latches(log, "user_id", ["ts", "event_id"], *_outcomes())
+    latched = health.latches(log, "user_id", ["ts", "event_id"], *_outcomes(), slices=_hour())
     return latched.select("user_id", "ts", "event_id", F.col("streak").cast("long").alias("streak"))
 
 
@@ -355,7 +359,7 @@ SELECT user_id, event_id, streak, CASE WHEN streak < 3 THEN 0 ELSE least(900 * p
 def transient_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Streaks of failures and the delay after each (W7, R7). Stand-in as for the latch."""
     log = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type")
-    rows = health.backoffs(log, "user_id", ["ts", "event_id"], *_outcomes())
+    rows = health.backoffs(log, "user_id", ["ts", "event_id"], *_outcomes(), slices=_hour())
     return rows.select("user_id", "event_id", F.col("streak").cast("long").alias("streak"), F.col("seconds").cast("long").alias("seconds"))
 
 
@@ -368,7 +372,7 @@ def host_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether a host may be asked (R8, P16): a latch comes before a backoff. Stand-in as for the
     latch; two errors in a row within the last week count as a backoff."""
     events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type")
-    rows = materialize(health.streaks(events, "user_id", ["ts", "event_id"], *_outcomes()), "streaks")
+    rows = materialize(health.streaks(events, "user_id", ["ts", "event_id"], *_outcomes(), slices=_hour()), "streaks")
     now = events.agg(F.max("ts").alias("ts")).head()["ts"]
     return health.gate(
         events, rows.filter("streak >= 3"), rows.filter("streak >= 2"), "user_id", "ts", F.lit(now) - F.make_interval(days=F.lit(7))

@@ -56,3 +56,18 @@ def test_dry_pages(spark):
     assert read(0, 3, 0, 0, 5) == [0, 1, 2, 3]
     assert read(1, 0, 1, 0) == [0, 1, 2, 3]
     assert read(0, 0, 0) == [0, 1]
+
+
+def test_slices_do_not_change_streaks(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = [("h" if rng.random() < 0.7 else "g", n, rng.choice([403, 403, 403, 403, 200, 404])) for n in range(300)]
+    df = spark.createDataFrame(rows, "host string, n int, status int")
+    status = F.col("status")
+    args = ("host", ["n"], health.refused(status), health.succeeded(status))
+    plain = {(r["n"], r["streak"]) for r in health.streaks(df, *args).collect()}
+    for width in (1, 2, 7, 50, 1000):
+        assert {(r["n"], r["streak"]) for r in health.streaks(df, *args, slices=F.floor(F.col("n") / width)).collect()} == plain
+    first = {tuple(r) for r in health.latches(df, *args, slices=F.floor(F.col("n") / 5)).collect()}
+    assert first == {tuple(r) for r in health.latches(df, *args).collect()} and len(first) == 2
