@@ -6,6 +6,8 @@ it; the bytes of a new value that lie in chunks held earlier, over all its bytes
 coverage, and the decision is a threshold on that. The table of a batch is appended, so a
 batch is checked without reading older batches again; checking all batches of a history in
 one go against the first holders gives the same answer, as the tests show.
+
+A value goes by its digest once it is cut: chunk rows do not carry it, however long it is.
 """
 
 from __future__ import annotations
@@ -15,14 +17,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.sources.shared import exists
+from graphloom.operators.skew import lookup
+from graphloom.sources.shared import exists, materialize
 
 WINDOW = 32
 LEAST, MASK_BITS, MOST = 8, 4, 256
-CHUNKS = "kind string, value string, batch_no int, chunk binary, chunk_bytes int, value_bytes int"
+CHUNKS = "kind string, value_id string, batch_no int, chunk binary, chunk_bytes int, value_bytes int"
+KEY = ["kind", "value_id", "batch_no"]
 
 #: Random 32-bit words by byte value, from a fixed seed.
 GEAR = np.frombuffer(b"".join(hashlib.sha256(b"gear %d" % i).digest()[:4] for i in range(256)), dtype="<u4")
@@ -60,7 +64,7 @@ def boundaries(value: bytes, least: int = LEAST, mask_bits: int = MASK_BITS, mos
 def _chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         at, chunks, sizes, totals = [], [], [], []
-        for row, (kind, value) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+        for row, (kind, value) in enumerate(zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), strict=True)):
             data = value.encode("utf-8", "surrogatepass")
             start = 0
             for end in boundaries(data):
@@ -69,18 +73,22 @@ def _chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 sizes.append(end - start)
                 totals.append(len(data))
                 start = end
-        rest = batch.take(pa.array(at, pa.int64()))
+        rest = batch.select([0, 1, 2]).take(pa.array(at, pa.int64()))
         yield pa.RecordBatch.from_arrays(
             [*rest.columns, pa.array(chunks, pa.binary()), pa.array(sizes, pa.int32()), pa.array(totals, pa.int32())],
-            names=["kind", "value", "batch_no", "chunk", "chunk_bytes", "value_bytes"],
+            names=[*KEY, "chunk", "chunk_bytes", "value_bytes"],
         )
 
 
+def value_id(column: str = "value") -> Column:
+    return F.sha2(F.col(column), 256)
+
+
 def chunked(values: DataFrame) -> DataFrame:
     """Chunks of (kind, value, batch_no). Chunks of different kinds never meet; null and empty
     values have none."""
     return (
-        values.select("kind", "value", F.col("batch_no").cast("int").alias("batch_no"))
+        values.select("kind", value_id().alias("value_id"), F.col("batch_no").cast("int").alias("batch_no"), "value")
         .filter(F.col("value").isNotNull() & (F.col("value") != "") & F.col("batch_no").isNotNull())
         .mapInArrow(_chunk, CHUNKS)
     )
@@ -92,16 +100,18 @@ def first_holders(chunks: DataFrame) -> DataFrame:
 
 
 def covered(chunks: DataFrame, table: DataFrame, threshold: float = 1.0) -> DataFrame:
-    """(kind, value, batch_no) whose bytes lie, by at least ``threshold`` of them, in chunks of
+    """(kind, value_id, batch_no) whose bytes lie, by at least ``threshold`` of them, in chunks of
     which the table has a batch smaller than their own. A value and batch must come once in
-    ``chunks``; a chunk then has at most as many rows as there are values and batches."""
+    ``chunks``, which should be stored. Chunks that very many values share are spread over
+    tasks by their number."""
     shared = F.sum(F.when(F.col("first_batch") < F.col("batch_no"), F.col("chunk_bytes")).otherwise(F.lit(0)))
+    weighted = materialize(chunks.groupBy("chunk").agg(F.count(F.lit(1)).alias("n")).join(table, "chunk"), "weighted")
     return (
-        chunks.join(table, "chunk", "left")
-        .groupBy("kind", "value", "batch_no")
+        lookup(chunks, weighted, ["chunk"], "n", KEY, "left")
+        .groupBy(*KEY)
         .agg(shared.alias("shared_bytes"), F.first("value_bytes").alias("value_bytes"))
         .filter(F.col("shared_bytes") >= F.lit(threshold) * F.col("value_bytes"))
-        .select("kind", "value", "batch_no")
+        .select(*KEY)
     )
 
 
@@ -114,14 +124,14 @@ def append(spark: SparkSession, path: str, values: DataFrame) -> None:
 def screen(spark: SparkSession, path: str, values: DataFrame, threshold: float = 1.0) -> DataFrame:
     """Values of a new batch that are covered by what the stored table holds from earlier
     batches; none if nothing is stored yet."""
-    chunks = chunked(values.distinct())
+    chunks = materialize(chunked(values.select("kind", "value", "batch_no").distinct()), "chunks")
     if not exists(spark, path):
-        return chunks.select("kind", "value", "batch_no").limit(0)
+        return chunks.select(*KEY).limit(0)
     table = spark.read.schema("chunk binary, first_batch int").parquet(path).groupBy("chunk").agg(F.min("first_batch").alias("first_batch"))
     return covered(chunks, table, threshold)
 
 
 def held_before(candidates: DataFrame, values: DataFrame) -> DataFrame:
     """Exact check: candidates of which an equal value of the same kind stands in a smaller batch."""
-    first = values.groupBy("kind", "value").agg(F.min("batch_no").alias("held_since"))
-    return candidates.join(first, ["kind", "value"]).filter(F.col("held_since") < F.col("batch_no")).drop("held_since")
+    first = values.groupBy("kind", value_id().alias("value_id")).agg(F.min("batch_no").alias("held_since"))
+    return candidates.join(first, ["kind", "value_id"]).filter(F.col("held_since") < F.col("batch_no")).drop("held_since")

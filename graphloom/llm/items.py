@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.functions.text import squeeze, strip
+from graphloom.operators.skew import small_join
+from graphloom.sources.shared import materialize
 
 
 def pack_ids(packs: DataFrame) -> DataFrame:
@@ -32,7 +34,7 @@ def pack_rows(workflows: DataFrame, packs: DataFrame, key: str) -> DataFrame:
         .filter(F.col("repo") != "").distinct()
     )
     return (
-        spelled.join(pack_ids(packs), "repo", "left")
+        small_join(spelled, materialize(pack_ids(packs), "pack-ids"), ["repo"], [key])
         .select(key, F.coalesce("pack_id", "repo").alias("item")).distinct()
     )
 

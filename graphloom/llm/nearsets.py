@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.operators.skew import spread
+from graphloom.operators.skew import lookup
 from graphloom.sources.shared import materialize
 
 WORDS = 4  # of 64 bits a bitmap
@@ -38,9 +38,9 @@ def classes(rows: DataFrame, key: str, measure: str, least_items: int = 6) -> tu
     """From distinct (key, item, measure) rows: the classes (class_id, items, n, measure) of keys
     with at least ``least_items`` items, and the members (key, class_id). Items are numbers in
     order of rarity. Keys with a null measure are left out, as are those with fewer items."""
-    ranked = rows.groupBy("item").agg(F.count(F.lit(1)).alias("df"))
+    ranked = materialize(rows.groupBy("item").agg(F.count(F.lit(1)).alias("df")), "ranked")
     keyed = (
-        rows.join(ranked, "item")
+        lookup(rows, ranked.withColumn("n", F.col("df")), ["item"], "n", [key])
         .groupBy(key, measure)
         .agg(F.array_sort(F.collect_set(F.struct("df", "item"))).alias("ordered"))
         .filter((F.size("ordered") >= least_items) & F.col(measure).isNotNull())

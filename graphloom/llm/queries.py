@@ -43,12 +43,13 @@ def batch_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of derived_workflows that repeat something that an earlier batch already held."""
-    records = materialize(batch_records(spark, sf_dir), "records")
+    records = materialize(batch_records(spark, sf_dir).withColumn("value_id", history.value_id()), "records")
     values = records.groupBy("kind", "value", "batch_no").agg(F.count(F.lit(1)).alias("n"))
     chunks = materialize(history.chunked(values), "chunks")
     candidates = history.covered(chunks, history.first_holders(chunks))
-    held = materialize(history.held_before(candidates, values.select("kind", "value", "batch_no")).join(values, ["kind", "value", "batch_no"]), "held")
-    found = lookup(records, held, ["kind", "value", "batch_no"], "n", ["workflow_id"], "left_semi")
+    weights = values.select("kind", history.value_id().alias("value_id"), "batch_no", "n")
+    held = materialize(history.held_before(candidates, values).join(weights, history.KEY), "held")
+    found = lookup(records, held, history.KEY, "n", ["workflow_id"], "left_semi")
     return found.select("batch_no", "workflow_id").distinct()
 
 
