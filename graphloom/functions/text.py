@@ -44,6 +44,14 @@ def normal_repo(column: Column | str) -> Column:
     return F.lower(F.regexp_replace(text, r"\.git$", ""))
 
 
+def total_size(content_range: Column | str, content_length: Column | str, status: Column | str) -> Column:
+    """Size of a whole file from its response headers: what stands behind the slash of a range, or
+    the length of a full answer; null if neither tells."""
+    ranged = F.regexp_extract(F.coalesce(_col(content_range), F.lit("")), r"/(\d+)\s*$", 1)
+    whole = F.when(_col(status) == 200, _col(content_length))
+    return F.coalesce(F.nullif(ranged, F.lit("")), whole).try_cast("bigint")
+
+
 def error_text(column: Column | str, limit: int = 500) -> Column:
     """The first ``limit`` characters of an error; null for ''."""
     return F.nullif(F.left(_col(column), F.lit(limit)), F.lit(""))

@@ -13,9 +13,9 @@ CANARY_SHARE = 0.02
 
 
 def wanted(tool_ids: Column, has_meta: Column, mode: str) -> Column:
-    """``all``; ``comfy``: marked by the tool; ``complete``: marked or with generation data."""
+    """``all``; ``tagged``: marked by the tool; ``complete``: marked or with generation data."""
     marked = F.coalesce(F.array_contains(tool_ids, GRAPH_TOOL), F.lit(False))
-    return {"all": F.lit(True), "comfy": marked, "complete": marked | F.coalesce(has_meta, F.lit(False))}[mode]
+    return {"all": F.lit(True), "tagged": marked, "complete": marked | F.coalesce(has_meta, F.lit(False))}[mode]
 
 
 def worth_fetching(url: Column, share: float = CANARY_SHARE) -> Column:

@@ -18,6 +18,7 @@ from graphloom.functions.text import blob_key, host, normal_repo, seconds_text
 from graphloom.operators import attribution, health, listing, queue
 from graphloom.operators.shred import graphs
 from graphloom.operators.state import absent, forget, latest, update, upsert
+from graphloom.plans.ingest import derive_documents
 from graphloom.plans.tables import table
 from graphloom.functions.jsontext import decode_object
 from graphloom.sources.manifests import put_blobs
@@ -507,7 +508,7 @@ def prefilter_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
         "source_artifact_id", F.try_variant_get("v", "$.hasMeta", "boolean").alias("has_meta"), F.try_variant_get("v", "$.toolIds", "array<int>").alias("tools")
     )
     return flags.groupBy("source_artifact_id").agg(
-        F.bool_or(F.coalesce("has_meta", F.lit(False))).alias("has_meta"), F.bool_or(listing.wanted(F.col("tools"), F.col("has_meta"), "comfy")).alias("marked")
+        F.bool_or(F.coalesce("has_meta", F.lit(False))).alias("has_meta"), F.bool_or(listing.wanted(F.col("tools"), F.col("has_meta"), "tagged")).alias("marked")
     )
 
 
@@ -562,23 +563,39 @@ SELECT l_orderkey::VARCHAR AS workflow, count(*) AS node_count, count(*) FILTER
   count(*) FILTER (WHERE l_linestatus = 'F') AS links, count(*) FILTER (WHERE l_linestatus <> 'F') AS literals, 'api' AS format FROM l GROUP BY 1"""
 
 
-@query(API_SQL)
-def api_graph_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prompt documents made from orders (a line is a node, its part's type the class; lines of
-    status F are fed by a link), run through the derivation and counted (G1, G3, G6, A11)."""
+def _prompt_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(l_orderkey, document): a line is a node, its part's type the class; lines of status F are
+    fed by a link."""
     lines = _order_lines(spark, sf_dir)
     fed = F.when(F.col("l_linestatus") == "F", F.lit('["1",0]')).otherwise(F.lit('"a.bin"'))
     entry = F.concat(
         F.lit('"'), F.col("l_partkey").cast("string"), F.lit("-"), F.col("l_linestatus"), F.col("l_returnflag"), F.lit('":{"class_type":"'), F.col("p_type"),
         F.lit('","inputs":{"ckpt_name":'), fed, F.lit("}}"),
     )
-    documents = lines.groupBy("l_orderkey").agg(F.concat(F.lit("{"), F.array_join(F.array_sort(F.collect_list(entry)), ","), F.lit("}")).alias("document"))
+    return lines.groupBy("l_orderkey").agg(F.concat(F.lit("{"), F.array_join(F.array_sort(F.collect_list(entry)), ","), F.lit("}")).alias("document"))
+
+
+@query(API_SQL)
+def api_graph_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompt documents made from orders, run through the derivation and counted."""
+    documents = _prompt_documents(spark, sf_dir)
     derived = documents.select(F.col("l_orderkey").cast("string").alias("key"), "document").mapInArrow(_derive_text, GRAPH)
     return derived.select(
         F.col("capture_id").alias("workflow"), "node_count", "link_count", F.col("links").cast("long").alias("links"), F.col("literals").cast("long").alias("literals"), "format"
     )
 
 
+@query("""
+WITH l AS (SELECT DISTINCT l_orderkey, l_partkey, l_linestatus, l_returnflag, p_type FROM lineitem JOIN part ON p_partkey = l_partkey)
+SELECT p_type AS class_type, 'ckpt_name' AS input, CASE WHEN l_linestatus = 'F' THEN 'link' ELSE 'literal' END AS binding, count(*) AS n FROM l GROUP BY 1, 3""")
+def binding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each loader input holds a literal or is fed by a link (A11), over the documents of
+    the round trip."""
+    documents = _prompt_documents(spark, sf_dir).select(F.col("l_orderkey").cast("string").alias("sha256"), "document")
+    bindings = derive_documents(documents).select(F.explode("bindings").alias("b")).select("b.*")
+    return bindings.groupBy("class_type", "input", "binding").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("""
 WITH l AS (SELECT DISTINCT l_orderkey, l_partkey, l_linestatus, l_returnflag FROM lineitem JOIN part ON p_partkey = l_partkey)
 SELECT l_orderkey::VARCHAR AS workflow, count(*) AS node_count, count(*) FILTER (WHERE l_returnflag = 'R') AS link_count,

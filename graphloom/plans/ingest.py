@@ -206,13 +206,14 @@ class Lake:
             "skipped_examples": [tuple(r) for r in bad.orderBy("source_artifact_id").limit(10).collect()],
         }
 
-    def ingest(self, root: str, limit: int | None = None) -> dict:
+    def ingest(self, root: str, limit: int | None = None, documents: DataFrame | None = None) -> dict:
         """Load the manifests below ``root`` that are not consumed; ``limit`` takes the first of them
-        by name and leaves the rest for the next run."""
+        by name and leaves the rest for the next run. ``documents`` (sha256, document) are taken
+        in place of the blobs below ``root``."""
         new = store.list_manifests(self.spark, root).join(self.consumed(), "manifest_key", "left_anti").orderBy("manifest_key")
         found = new.count()
         keys = [r["manifest_key"] for r in (new.limit(limit) if limit else new).collect()]  # names of one tick's files
         if not keys:
             return {"manifests": 0, "records": 0, "rows": {}, "skipped": 0, "skipped_reasons": [], "remaining": 0}
-        result = self.load(store.read_manifests(self.spark, root, keys), store.read_blobs(self.spark, root))
+        result = self.load(store.read_manifests(self.spark, root, keys), store.read_blobs(self.spark, root) if documents is None else documents)
         return {"manifests": len(keys), "remaining": found - len(keys)} | result

@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a batch of very long texts must fit a Python worker
+    "spark.sql.execution.arrow.maxBytesPerBatch": "33554432",
 }
 
 

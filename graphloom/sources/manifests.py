@@ -15,15 +15,19 @@ from graphloom.operators.state import absent
 from graphloom.schemas import MANIFEST
 
 
+#: Names of manifests: those of other writers, and those that Spark gives to JSON lines.
+MANIFEST_FILES = "*.{jsonl,json}.gz"
+
+
 def list_manifests(spark: SparkSession, root: str) -> DataFrame:
-    """(manifest_key) of all ``raw/**/*.jsonl.gz`` below a root, which may be any file system URI.
+    """(manifest_key) of all manifests in ``raw/`` below a root, which may be any file system URI.
     Only names are listed, no file is read. No manifest is an empty table."""
     jvm = spark.sparkContext._jvm
     base = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/raw")
     system = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not system.exists(base):
         return spark.createDataFrame([], "manifest_key string")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl.gz").load(str(base.toString()))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", MANIFEST_FILES).load(str(base.toString()))
     return files.select(F.regexp_extract("path", r"(raw/.*)$", 1).alias("manifest_key"))
 
 
@@ -33,11 +37,16 @@ def read_manifests(spark: SparkSession, root: str, keys: list[str] | None = None
     paths = [f"{root.rstrip('/')}/{k}" for k in keys] if keys is not None else [f"{root.rstrip('/')}/raw"]
     if not paths:
         return spark.createDataFrame([], MANIFEST).select("*", F.lit("").alias("manifest_key"), F.lit(0).cast("long").alias("line"))
-    reader = spark.read.schema(MANIFEST).option("mode", "DROPMALFORMED").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl.gz")
+    reader = spark.read.schema(MANIFEST).option("mode", "DROPMALFORMED").option("recursiveFileLookup", "true").option("pathGlobFilter", MANIFEST_FILES)
     lines = reader.json(paths)
     return lines.select("*", F.regexp_extract("_metadata.file_path", r"(raw/.*)$", 1).alias("manifest_key"), F.monotonically_increasing_id().alias("line"))
 
 
+def register_raw_view(spark: SparkSession, root: str, name: str = "raw_manifests") -> None:
+    """A view over the manifests where they lie, for SQL without loading them."""
+    read_manifests(spark, root).createOrReplaceTempView(name)
+
+
 def write_manifest(records: DataFrame, path: str, per_file: int = 25) -> None:
     """Append gzip JSON lines, at most ``per_file`` a file; an empty table writes no line."""
     records.write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", per_file).json(path)

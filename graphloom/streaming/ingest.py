@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from graphloom.plans.ingest import Lake
 from graphloom.schemas import MANIFEST
+from graphloom.sources.manifests import MANIFEST_FILES
 
 NO_AGE = "36500d"
 
@@ -18,7 +19,7 @@ NO_AGE = "36500d"
 def manifest_stream(spark: SparkSession, root: str, files_per_batch: int = 1000) -> DataFrame:
     return (
         spark.readStream.schema(MANIFEST).option("maxFileAge", NO_AGE).option("maxFilesPerTrigger", files_per_batch)
-        .option("pathGlobFilter", "*.jsonl.gz").option("recursiveFileLookup", "true").json(f"{root.rstrip('/')}/raw")
+        .option("pathGlobFilter", MANIFEST_FILES).option("recursiveFileLookup", "true").json(f"{root.rstrip('/')}/raw")
         .select("*", F.regexp_extract("_metadata.file_path", r"(raw/.*)$", 1).alias("manifest_key"))
     )
 

@@ -36,3 +36,9 @@ def test_keys_and_errors(spark):
 def test_backoff(spark):
     df = spark.createDataFrame([(n,) for n in (1, 2, 3, 4, 5, 60)], "n int")
     assert [r[0] for r in df.select(text.backoff_seconds(F.col("n"))).collect()] == [0, 0, 900, 1800, 3600, 86400]
+
+
+def test_total_size(spark):
+    rows = [("bytes 0-9/1234", None, 206), (None, "77", 200), (None, "77", 206), ("bytes 0-9/*", None, 206), ("junk", "x", 200)]
+    df = spark.createDataFrame(rows, "r string, l string, s int")
+    assert [r[0] for r in df.select(text.total_size("r", "l", "s")).collect()] == [1234, 77, None, None, None]
