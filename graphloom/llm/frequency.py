@@ -1,17 +1,20 @@
 """P7. Frequency of every term, kept up to date by signed changes.
 
-A change set holds, for each (term, record), how many occurrences were added or taken away.
-Merged into the stored record counts it tells which records gained or lost the term as a
-whole; summed by term, these give the changes of the two counts of the term. So a run touches
-only the terms and records that changed; counting from nothing is the change from an empty
-store.
+A change set holds, for each (term, record), how many occurrences were added or taken away. It
+is merged into counts stored in hash buckets; only the buckets it touches are replaced, each
+as a whole. Counting from nothing is the change from an empty store.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from graphloom.operators.skew import spread
+from graphloom.sources.shared import exists, materialize
+
+STORED = "field string, term string, record string, occurrences bigint, records bigint, epoch bigint, bucket int"
+
 
 def changes(added: DataFrame | None = None, deleted: DataFrame | None = None) -> DataFrame:
     """(field, term, record, n): occurrences added less occurrences deleted, zeros left out. A
@@ -21,40 +24,61 @@ def changes(added: DataFrame | None = None, deleted: DataFrame | None = None) ->
     return both.groupBy("field", "term", "record").agg(F.sum("n").alias("n")).filter("n <> 0")
 
 
-def merge_records(held: DataFrame | None, delta: DataFrame) -> DataFrame:
-    """(field, term, record, before, after): held and new occurrences of what ``delta`` touches.
-    Both sides are unique by (field, term, record), so no key is hot."""
-    if held is None:
-        return delta.select("field", "term", "record", F.lit(0).cast("long").alias("before"), F.col("n").alias("after"))
-    old = held.select("field", "term", "record", F.col("n").alias("before"))
-    return (
-        delta.join(old, ["field", "term", "record"], "left")
-        .withColumn("before", F.coalesce("before", F.lit(0)))
-        .select("field", "term", "record", "before", (F.col("before") + F.col("n")).alias("after"))
-    )
-
-
-def term_changes(merged: DataFrame) -> DataFrame:
-    """(field, term, occurrences, records): signed changes by term, summed in each task first."""
-    return merged.groupBy("field", "term").agg(
-        F.sum(F.col("after") - F.col("before")).alias("occurrences"),
-        F.sum((F.col("after") > 0).cast("long") - (F.col("before") > 0).cast("long")).alias("records"),
-    )
-
-
-def merge_counts(counts: DataFrame | None, delta: DataFrame) -> DataFrame:
-    """Stored counts of terms with changes merged in; terms that are gone are left out."""
-    both = delta if counts is None else counts.unionByName(delta)
-    return (
-        both.groupBy("field", "term")
-        .agg(F.sum("occurrences").alias("occurrences"), F.sum("records").alias("records"))
-        .filter((F.col("records") > 0) | (F.col("occurrences") > 0))
-    )
-
-
-def merge_held(held: DataFrame, delta: DataFrame) -> DataFrame:
-    """Stored record counts with changes merged in."""
-    return held.unionByName(delta).groupBy("field", "term", "record").agg(F.sum("n").alias("n")).filter("n > 0")
+class TermStore:
+    """Counts kept at a path, in hash buckets of (field, term, record); a hot term is in all of
+    them. A bucket holds the occurrences by record and, made from those, its part of the counts
+    of each term, so both change together when the bucket is replaced. ``buckets`` must stay the
+    same over the life of a store."""
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 32):
+        self.spark, self.path, self.buckets = spark, path, buckets
+
+    def _rows(self) -> DataFrame:
+        if not exists(self.spark, self.path):
+            return self.spark.createDataFrame([], STORED)
+        return self.spark.read.schema(STORED).parquet(self.path)
+
+    def apply(self, epoch: int, delta: DataFrame) -> None:
+        """Merge one change set; epochs rise. Only buckets that the change set touches are read
+        and replaced. If a run dies some buckets have the new epoch and some not: applying the
+        same epoch again does only the rest, so nothing counts twice. An empty change set
+        changes nothing; occurrences that sum to nothing or less are dropped."""
+        own = delta.select("field", "term", "record", "n").withColumn("bucket", spread("field", "term", "record", buckets=self.buckets))
+        own = materialize(own, "delta")
+        rows = self._rows()
+        reached = rows.groupBy("bucket").agg(F.max("epoch").alias("reached"))
+        # at most `buckets` rows, whatever the data
+        todo = own.select("bucket").distinct().join(reached, "bucket", "left").filter(F.col("reached").isNull() | (F.col("reached") < epoch)).select("bucket")
+        todo = F.broadcast(materialize(todo, "touched"))
+        held = rows.filter("record IS NOT NULL").select("field", "term", "record", F.col("occurrences").alias("n"), "bucket")
+        records = (
+            held.join(todo, "bucket", "left_semi").unionByName(own.join(todo, "bucket", "left_semi"))
+            .groupBy("field", "term", "record", "bucket").agg(F.sum("n").alias("occurrences")).filter("occurrences > 0")
+        )
+        records = materialize(records, "records")
+        terms = records.groupBy("bucket", "field", "term").agg(F.sum("occurrences").alias("occurrences"), F.count(F.lit(1)).alias("records"))
+        none = F.lit(None).cast("string")
+        everything = (
+            records.withColumn("records", F.lit(1).cast("long"))
+            .unionByName(terms.withColumn("record", none))
+            # a bucket that lost all its rows is replaced by a row without a term
+            .unionByName(todo.select("bucket", none.alias("field"), none.alias("term"), none.alias("record"), F.lit(0).cast("long").alias("occurrences"), F.lit(0).cast("long").alias("records")))
+            .withColumn("epoch", F.lit(epoch).cast("long"))
+        )
+        columns = [c.split()[0] for c in STORED.split(", ")]
+        (
+            everything.select(*columns).repartition("bucket").write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(self.path)
+        )
+
+    def counts(self) -> DataFrame:
+        """(field, term, occurrences, records) of every term there is."""
+        parts = self._rows().filter("record IS NULL AND term IS NOT NULL")
+        return parts.groupBy("field", "term").agg(F.sum("occurrences").alias("occurrences"), F.sum("records").alias("records"))
+
+    def records(self) -> DataFrame:
+        """(field, term, record, n): occurrences by record."""
+        return self._rows().filter("record IS NOT NULL").select("field", "term", "record", F.col("occurrences").alias("n"))
 
 
 def marked(counts: DataFrame, totals: dict[str, tuple[int, float]], rare_under: int = 3) -> DataFrame:

@@ -9,7 +9,7 @@ from graphloom.functions.text import normal_hash
 from graphloom.llm import frequency, history, items, leak, mixing, nearsets, private, together
 from graphloom.operators.skew import lookup, replicated
 from graphloom.plans.tables import table
-from graphloom.sources.shared import materialize
+from graphloom.sources.shared import materialize, scratch_path
 
 
 def _workflow_count(spark: SparkSession, sf_dir: str) -> int:
@@ -177,8 +177,9 @@ def _term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     terms = items.class_terms(table(spark, sf_dir, "derived_workflow_nodes")).unionByName(
         items.tag_terms(table(spark, sf_dir, "raw_artifacts"))
     )
-    delta = frequency.term_changes(frequency.merge_records(None, frequency.changes(added=terms)))
-    counts = frequency.merge_counts(None, delta)
+    store = frequency.TermStore(spark, scratch_path(spark, "terms"))
+    store.apply(1, frequency.changes(added=terms))
+    counts = store.counts()
     captures = table(spark, sf_dir, "raw_artifacts").select(F.count_distinct("capture_id").alias("n")).head()["n"]
     return frequency.marked(counts, {"class_type": (_workflow_count(spark, sf_dir), 1 / 4), "tags": (captures, 1 / 20)})
 

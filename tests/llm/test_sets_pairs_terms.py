@@ -6,7 +6,8 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from graphloom.llm import frequency, items, nearsets, together
-from graphloom.sources.shared import materialize
+from graphloom.operators.skew import spread
+from graphloom.sources.shared import materialize, scratch_path
 
 
 def near_sets(spark, sets):
@@ -110,21 +111,42 @@ def counts(rows):
 def test_signed_changes_equal_counting_anew(spark):
     rng = random.Random(2)
     make = lambda n: [(f"t{rng.randrange(8)}", f"r{rng.randrange(20)}") for _ in range(n)]
-    first, gone = make(80), None
+    first = make(80)
     gone = [x for x in first if x[1] in ("r1", "r2", "r3")]
     added = make(15) + [("t1", "r1")]
     after = [x for x in first if x not in gone] + added
-    df = lambda rows: spark.createDataFrame([("f", t, r) for t, r in rows], "field string, term string, record string")
-    held = materialize(frequency.changes(added=df(first)), "held")
-    stored = materialize(frequency.merge_counts(None, frequency.term_changes(frequency.merge_records(None, held))), "counts")
-    delta = materialize(frequency.changes(df(added), df(gone)), "delta")
-    merged = frequency.merge_counts(stored, frequency.term_changes(frequency.merge_records(held, delta)))
-    got = {r["term"]: (r["occurrences"], r["records"]) for r in merged.collect()}
-    assert got == counts(after)
-    again = frequency.merge_held(held, delta)
-    assert {(r["term"], r["record"]): r["n"] for r in again.collect()} == dict(Counter(after))
-    marks = {r["term"]: r["mark"] for r in frequency.marked(merged, {"f": (20, 0.5)}).collect()}
+    df = lambda rows: spark.createDataFrame([("f", t, r) for t, r in rows], "field string, term string, record string").withColumn("bucket", F.lit("clash"))
+    store = frequency.TermStore(spark, scratch_path(spark, "terms"), 4)
+    read = lambda: {r["term"]: (r["occurrences"], r["records"]) for r in store.counts().collect()}
+    store.apply(1, frequency.changes(added=df(first)))
+    assert read() == counts(first)
+    delta = frequency.changes(df(added), df(gone))
+    # a run that replaced some buckets and died
+    half = delta.filter(spread("field", "term", "record", buckets=4) < 2)
+    store.apply(2, half)
+    store.apply(2, delta)
+    store.apply(2, delta)
+    assert read() == counts(after)
+    assert {(r["term"], r["record"]): r["n"] for r in store.records().collect()} == dict(Counter(after))
+    marks = {r["term"]: r["mark"] for r in frequency.marked(store.counts(), {"f": (20, 0.5)}).collect()}
     assert all(marks[t] == ("common" if n > 10 else "rare" if n < 3 else "") for t, (_, n) in counts(after).items())
+    store.apply(3, frequency.changes(deleted=df(after)))
+    assert read() == {} and store.records().count() == 0
+    store.apply(4, delta.limit(0))
+    assert read() == {}
+
+
+def test_untouched_buckets_are_left_alone(spark):
+    import os
+
+    path = scratch_path(spark, "terms")
+    store = frequency.TermStore(spark, path, 8)
+    df = lambda rows: spark.createDataFrame([("f", *r) for r in rows], "field string, term string, record string")
+    store.apply(1, frequency.changes(added=df([(f"t{i}", f"r{i}") for i in range(100)])))
+    files = lambda: {os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
+    before = files()
+    store.apply(2, frequency.changes(added=df([("t1", "r1")])))
+    assert len(before - files()) == 1
 
 
 def test_items_of_dirty_rows(spark):
