@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import struct
-import tempfile
 import zlib
 from collections.abc import Iterator
 
@@ -205,8 +204,8 @@ def health_by_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def recorded_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing pages through the Python data source (S8 to S14, P17). A fixture of three streams
-    is recorded first: the source reads pages, not test tables."""
-    root = tempfile.mkdtemp(prefix="graphloom-pages-")
+    is recorded first, in the shared folder: the source reads pages, not test tables."""
+    root = scratch_path(spark, "pages").removeprefix("file://")
     for stream in range(3):
         pages = [
             [

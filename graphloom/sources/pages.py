@@ -61,7 +61,7 @@ class PageReader(DataSourceReader):
 
 class RecordedPages(DataSource):
     """``path`` is a folder with one folder a stream (the tip, or a user); page ``0.json`` comes
-    first and each page names the next. Bodies are route responses, flattened or plain."""
+    first and each page names the next. The folder must be mounted on all executors. Bodies are route responses, flattened or plain."""
 
     @classmethod
     def name(cls) -> str:
