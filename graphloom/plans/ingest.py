@@ -57,9 +57,22 @@ def payload_rows(lines: DataFrame) -> DataFrame:
     return lines.filter(F.col("payload_kind").isin("workflow", "prompt") & (F.coalesce("payload_sha256", F.lit("")) != ""))
 
 
+def carried_rows(lines: DataFrame) -> DataFrame:
+    """Lines once for each document in their ``documents``, which then stands in payload_sha256;
+    as they are where that is empty or not given."""
+    if "documents" not in lines.columns:
+        return lines
+    own = F.when(F.size("documents") > 0, F.col("documents")).otherwise(F.array("payload_sha256"))
+    return lines.withColumn("payload_sha256", F.explode(own)).drop("documents")
+
+
 def raw_rows(lines: DataFrame, derived: DataFrame) -> DataFrame:
     """Rows of raw_artifacts, one a line, with defaults in place of nulls and the workflow of the
-    payload, '' if there is none."""
+    payload, '' if there is none; of several documents of a line the first."""
+    if "documents" in lines.columns:
+        lines = lines.withColumns({"payload_ref": F.col("payload_sha256"), "payload_sha256": F.coalesce(F.try_element_at("documents", F.lit(1)), "payload_sha256")})
+    else:
+        lines = lines.withColumn("payload_ref", F.col("payload_sha256"))
     at = lambda c: F.try_to_timestamp(seconds_text(c), F.lit("yyyy-MM-dd HH:mm:ss"))
     known = derived.filter("format <> 'unknown'").select(F.col("sha256").alias("_sha"), F.col("workflow_id").alias("_workflow"))
     joined = lines.join(known, (F.col("payload_sha256") == F.col("_sha")) & F.col("payload_kind").isin("workflow", "prompt"), "left")
@@ -72,7 +85,7 @@ def raw_rows(lines: DataFrame, derived: DataFrame) -> DataFrame:
         F.coalesce("stats", F.create_map().cast("map<string,bigint>")).alias("stats"), F.coalesce("source_meta", F.lit("{}")).alias("source_meta"),
         number("http_status", "int"), text("content_type"), text("container"), "total_size", number("bytes_fetched", "long"), "needed_bytes",
         F.coalesce("windows", F.array().cast("array<bigint>")).alias("windows"), F.coalesce("from_tail", F.lit(False)).alias("from_tail"),
-        F.coalesce("payload_kind", F.lit("none")).alias("payload_kind"), F.coalesce("payload_sha256", F.lit("")).alias("payload_ref"),
+        F.coalesce("payload_kind", F.lit("none")).alias("payload_kind"), F.coalesce("payload_ref", F.lit("")).alias("payload_ref"),
         number("payload_bytes", "long"), F.coalesce("_workflow", F.lit("")).alias("workflow_id"),
         F.coalesce(F.date_format(at("crawled_at"), "yyyy-MM"), F.lit("")).alias("yyyymm"),
         F.lit(INGEST_VERSION).cast("long").alias("ingest_version"), "manifest_key", "line",
@@ -184,11 +197,13 @@ class Lake:
         return {k: v for k, v in found.items() if v}
 
     def load(self, lines: DataFrame, documents: DataFrame) -> dict:
-        """Append one batch of manifest lines to all tables, then mark its manifests."""
+        """Append one batch of manifest lines to all tables, then mark its manifests. Lines may have
+        ``documents``, the keys of the documents that each carries; else it is payload_sha256."""
         lines = materialize(lines, "lines")
-        wanted = payload_rows(lines).select(F.col("payload_sha256").alias("sha256")).distinct()
+        carried = carried_rows(lines)
+        wanted = payload_rows(carried).select(F.col("payload_sha256").alias("sha256")).distinct()
         derived = materialize(derive_documents(wanted.join(documents, "sha256", "left"), self.declared), "derived")
-        tables = {"raw_artifacts": raw_rows(lines, derived)} | derived_tables(lines, derived, self.core, self.named, self.repos)
+        tables = {"raw_artifacts": raw_rows(lines, derived)} | derived_tables(carried, derived, self.core, self.named, self.repos)
         rows = {}
         for name, df in tables.items():
             spec = TABLES[name]
@@ -199,7 +214,7 @@ class Lake:
             rows[name] = counted.get["n"]
         keys = lines.select("manifest_key").distinct().withColumn("versions", F.lit(self._versions()))
         keys.coalesce(1).write.mode("append").parquet(f"{self.path}/consumed")
-        bad = failures(derived, lines)
+        bad = failures(derived, carried)
         reasons = bad.groupBy(F.split("error", ":")[0].alias("reason")).agg(F.count(F.lit(1)).alias("n")).orderBy("reason").limit(100).collect()
         return {
             "records": rows["raw_artifacts"], "rows": rows, "skipped": sum(r["n"] for r in reasons), "skipped_reasons": [r["reason"] for r in reasons],

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import struct
 import zlib
@@ -10,12 +11,15 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from graphloom.functions.containers import parse
 from graphloom.functions.jsontext import decode_object
 from graphloom.functions.ranges import LAST_PART, capture_file
+from graphloom.functions.text import normal_hash
 from graphloom.operators.shred import graphs
-from graphloom.plans.ingest import Lake
+from graphloom.operators.skew import small_join
+from graphloom.plans.ingest import Lake, payload_rows
 from graphloom.plans.tables import table
 from graphloom.sources.pages import RecordedPages, write_pages
 from graphloom.sources.shared import materialize, scratch_path
@@ -128,13 +132,23 @@ def container_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- loading ------------------------------------------------------------------------------
 
 
-def _first_graph(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def graph_texts(meta: str | None) -> dict[str, str]:
+    """The text of each graph in a source_meta by its digest."""
+    held = decode_object(meta)
+    found = [json.dumps(graph) for _, _, graph in graphs(held)] if held is not None else []
+    return {hashlib.sha256(text.encode()).hexdigest(): text for text in found}
+
+
+def _own_graphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        wanted = zip(*(batch.column(c).to_pylist() for c in ("payload_kind", "payload_sha256", "source_meta")), strict=True)
+        own = [sorted(graph_texts(meta)) if kind in ("workflow", "prompt") and sha else [] for kind, sha, meta in wanted]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own, pa.list_(pa.string()))], names=[*batch.schema.names, "own"])
+
+
+def _graph_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = []
-        for sha, meta in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            held = decode_object(meta)
-            first = next(graphs(held), None) if held is not None else None
-            out.append((sha, json.dumps(first[2]) if first else None))
+        out = [pair for meta in batch.column(0).to_pylist() for pair in graph_texts(meta).items()]
         columns = zip(*out, strict=True) if out else [[]] * 2
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=["sha256", "document"])
 
@@ -142,13 +156,26 @@ def _first_graph(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def captured_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """raw_artifacts as manifest lines; the capture id and time stand for the place in a file."""
     order = F.xxhash64("capture_id", "crawled_at", "payload_sha256", "title")
-    return table(spark, sf_dir, "raw_artifacts").drop("workflow_id").withColumn("line", order)
+    return carry_graphs(table(spark, sf_dir, "raw_artifacts").drop("workflow_id").withColumn("line", order))
+
+
+def carry_graphs(lines: DataFrame) -> DataFrame:
+    """Lines with ``documents``, the digests of the graphs that each one carries. Stand-in for the
+    blob of its payload: all graphs in its own source_meta; if there is none, the least graph
+    in any capture of the payload. Empty if no capture of the payload has one."""
+    own = StructType([*lines.schema.fields, StructField("own", ArrayType(StringType()))])
+    keyed = materialize(lines.mapInArrow(_own_graphs, own).withColumn("payload", normal_hash("payload_sha256")), "keyed")
+    carriers = payload_rows(keyed)
+    spare = materialize(carriers.filter("size(own) > 0").groupBy("payload").agg(F.min(F.array_min("own")).alias("spare")).filter("payload IS NOT NULL"), "spare")
+    lacks = F.col("payload_kind").isin("workflow", "prompt") & (F.coalesce("payload_sha256", F.lit("")) != "") & (F.size("own") == 0)
+    other = F.when(lacks & F.col("spare").isNotNull(), F.array("spare")).otherwise(F.col("own"))
+    return small_join(keyed, spare, ["payload"], ["capture_id", "crawled_at"]).select(*lines.columns, other.alias("documents"))
 
 
 def captured_documents(lines: DataFrame) -> DataFrame:
-    """(sha256, document): for each payload the first graph in the meta of its greatest line."""
-    held = lines.filter("payload_sha256 <> ''").groupBy(F.col("payload_sha256").alias("sha256")).agg(F.max("source_meta").alias("source_meta"))
-    return held.select("sha256", "source_meta").mapInArrow(_first_graph, "sha256 string, document string")
+    """(sha256, document): every graph in the source_meta of any line that carries a payload, once."""
+    metas = payload_rows(lines).filter("source_meta IS NOT NULL").select("source_meta")
+    return metas.mapInArrow(_graph_texts, "sha256 string, document string").dropDuplicates(["sha256"])
 
 
 def make_lake(spark: SparkSession, sf_dir: str, path: str) -> Lake:
@@ -164,14 +191,15 @@ def lake_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole load (3.1, P7 to P12, K1 to K7, A12): all captures go into all tables; the result
     is the logical rows of the raw table by source."""
     lake = make_lake(spark, sf_dir, scratch_path(spark, "lake"))
-    lines = captured_lines(spark, sf_dir)
+    lines = materialize(captured_lines(spark, sf_dir), "lines")
     lake.load(lines, captured_documents(lines))
     return lake.table("raw_artifacts").groupBy("source").agg(F.count(F.lit(1)).alias("captures"))
 
 
 @query()
 def lake_workflows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The workflow table after a whole load, loaded twice: the second changes no logical row."""
+    """The workflow table after a whole load, loaded twice: the second changes no logical row.
+    Stand-in: the graphs in source_meta as the documents of the payloads, see :func:`carry_graphs`."""
     lake = make_lake(spark, sf_dir, scratch_path(spark, "lake"))
     lines = materialize(captured_lines(spark, sf_dir), "lines")
     documents = materialize(captured_documents(lines), "documents")
