@@ -22,12 +22,19 @@ from graphloom.llm.words import words
 
 #: 1: the word counts, 0: it may be any word. All span 13 words, so 13 equal words always hit.
 MASKS = ("1110110010111", "1101001110011")
+#: Of a stretch of 13 words or more with at most a fifth replaced, one meets each. k replaced words
+#: leave k + 1 runs; for all lengths the longest run has 4 words, but for 15 words of which the
+#: 4th, 8th and 12th are replaced, and there the second mask fits.
+FULL_MASKS = ("1111", "1110111")
+#: Shorter stretches are no finding.
+LEAST_WORDS = 13
 #: Replaced words that an overlap may have for each of its words.
 SUBSTITUTION_SHARE = 0.2
 #: Windows of test items that go to every task at once, about 30 bytes each.
 BLOCK_WINDOWS = 2_000_000
 RESULT = "doc_id bigint, item_id bigint, exact_words int, overlap_words int, substitutions int"
 _CACHE = 500_000
+_HITS = 1_000_000
 
 
 def word_hashes(tokens: list[str], cache: dict[str, int]) -> list[int]:
@@ -58,12 +65,12 @@ def seed_hashes(hashes: np.ndarray, mask: str) -> np.ndarray:
 class ItemIndex:
     """Seed hashes of a block of items, sorted, with the place of each window."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], masks: tuple[str, ...] = MASKS):
         self.ids = [item for item, _ in items]
         cache: dict[str, int] = {}
         self.words = [np.array(word_hashes(words(text), cache), dtype=np.uint64) for _, text in items]
         self.tables = []
-        for mask in MASKS:
+        for mask in masks:
             per = [seed_hashes(w, mask) for w in self.words]
             keys = np.concatenate(per) if per else np.empty(0, dtype=np.uint64)
             owner = np.repeat(np.arange(len(per)), [len(p) for p in per])
@@ -71,14 +78,18 @@ class ItemIndex:
             order = np.argsort(keys, kind="stable")
             self.tables.append((mask, keys[order], owner[order], place[order]))
 
-    def diagonals(self, doc: np.ndarray, at: np.ndarray, keys: np.ndarray, table: int) -> Iterator[tuple[int, int, int]]:
-        """(window of the document batch, item, place in the item) of each hit."""
+    def diagonals(self, at: np.ndarray, keys: np.ndarray, table: int) -> Iterator[np.ndarray]:
+        """(window of the document batch, item, place in the item) of the hits, a bounded number at
+        a time."""
         _, sorted_keys, owner, place = self.tables[table]
         low = np.searchsorted(sorted_keys, keys, "left")
-        high = np.searchsorted(sorted_keys, keys, "right")
-        for hit in np.flatnonzero(high > low):
-            for k in range(low[hit], high[hit]):
-                yield int(at[hit]), int(owner[k]), int(place[k])
+        count = np.searchsorted(sorted_keys, keys, "right") - low
+        hits = np.flatnonzero(count)
+        ends = np.cumsum(count[hits])
+        for part in np.split(hits, np.searchsorted(ends, np.arange(_HITS, ends[-1] if len(ends) else 0, _HITS))):
+            n = count[part]
+            k = np.repeat(low[part], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            yield np.stack([np.repeat(at[part], n), owner[k], place[k]])
 
 
 def overlap(same: np.ndarray, share: float = SUBSTITUTION_SHARE) -> tuple[int, int, int]:
@@ -104,7 +115,7 @@ def _scan(index: ItemIndex, cache: dict[str, int], batch: pa.RecordBatch) -> pa.
     ids, lists = [], []
     for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
         tokens = words(text)
-        if len(tokens) >= len(MASKS[0]):
+        if len(tokens) >= LEAST_WORDS:
             ids.append(doc)
             lists.append(word_hashes(tokens, cache))
     out: list[tuple] = []
@@ -115,22 +126,27 @@ def _scan(index: ItemIndex, cache: dict[str, int], batch: pa.RecordBatch) -> pa.
         owner = np.repeat(np.arange(len(ids)), lengths)
         done: set[tuple[int, int, int]] = set()
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for number, mask in enumerate(MASKS):
+        for number, (mask, *_) in enumerate(index.tables):
             keys = seed_hashes(every, mask)
             inside = owner[: len(keys)] == owner[len(mask) - 1 : len(mask) - 1 + len(keys)]
             at = np.flatnonzero(inside)
-            for window, item, place in index.diagonals(every, at, keys[at], number):
-                doc = int(owner[window])
-                shift = window - int(starts[doc]) - place
-                if (doc, item, shift) in done:
-                    continue
-                done.add((doc, item, shift))
-                own, other = every[starts[doc] : starts[doc + 1]], index.words[item]
-                low, high = max(0, -shift), min(len(other), len(own) - shift)
-                exact, length, changed = overlap(other[low:high] == own[low + shift : high + shift])
-                old = best.get((doc, item), (0, 0, 0))
-                longer = (length, -changed) > (old[1], -old[2])
-                best[doc, item] = (max(exact, old[0]), *((length, changed) if longer else old[1:]))
+            for window, item_of, place in index.diagonals(at, keys[at], number):
+                doc_of = owner[window]
+                for doc, item, shift in np.unique(np.stack([doc_of, item_of, window - starts[doc_of] - place]), axis=1).T.tolist():
+                    if (doc, item, shift) in done:
+                        continue
+                    done.add((doc, item, shift))
+                    own, other = every[starts[doc] : starts[doc + 1]], index.words[item]
+                    low, high = max(0, -shift), min(len(other), len(own) - shift)
+                    same = other[low:high] == own[low + shift : high + shift]
+                    if np.count_nonzero(same) < (1 - SUBSTITUTION_SHARE) * LEAST_WORDS:
+                        continue
+                    exact, length, changed = overlap(same)
+                    if length < LEAST_WORDS:
+                        continue
+                    old = best.get((doc, item), (0, 0, 0))
+                    longer = (length, -changed) > (old[1], -old[2])
+                    best[doc, item] = (max(exact, old[0]), *((length, changed) if longer else old[1:]))
         out = [(ids[doc], index.ids[item], *found) for (doc, item), found in best.items()]
     types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
     columns = zip(*out, strict=True) if out else [[]] * 5
@@ -138,21 +154,22 @@ def _scan(index: ItemIndex, cache: dict[str, int], batch: pa.RecordBatch) -> pa.
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
 
-def overlaps(documents: DataFrame, items: DataFrame, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+def overlaps(documents: DataFrame, items: DataFrame, block_windows: int = BLOCK_WINDOWS, masks: tuple[str, ...] = MASKS) -> DataFrame:
     """(doc_id, item_id, exact_words, overlap_words, substitutions) of each document and item that
-    a seed brings together: longest equal stretch, longest stretch with substitutions, and how
-    many those are. Null, empty and short texts meet nothing. Rows with a null id are left out;
+    a seed brings together: longest equal stretch, longest stretch with substitutions (of at least
+    LEAST_WORDS), and how many those are. FULL_MASKS miss no such stretch; MASKS are cheaper and
+    miss no equal one. Null, empty and short texts meet nothing. Rows with a null id are left out;
     a doc_id or item_id that comes again gives rows for each of its texts."""
     spark = documents.sparkSession
     docs = documents.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     wanted = items.filter(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text")
     # characters bound words, and those windows
-    size = wanted.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).head()["n"] * len(MASKS) // 2
+    size = wanted.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).head()["n"] * len(masks) // 2
     blocks = int(size // block_windows + 1)
     result: DataFrame | None = None
     for block in range(blocks):
         own = wanted if blocks == 1 else wanted.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        index = spark.sparkContext.broadcast(ItemIndex([(r["item_id"], r["text"]) for r in own.collect()]))
+        index = spark.sparkContext.broadcast(ItemIndex([(r["item_id"], r["text"]) for r in own.collect()], masks))
 
         def scan(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             cache: dict[str, int] = {}

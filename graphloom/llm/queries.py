@@ -217,8 +217,8 @@ P7_COUNTS_SQL = P7_BASE + " SELECT field, term, occurrences, records, mark FROM
 # --- p8, p9, p10 ------------------------------------------------------------------------
 
 
-def _overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leak.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+def _overlaps(spark: SparkSession, sf_dir: str, masks: tuple[str, ...] = leak.MASKS) -> DataFrame:
+    return leak.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"), masks=masks)
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,7 +228,7 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p8_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and items that share at least 13 words with at most a fifth of them replaced."""
-    return _overlaps(spark, sf_dir).filter("overlap_words >= 13")
+    return _overlaps(spark, sf_dir, leak.FULL_MASKS).filter("overlap_words >= 13")
 
 
 def _mix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
