@@ -174,6 +174,10 @@ def reshaped(rows: DataFrame, table: str, batch: str, columns: list[str]) -> Dat
     )
 
 
+def _one_type(types: list[str]) -> str:
+    return types[0] if len(types) == 1 else "string"
+
+
 class MigrationPlan:
     """Rename and type rules, chained by month. The rules are a catalogue of changes, not of
     records; more than ``limit`` of them is refused rather than sent to every executor."""
@@ -182,14 +186,21 @@ class MigrationPlan:
         newest = types.withColumn("last", F.max("month").over(Window.partitionBy("source"))).filter(F.col("month") == F.col("last"))
         rules = change_list.filter("drift = 'renamed'").select("source", "step", "old_field", "new_field").limit(limit + 1).collect()
         target = newest.select("source", "field", "types").limit(limit + 1).collect()
-        if max(len(rules), len(target)) > limit:
+        history = types.select("source", "month", "field", "types").limit(limit + 1).collect()
+        if max(len(rules), len(target), len(history)) > limit:
             raise ValueError(f"more than {limit} rules; plan each source by itself")
         self.renames: dict[str, list[tuple[str, str, str]]] = {}
         for r in sorted(rules):
             self.renames.setdefault(r["source"], []).append((r["step"], r["old_field"], r["new_field"]))
         self.target: dict[str, dict[str, str]] = {}
         for r in target:
-            self.target.setdefault(r["source"], {})[r["field"]] = r["types"][0] if len(r["types"]) == 1 else "string"
+            self.target.setdefault(r["source"], {})[r["field"]] = _one_type(r["types"])
+        # the types of a field by month; the end of this chain is what its values are cast to
+        self.casts: dict[str, dict[str, str]] = {}
+        for r in sorted(history, key=lambda r: r["month"]):
+            self.casts.setdefault(r["source"], {})[r["field"]] = _one_type(r["types"])
+        #: The default rule of each field of the newest schema: present, without a value.
+        self.defaults: dict[str, dict[str, str | None]] = {source: dict.fromkeys(fields) for source, fields in self.target.items()}
 
     def names(self, source: str, month: str) -> dict[str, str]:
         """Newest name by the name that a record of ``month`` has."""
@@ -222,9 +233,10 @@ def cast_text(value, to: str) -> tuple[str, bool]:
 def unify(raw: DataFrame, plan: MigrationPlan, defaults: dict[str, str] | None = None) -> DataFrame:
     """Every readable record under the newest names and types of its source: fields as a map
     from name to text, with the number of renames, casts and defaults applied to it. A name
-    that the newest month does not have stays as it is; a name it has and the record has not
-    gets ``defaults[name]`` if given there. Unreadable records are left out."""
-    fallback = dict(defaults or {})
+    that the newest month does not have stays and has the type of the last month with it; a
+    name it has and the record has not gets its value in ``defaults``, if given there, or else,
+    without ``defaults``, by the plan: null. Unreadable records are left out."""
+    fallback = None if defaults is None else dict(defaults)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[tuple[str, str], dict[str, str]] = {}
@@ -241,16 +253,16 @@ def unify(raw: DataFrame, plan: MigrationPlan, defaults: dict[str, str] | None =
                     continue
                 if (source, month) not in known:
                     known[source, month] = plan.names(source, month)
-                names, target = known[source, month], plan.target.get(source, {})
+                names, target, casting = known[source, month], plan.target.get(source, {}), plan.casts.get(source, {})
                 out: dict[str, str] = {}
                 moved = casts = 0
                 for field, value in fields(obj):
                     field = clean(field)
                     name = names.get(field, field)
                     moved += name != field
-                    out[name], changed = cast_text(value, target.get(name, kind(value)))
+                    out[name], changed = cast_text(value, casting.get(name, kind(value)))
                     casts += changed
-                filled = {k: v for k, v in fallback.items() if k in target and k not in out}
+                filled = {k: v for k, v in (plan.defaults.get(source, {}) if fallback is None else fallback).items() if k in target and k not in out}
                 rows.append((source, month, capture, list((out | filled).items()), moved, casts, len(filled)))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
@@ -260,3 +272,28 @@ def unify(raw: DataFrame, plan: MigrationPlan, defaults: dict[str, str] | None =
         .filter((F.col("month") != "") & F.col("source").isNotNull() & F.col("source_meta").isNotNull())
         .mapInArrow(route, UNIFIED)
     )
+
+
+#: A version: v or not, one to three numbers, and what stands behind them (such as ``-rc.1``).
+VERSION = r"^[vV]?([0-9]+)(?:\.([0-9]+))?(?:\.([0-9]+))?([-+].*)?$"
+
+
+def version_text(column: Column | str) -> Column:
+    """A version as three numbers without v, missing ones 0; a suffix such as ``-rc.1`` is part of
+    the value and stays. What is no version stays as it is, stripped; null for blank."""
+    bare = strip(column)
+    part = lambda n: F.regexp_extract(bare, VERSION, n)
+    number = lambda n: F.when(part(n) == "", "0").otherwise(part(n))
+    return F.when(bare.rlike(VERSION), F.concat(F.concat_ws(".", number(1), number(2), number(3)), part(4))).when(bare != "", bare)
+
+
+def unify_versions(rows: DataFrame, table: str, batch: str, key: str, columns: list[str]) -> DataFrame:
+    """All rows of a table with ``columns`` in one notation, in the form of :func:`unify`: month is
+    the batch in two digits, capture_id the row's key; blanks get the default null."""
+    new = {c: version_text(c) for c in columns}
+    count = lambda conditions: sum((c.cast("int") for c in conditions), F.lit(0))
+    return rows.select(
+        F.lit(table).alias("source"), F.lpad(F.col(batch).cast("string"), 2, "0").alias("month"), F.col(key).alias("capture_id"),
+        F.create_map(*[x for c in columns for x in (F.lit(c), new[c])]).alias("fields"), F.lit(0).alias("renamed"),
+        count(F.coalesce(new[c] != F.col(c), F.lit(False)) for c in columns).alias("cast"), count(new[c].isNull() for c in columns).alias("defaulted"),
+    )

@@ -15,11 +15,14 @@ def _flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(drift.flatten(table(spark, sf_dir, "raw_artifacts")), "flat")
 
 
+VERSION_COLUMNS = ["frontend_version", "graph_version"]
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every change of source_meta between neighbouring months of a source, and of the notation
     of the two version columns between neighbouring batches."""
     versions = drift.reshaped(
-        table(spark, sf_dir, "derived_workflows"), "derived_workflows", "batch_no", ["frontend_version", "graph_version"]
+        table(spark, sf_dir, "derived_workflows"), "derived_workflows", "batch_no", VERSION_COLUMNS
     )
     return drift.changes(_flat(spark, sf_dir)).unionByName(versions)
 
@@ -31,11 +34,13 @@ def p2_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """source_meta of all readable records under the newest names and types of their source."""
+    """source_meta of all readable records under the newest names and types of their source, and
+    the version columns of derived_workflows in one notation (month: batch, capture_id: workflow_id)."""
     raw = table(spark, sf_dir, "raw_artifacts")
     flat = _flat(spark, sf_dir)
     types = materialize(drift.field_types(flat), "types")
-    return drift.unify(raw, drift.MigrationPlan(drift.changes(flat), types))
+    versions = drift.unify_versions(table(spark, sf_dir, "derived_workflows"), "derived_workflows", "batch_no", "workflow_id", VERSION_COLUMNS)
+    return drift.unify(raw, drift.MigrationPlan(drift.changes(flat), types)).unionByName(versions)
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
