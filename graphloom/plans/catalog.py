@@ -14,13 +14,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from graphloom.functions.graph import CANVAS_CLASSES, derive
+from graphloom.functions.jsontext import decode_object
 from graphloom.functions.text import blob_key, host, normal_repo, seconds_text
 from graphloom.operators import attribution, health, listing, queue
 from graphloom.operators.shred import graphs
 from graphloom.operators.state import absent, forget, latest, update, upsert
 from graphloom.plans.ingest import derive_documents
 from graphloom.plans.tables import table
-from graphloom.functions.jsontext import decode_object
 from graphloom.sources.manifests import put_blobs
 from graphloom.sources.shared import materialize
 
@@ -501,8 +501,13 @@ SELECT source_artifact_id, bool_or(coalesce(CAST(json_extract(source_meta, '$.ha
   bool_or(list_contains(coalesce(CAST(json_extract(source_meta, '$.toolIds') AS BIGINT[]), []), 86)) AS marked
 FROM (SELECT * FROM raw_artifacts WHERE source = 'galleryhub' AND left(source_meta, 1) = '{' AND json_valid(source_meta)) GROUP BY 1""")
 def prefilter_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Why an item is wanted (P2, P3), from the listing kept with each capture."""
+    """Why an item is wanted (P2, P3), from the listing kept with each capture. As in its SQL only
+    records whose text begins with an object; :func:`prefilter_flags_decoded` has all of them."""
     rows = table(spark, sf_dir, "raw_artifacts").filter("source = 'galleryhub' AND left(source_meta, 1) = '{'")
+    return _flags(rows)
+
+
+def _flags(rows: DataFrame) -> DataFrame:
     meta = rows.select("source_artifact_id", F.try_parse_json("source_meta").alias("v")).filter("v IS NOT NULL")
     flags = meta.select(
         "source_artifact_id", F.try_variant_get("v", "$.hasMeta", "boolean").alias("has_meta"), F.try_variant_get("v", "$.toolIds", "array<int>").alias("tools")
@@ -512,6 +517,21 @@ def prefilter_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _listing_fields(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [decode_object(meta) for meta in batch.column(1).to_pylist()]
+        texts = [None if obj is None else json.dumps({k: obj[k] for k in ("hasMeta", "toolIds") if k in obj}) for obj in found]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["source_artifact_id", "source_meta"])
+
+
+@query()
+def prefilter_flags_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flags of :func:`prefilter_flags` from every readable record, also those whose JSON is
+    encoded twice or has leading blanks."""
+    rows = table(spark, sf_dir, "raw_artifacts").filter("source = 'galleryhub' AND source_meta IS NOT NULL").select("source_artifact_id", "source_meta")
+    return _flags(rows.mapInArrow(_listing_fields, "source_artifact_id string, source_meta string"))
+
+
 @query(r"""
 SELECT capture_id, manifest_key, crawled_at, map_keys(stats) IS NOT NULL AS has_stats, list_sort(map_keys(stats))::VARCHAR AS names,
   CAST(list_sum(map_values(stats)) AS BIGINT) AS total FROM raw_artifacts WHERE stats IS NOT NULL AND cardinality(stats) > 0""")
