@@ -21,7 +21,10 @@ from graphloom.sources.shared import materialize
 
 MONTH = r"/(\d{4}-\d{2})/"
 FLAT = "source string, month string, capture_id string, workflow_id string, fields array<struct<field: string, type: string, value: string>>"
-UNIFIED = "source string, month string, capture_id string, fields map<string, string>, renamed int, cast int, defaulted int"
+UNIFIED = (
+    "source string, month string, capture_id string, fields map<string, string>, renamed int, cast int, defaulted int, "
+    "uncast int, conflicts int"
+)
 
 
 def _flatten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,21 +82,22 @@ def versions(types: DataFrame) -> DataFrame:
     return prints.withColumn("moved", moved).withColumn("version", F.sum("moved").over(order).cast("int")).drop("moved")
 
 
-def _months(types: DataFrame) -> DataFrame:
-    """(source, step, before): each month after the first with the month before it."""
+def _steps(types: DataFrame) -> DataFrame:
+    """(source, step, before): each month whose schema has another fingerprint than that of the month
+    before. Months of one schema version need no step and are not compared field by field."""
     order = Window.partitionBy("source").orderBy("month")
     return (
-        types.select("source", "month").distinct()
-        .withColumn("before", F.lag("month").over(order))
-        .filter(F.col("before").isNotNull())
-        .withColumnRenamed("month", "step")
+        versions(types)
+        .withColumns({"before": F.lag("month").over(order), "held": F.lag("fingerprint").over(order)})
+        .filter(F.col("before").isNotNull() & (F.col("held") != F.col("fingerprint")))
+        .select("source", F.col("month").alias("step"), "before")
     )
 
 
 def differences(types: DataFrame) -> DataFrame:
     """(source, step, before, field, drift): added, removed and retyped fields, renames not yet
     told apart."""
-    months = _months(types)
+    months = _steps(types)
     old = types.withColumnRenamed("month", "before").withColumnRenamed("types", "old_types").join(months, ["source", "before"])
     new = types.withColumnRenamed("month", "step").withColumnRenamed("types", "new_types").join(months, ["source", "step"])
     both = old.join(new, ["source", "step", "before", "field"], "full")
@@ -235,7 +239,10 @@ def unify(raw: DataFrame, plan: MigrationPlan, defaults: dict[str, str] | None =
     from name to text, with the number of renames, casts and defaults applied to it. A name
     that the newest month does not have stays and has the type of the last month with it; a
     name it has and the record has not gets its value in ``defaults``, if given there, or else,
-    without ``defaults``, by the plan: null. Unreadable records are left out."""
+    without ``defaults``, by the plan: null. ``uncast`` counts values that cannot be of the type
+    wanted and keep their text. Where several fields of a record come to one name with different
+    values the one that has it already (or else the first by its old name) takes it, each other
+    stays under its old name and counts in ``conflicts``. Unreadable records are left out."""
     fallback = None if defaults is None else dict(defaults)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,7 +250,7 @@ def unify(raw: DataFrame, plan: MigrationPlan, defaults: dict[str, str] | None =
         schema = pa.schema([
             ("source", pa.string()), ("month", pa.string()), ("capture_id", pa.string()),
             ("fields", pa.map_(pa.string(), pa.string())),
-            ("renamed", pa.int32()), ("cast", pa.int32()), ("defaulted", pa.int32()),
+            *((c, pa.int32()) for c in ("renamed", "cast", "defaulted", "uncast", "conflicts")),
         ])
         for batch in batches:
             rows = []
@@ -255,15 +262,23 @@ def unify(raw: DataFrame, plan: MigrationPlan, defaults: dict[str, str] | None =
                     known[source, month] = plan.names(source, month)
                 names, target, casting = known[source, month], plan.target.get(source, {}), plan.casts.get(source, {})
                 out: dict[str, str] = {}
-                moved = casts = 0
-                for field, value in fields(obj):
-                    field = clean(field)
-                    name = names.get(field, field)
+                moved = casts = failed = conflicts = 0
+                given = [(names.get(f, f), f, value) for f, value in ((clean(f), v) for f, v in fields(obj))]
+                # fields that have their newest name already come first, then the renamed ones by name
+                for name, field, value in sorted(given, key=lambda g: (g[0] != g[1], g[1])):
+                    to = casting.get(name, kind(value))
+                    text, changed = cast_text(value, to)
+                    if name in out and out[name] != text:
+                        conflicts += 1
+                        name = field
+                        while name in out:
+                            name += "'"
                     moved += name != field
-                    out[name], changed = cast_text(value, casting.get(name, kind(value)))
                     casts += changed
+                    failed += not changed and kind(value) != to
+                    out[name] = text
                 filled = {k: v for k, v in (plan.defaults.get(source, {}) if fallback is None else fallback).items() if k in target and k not in out}
-                rows.append((source, month, capture, list((out | filled).items()), moved, casts, len(filled)))
+                rows.append((source, month, capture, list((out | filled).items()), moved, casts, len(filled), failed, conflicts))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
 
@@ -296,4 +311,5 @@ def unify_versions(rows: DataFrame, table: str, batch: str, key: str, columns: l
         F.lit(table).alias("source"), F.lpad(F.col(batch).cast("string"), 2, "0").alias("month"), F.col(key).alias("capture_id"),
         F.create_map(*[x for c in columns for x in (F.lit(c), new[c])]).alias("fields"), F.lit(0).alias("renamed"),
         count(F.coalesce(new[c] != F.col(c), F.lit(False)) for c in columns).alias("cast"), count(new[c].isNull() for c in columns).alias("defaulted"),
+        count(F.coalesce(~new[c].rlike(VERSION), F.lit(False)) for c in columns).alias("uncast"), F.lit(0).alias("conflicts"),
     )

@@ -1,246 +1,227 @@
 """Deeply nested records as flat tables with keys, by shared inlining.
 
-First the schema graph is measured over all records: which element stands in which, how
-often, in an array or not. From it the layout follows: an element that is repeated, shared
-by several parents or recursive gets a table of its own; any other is inlined into the
-nearest ancestor that has one. Then each record is walked once and every element with a
-table gives a row that carries the key of its parent.
+First the schema graph is measured over all records: which element type stands in which, how
+often, and whether several times in one parent. From it the layout follows: an element that is
+repeated, shared by several parents or recursive gets a table of its own; any other is inlined
+into the nearest ancestor that has one. Then each record is walked once more and every element
+with a table gives a row: its key, the key of the row it stands in, and its fields with those of
+the elements inlined into it. No list of tables is written down anywhere; a type of element that
+was never seen before gets its table, or is inlined, by the same rules.
+
+Types are named by the field they stand under and the type they stand in. A field whose name is
+already among the names on its way is the same type again, so recursion ends; keys that are
+numbers or digests are entries of a map and share one name. Graph documents have types by what
+they are, wherever they stand: save_graph, api_graph, and in these node, api_node, definitions
+and subgraph.
 """
 
 from __future__ import annotations
 
 import hashlib
-import json
+import itertools
+import re
 from collections import Counter
 from collections.abc import Iterator
-from typing import Any
+from functools import lru_cache
+from typing import Any, NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.functions.jsontext import MAX_DEPTH, clean, decode, decode_object, plain
-
-#: What the graph documents consist of, and the scalars taken from each element.
-ELEMENTS = {
-    "capture": [], "save_graph": ["version"], "definitions": [], "subgraph": ["id", "name"],
-    "node": ["id", "type", "mode"], "properties": ["cnr_id", "ver", "aux_id"],
-    "api_graph": [], "api_node": ["class_type"],
-}
+from graphloom.functions.jsontext import clean, decode, decode_object, plain
 
 EDGES = "parent string, child string, records bigint, occurrences bigint, repeated boolean"
-ROWS = (
-    "element string, capture_id string, graph_id string, graph string, graph_path string, parent_subgraph_id string, "
-    "subgraph_id string, node_id string, class_type string, cnr_id string, ver string, aux_id string, mode string"
+#: Columns of every row: the table it belongs to and its key, the row it stands in, its key in a map,
+#: and the enclosing graph and subgraphs.
+KEYS = (
+    "table_name", "capture_id", "row_id", "parent_table", "parent_id", "entry_key", "graph", "graph_id", "parent_subgraph_id", "subgraph_id",
 )
-COLUMNS = [part.split()[0] for part in ROWS.split(", ")]
-
-
-def is_save(obj: dict) -> bool:
-    return isinstance(obj.get("nodes"), list)
-
-
-def is_api(obj: dict) -> bool:
-    return "nodes" not in obj and any(isinstance(v, dict) and "class_type" in v for v in obj.values())
+#: Pairs of types that a layout is made of, the most frequent ones; a type beyond is inlined, with
+#: its place in the name of its fields.
+LAYOUT_EDGES = 20_000
+GRAPH_KINDS = {"save_graph": "workflow", "api_graph": "prompt"}
+#: Elements that are no graph by themselves, whatever they hold.
+_PARTS = frozenset(("definitions", "subgraph", *GRAPH_KINDS))
+#: A dot between two names; one that is part of a name has a backslash before it.
+_NAMES = re.compile(r"(?<!\\)\.")
+_ENTRY = re.compile(r"\d+(?:[.:_-]\d+)*|[0-9a-fA-F]{8}[0-9a-fA-F-]*")
+
+
+class Place(NamedTuple):
+    """The graph and subgraph that an element stands in."""
+
+    graph: str = ""
+    graph_at: str = ""
+    parent_subgraph: str = ""
+    subgraph: str = ""
+
+
+class Element(NamedTuple):
+    obj: dict
+    type: str
+    parent: str
+    parent_at: str
+    at: str
+    key: str
+    many: bool
+    place: Place
+
+
+def graph_type(obj: dict) -> str | None:
+    """What graph an object is: with an array ``nodes``, or without ``nodes`` and with a value that is
+    an object with a class_type; None for neither."""
+    if "nodes" in obj:
+        return "save_graph" if isinstance(obj["nodes"], list) else None
+    for value in obj.values():
+        if isinstance(value, dict) and "class_type" in value:
+            return "api_graph"
+    return None
 
 
 def embedded(text: str) -> Any:
-    """What a text value holds if it is the JSON of an object or array, once or more encoded."""
-    for _ in range(4):
-        head = text.lstrip()[:1]
-        if head not in ("{", "[", '"'):
+    """What a text value holds if it is the JSON of an object or array, however often encoded: each
+    decoding makes it shorter, so this ends."""
+    while True:
+        if text.lstrip()[:1] not in ("{", "[", '"'):
             return None
         value = decode(text)
         if not isinstance(value, str):
             return value if isinstance(value, (dict, list)) else None
         text = value
+
+
+def _objects(value: Any, at: str) -> Iterator[tuple[dict, str, bool, int]]:
+    """(object, place, whether written as an object and not as text, depth of lists) of the objects
+    that a value is or holds in its lists."""
+    todo = [(value, at, True, 0)]
+    while todo:
+        value, at, plainly, depth = todo.pop()
+        if isinstance(value, str):
+            value, at, plainly = embedded(value), at + "!", False
+        if isinstance(value, dict):
+            yield value, at, plainly, depth
+        elif isinstance(value, list):
+            todo += [(item, f"{at}[{n}]", plainly, depth + 1) for n, item in enumerate(value) if isinstance(item, (dict, list, str))]
+
+
+def _may_hold(text: str) -> bool:
+    return text[:1] in ("{", "[", '"') or text[:1].isspace()
+
+
+def _role(kind: str, field: str, depth: int) -> str | None:
+    """The type that an object has as a part of a graph document."""
+    if kind in ("save_graph", "subgraph"):
+        if field == "nodes" and depth == 1:
+            return "node"
+        if field == "definitions" and depth == 0:
+            return "definitions"
+    elif kind == "definitions" and field == "subgraphs" and depth == 1:
+        return "subgraph"
+    elif kind == "api_graph" and depth == 0:
+        return "api_node"
     return None
 
 
-def graphs(value: Any, path: str = "", depth: int = 0) -> Iterator[tuple[str, str, dict]]:
-    """(kind, path, object) of each graph at any depth of a decoded value and of the JSON texts
-    in it; a subgraph is part of its graph and not a graph itself."""
-    if depth > MAX_DEPTH:
-        return
-    if isinstance(value, str):
-        inner = embedded(value)
-        if inner is not None:
-            yield from graphs(inner, path + "!", depth + 1)
-    elif isinstance(value, list):
-        for at, item in enumerate(value):
-            if isinstance(item, (dict, list, str)):
-                yield from graphs(item, f"{path}[{at}]", depth + 1)
-    elif isinstance(value, dict):
-        save = is_save(value)
-        if save:
-            yield "workflow", path, value
-        elif is_api(value):
-            yield "prompt", path, value
-        for key, item in value.items():
-            if save and key == "definitions" and isinstance(item, dict):
-                yield from _in_definitions(item, f"{path}.{key}", depth + 1)
-            elif isinstance(item, (dict, list, str)):
-                yield from graphs(item, f"{path}.{key}", depth + 1)
-
-
-def _in_definitions(definitions: dict, path: str, depth: int) -> Iterator[tuple[str, str, dict]]:
-    """Graphs that stand inside subgraphs, for instance in the text of a widget."""
-    if depth > MAX_DEPTH:
+@lru_cache(maxsize=1 << 16)
+def child_type(parent: str, field: str, plainly: bool, depth: int) -> str:
+    """Type of an object under a field of a parent type, if it is no graph. ``plainly``: it is written
+    as an object and not as text; ``depth``: of the lists it stands in."""
+    role = _role(parent, field, depth) if plainly else None
+    if role is not None:
+        return role
+    name = "*" if _ENTRY.fullmatch(field) else clean(field).replace("\\", "/").replace(".", "\\.")
+    name += "[]" if depth else ""
+    ends = [m.start() for m in _NAMES.finditer(parent)] + [len(parent)]
+    for start, end in itertools.pairwise(ends):
+        if parent[start + 1 : end] == name:
+            return parent[:end]
+    return f"{parent}.{name}"
+
+
+def children(parent: Element) -> Iterator[Element]:
+    """The elements that stand directly in one."""
+    above, at = parent.type, parent.at
+    own = None if above in _PARTS else graph_type(parent.obj)
+    if own:  # a node, an entry or the record itself can be a graph as well
+        yield Element(parent.obj, own, above, at, at + "@", "", False, Place(GRAPH_KINDS[own], at + "@"))
         return
-    for key, item in definitions.items():
-        if key != "subgraphs" or not isinstance(item, list):
-            yield from graphs(item, f"{path}.{key}", depth + 1)
-            continue
-        for at, sub in enumerate(item):
-            if not isinstance(sub, dict):
-                yield from graphs(sub, f"{path}.{key}[{at}]", depth + 1)
+    for field, value in parent.obj.items():
+        held: Any
+        if isinstance(value, dict):
+            held = ((value, f"{at}.{field}", True, 0),)
+        elif isinstance(value, str):
+            if not _may_hold(value):
                 continue
-            for name, inner in sub.items():
-                if name == "definitions" and isinstance(inner, dict):
-                    yield from _in_definitions(inner, f"{path}.{key}[{at}].{name}", depth + 1)
-                else:
-                    yield from graphs(inner, f"{path}.{key}[{at}].{name}", depth + 1)
-
-
-def subgraphs(graph: dict, parent: str = "", depth: int = 0) -> Iterator[tuple[str, str, dict]]:
-    """(parent_subgraph_id, subgraph_id, object) of all subgraphs, outer ones first."""
-    definitions = graph.get("definitions")
-    inner = definitions.get("subgraphs") if isinstance(definitions, dict) else None
-    if not isinstance(inner, list) or depth > MAX_DEPTH:
-        return
-    for sub in inner:
-        if isinstance(sub, dict):
-            own = plain(sub.get("id"))
-            yield parent, own, sub
-            yield from subgraphs(sub, own, depth + 1)
-
-
-def element_rows(meta: str | None) -> Iterator[tuple]:
-    """(element, graph, path, parent_subgraph_id, subgraph_id, node_id, class_type, cnr_id, ver,
-    aux_id, mode) of each element with a table in one source_meta; none if it is unreadable."""
-    obj = decode_object(meta)
-    if obj is None:
-        return
-    for what, path, graph in graphs(obj):
-        yield "graph", what, path, "", "", "", "", "", "", "", ""
-        if what == "prompt":
-            for key, node in graph.items():
-                if isinstance(node, dict):
-                    yield "node", what, path, "", "", clean(key), plain(node.get("class_type")), "", "", "", ""
+            held = _objects(value, f"{at}.{field}")
+        elif isinstance(value, list):
+            if not any(isinstance(item, dict) or isinstance(item, list) or isinstance(item, str) and _may_hold(item) for item in value):
+                continue
+            held = _objects(value, f"{at}.{field}")
+        else:
             continue
-        levels = [("", "", graph)]
-        for level in subgraphs(graph):
-            yield "subgraph", what, path, level[0], level[1], "", "", "", "", "", ""
-            levels.append(level)
-        for parent, own, level in levels:
-            nodes = level.get("nodes")
-            for node in nodes if isinstance(nodes, list) else ():
-                if isinstance(node, dict):
-                    props = node.get("properties")
-                    props = props if isinstance(props, dict) else {}
-                    yield (
-                        "node", what, path, parent, own, plain(node.get("id")), plain(node.get("type")),
-                        plain(props.get("cnr_id")), plain(props.get("ver")), plain(props.get("aux_id")), plain(node.get("mode")),
-                    )
-
-
-def _shred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([(name, pa.string()) for name in COLUMNS])
-    for batch in batches:
-        rows: dict[tuple, None] = {}
-        for capture, meta in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            digest = ""
-            for element, what, path, *rest in element_rows(meta):
-                digest = digest or hashlib.md5(meta.encode("utf-8", "surrogatepass")).hexdigest()
-                rows[(element, capture, f"{digest}{clean(path)}", what, clean(path), *rest)] = None
-            if len(rows) > 100_000:
-                yield _batch(rows, schema)
-                rows = {}
-        if rows:
-            yield _batch(rows, schema)
-
-
-def _batch(rows: dict[tuple, None], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows, strict=True)], schema=schema)
-
-
-def shred(raw: DataFrame) -> DataFrame:
-    """Rows of all tables, told apart by ``element`` (graph, subgraph, node). ``graph_id`` is the
-    key of a graph (digest of the meta and place in it), (graph_id, subgraph_id) that of a
-    subgraph; capture_id, graph_id, subgraph_id and parent_subgraph_id are the foreign keys.
-    Captures with a null id keep a null key. Unreadable meta gives no row."""
-    return raw.select("capture_id", "source_meta").filter(F.col("source_meta").isNotNull()).mapInArrow(_shred, ROWS)
-
-
-TABLES = {
-    "graph": ["capture_id", "graph_id", "graph", "graph_path"],
-    "subgraph": ["capture_id", "graph_id", "parent_subgraph_id", "subgraph_id"],
-    "node": ["capture_id", "graph_id", "graph", "parent_subgraph_id", "subgraph_id", "node_id", "class_type", "cnr_id", "ver", "aux_id", "mode"],
-}
-
-
-def table(shredded: DataFrame, element: str) -> DataFrame:
-    """One of the flat tables, its rows distinct."""
-    return shredded.filter(F.col("element") == element).select(*TABLES[element]).distinct()
-
-
-def _edges_of(value: Any, parent: str, at_list: bool, out: Counter, many: set) -> None:
-    """Count the element edges of one graph."""
-    def edge(child: str, repeated: bool) -> None:
-        out[parent, child] += 1
-        if repeated:
-            many.add((parent, child))
-
-    if parent in ("save_graph", "subgraph"):
-        nodes = value.get("nodes")
-        for node in nodes if isinstance(nodes, list) else ():
-            if isinstance(node, dict):
-                edge("node", True)
-                if isinstance(node.get("properties"), dict):
-                    out["node", "properties"] += 1
-        definitions = value.get("definitions")
-        if isinstance(definitions, dict):
-            edge("definitions", False)
-            inner = definitions.get("subgraphs")
-            for sub in inner if isinstance(inner, list) else ():
-                if isinstance(sub, dict):
-                    out["definitions", "subgraph"] += 1
-                    many.add(("definitions", "subgraph"))
-                    _edges_of(sub, "subgraph", True, out, many)
-    elif parent == "api_graph":
-        for node in value.values():
-            if isinstance(node, dict):
-                edge("api_node", True)
+        for obj, here, plainly, depth in held:
+            kind, place = child_type(above, field, plainly, depth), parent.place
+            if kind == "subgraph":
+                place = Place(place.graph, place.graph_at, place.subgraph, plain(obj.get("id")))
+            elif kind not in ("node", "definitions", "api_node"):
+                graph = graph_type(obj)
+                if graph is not None:
+                    yield Element(obj, graph, above, at, here, field, depth > 0, Place(GRAPH_KINDS[graph], here))
+                    continue
+            yield Element(obj, kind, above, at, here, field, depth > 0 or kind == "api_node" or kind.endswith("*"), place)
+
+
+def elements(record: dict) -> Iterator[Element]:
+    """All elements of a decoded record, the record itself first; nesting has no limit."""
+    todo = [Element(record, "capture", "", "", "", "", False, Place())]
+    while todo:
+        element = todo.pop()
+        yield element
+        todo += children(element)
+
+
+def graphs(record: dict) -> Iterator[tuple[str, str, dict]]:
+    """(kind, place, object) of each graph at any depth of a decoded record and of the JSON texts in
+    it; a subgraph is part of its graph and not a graph itself."""
+    for element in elements(record):
+        if element.type in GRAPH_KINDS:
+            yield GRAPH_KINDS[element.type], element.at, element.obj
+
+
+# --- the schema graph and the layout --------------------------------------------------------
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    records: Counter = Counter()
-    occurrences: Counter = Counter()
-    many: set = set()
     for batch in batches:
+        records: Counter = Counter()
+        occurrences: Counter = Counter()
+        many: set = set()
         for meta in batch.column(0).to_pylist():
-            obj = decode_object(meta)
-            if obj is None:
+            record = decode_object(meta)
+            if record is None:
                 continue
             own: Counter = Counter()
-            for what, _, graph in graphs(obj):
-                name = "save_graph" if what == "workflow" else "api_graph"
-                own["capture", name] += 1
-                many.add(("capture", name))
-                _edges_of(graph, name, True, own, many)
+            for element in elements(record):
+                edge = (element.parent, element.type)
+                own[edge] += 1
+                if element.many:
+                    many.add(edge)
             occurrences.update(own)
             records.update(own.keys())
-    if occurrences:
         keys = list(occurrences)
-        yield pa.RecordBatch.from_pydict({
-            "parent": [k[0] for k in keys], "child": [k[1] for k in keys], "records": [records[k] for k in keys],
-            "occurrences": [occurrences[k] for k in keys], "repeated": [k in many for k in keys],
-        })
+        yield pa.RecordBatch.from_pydict(
+            {
+                "parent": [k[0] for k in keys], "child": [k[1] for k in keys], "records": [records[k] for k in keys],
+                "occurrences": [occurrences[k] for k in keys], "repeated": [k in many for k in keys],
+            },
+            pa.schema([("parent", pa.string()), ("child", pa.string()), ("records", pa.int64()), ("occurrences", pa.int64()), ("repeated", pa.bool_())]),
+        )
 
 
 def schema_graph(raw: DataFrame) -> DataFrame:
     """The edges between element types over all records: (parent, child, records, occurrences,
-    repeated). At most one row for each pair of element types."""
+    repeated). One row for each pair of types; '' is the parent of the record itself."""
     return (
         raw.select("source_meta").filter(F.col("source_meta").isNotNull()).mapInArrow(_measure, EDGES)
         .groupBy("parent", "child")
@@ -249,27 +230,28 @@ def schema_graph(raw: DataFrame) -> DataFrame:
 
 
 def layout(edges: list[tuple[str, str, bool]]) -> dict[str, str]:
-    """For each element the table that holds it, from (parent, child, repeated) edges: itself if
+    """For each element type the table that holds it, from (parent, child, repeated) edges: itself if
     it is a root, repeated, shared or recursive, else that of its only parent."""
     parents: dict[str, list[tuple[str, bool]]] = {}
-    names = {n for e in edges for n in e[:2]}
+    below: dict[str, list[str]] = {}
+    names = {n for e in edges for n in e[:2] if n}
     for parent, child, repeated in edges:
-        parents.setdefault(child, []).append((parent, repeated))
-    below: dict[str, set[str]] = {n: {c for p, c, _ in edges if p == n} for n in names}
+        if parent:
+            parents.setdefault(child, []).append((parent, repeated))
+            below.setdefault(parent, []).append(child)
 
-    def reaches(start: str) -> set[str]:
+    def recursive(start: str) -> bool:
         seen: set[str] = set()
-        todo = list(below[start])
+        todo = list(below.get(start, ()))
         while todo:
             if (x := todo.pop()) not in seen:
                 seen.add(x)
-                todo += below[x]
-        return seen
+                todo += below.get(x, ())
+        return start in seen
 
-    own = {
-        n for n in names
-        if n not in parents or len(parents[n]) > 1 or any(r for _, r in parents[n]) or n in reaches(n)
-    }
+    # with one parent each, only what stands in itself can be recursive and not shared
+    own = {n for n in names if n not in parents or len(parents[n]) > 1 or any(r or p == n for p, r in parents[n])}
+    own |= {n for n in names - own if recursive(n)}
 
     def holder(name: str) -> str:
         while name not in own:
@@ -279,10 +261,130 @@ def layout(edges: list[tuple[str, str, bool]]) -> dict[str, str]:
     return {n: holder(n) for n in sorted(names)}
 
 
+def measured_layout(raw: DataFrame) -> dict[str, str]:
+    """The layout of all records. The catalogue of types comes to the driver, LAYOUT_EDGES at most."""
+    edges = schema_graph(raw).orderBy(F.desc("occurrences"), "parent", "child").limit(LAYOUT_EDGES).collect()
+    return layout([(r["parent"], r["child"], bool(r["repeated"])) for r in edges])
+
+
 def describe(raw: DataFrame) -> DataFrame:
-    """The schema graph with the layout that follows from it: (element, table_name, inlined,
-    columns). Element types are few and fixed, so their edges are collected."""
-    spark = raw.sparkSession
-    edges = [(r["parent"], r["child"], bool(r["repeated"])) for r in schema_graph(raw).collect()]
-    rows = [(e, t, e != t, json.dumps(ELEMENTS.get(e, []))) for e, t in layout(edges).items()]
-    return spark.createDataFrame(rows, "element string, table_name string, inlined boolean, columns string")
+    """The schema graph with the layout that follows from it: (element, table_name, inlined, parents,
+    occurrences)."""
+    edges = schema_graph(raw).orderBy(F.desc("occurrences"), "parent", "child").limit(LAYOUT_EDGES).collect()
+    holders = layout([(r["parent"], r["child"], bool(r["repeated"])) for r in edges])
+    above: dict[str, list[str]] = {}
+    counts: Counter = Counter()
+    for r in edges:
+        above.setdefault(r["child"], []).append(r["parent"])
+        counts[r["child"]] += r["occurrences"]
+    rows = [(e, t, e != t, sorted(p for p in above.get(e, ()) if p), counts[e]) for e, t in holders.items()]
+    return raw.sparkSession.createDataFrame(rows, "element string, table_name string, inlined boolean, parents array<string>, occurrences bigint")
+
+
+# --- rows -----------------------------------------------------------------------------------
+
+
+def fields(element: Element, holders: dict[str, str]) -> dict[str, str]:
+    """The values of an element and of all that is inlined into it, by dotted path: texts as they are,
+    other values as JSON, of an array what is no object. Null values have none."""
+    out: dict[str, str] = {}
+    todo = [("", element)]
+    while todo:
+        prefix, current = todo.pop()
+        for field, value in current.obj.items():
+            if value is None:
+                continue
+            name = prefix + clean(field)
+            if isinstance(value, (dict, list, str)):
+                objects = list(_objects(value, ""))
+                for obj, at, plainly, depth in objects:
+                    kind = child_type(current.type, field, plainly, depth)
+                    if kind not in _PARTS and holders.get(kind) != kind and graph_type(obj) is None:
+                        todo.append((f"{name}{clean(at)}.", current._replace(obj=obj, type=kind)))
+                if isinstance(value, dict) or isinstance(value, str) and objects and not objects[0][3]:
+                    continue
+                if isinstance(value, list):
+                    value = [item for item in value if not isinstance(item, dict)]
+                    if objects and not value:
+                        continue
+            while name in out:  # a field name with a dot in it can read like a path
+                name += "'"
+            out[name] = plain(value)
+    return out
+
+
+def pick(element: Element, path: str, holders: dict[str, str]) -> str:
+    """One value of :func:`fields`, '' if there is none, without looking at the others."""
+    obj, kind = element.obj, element.type
+    *way, last = path.split(".")
+    for field in way:
+        inner = obj.get(field)
+        if not isinstance(inner, dict):
+            return ""
+        kind = child_type(kind, field, True, 0)
+        if holders.get(kind) == kind:
+            return ""
+        obj = inner
+    return plain(obj.get(last))
+
+
+def record_rows(meta: str | None, holders: dict[str, str], wanted: dict[str, list[str] | None] | None = None) -> Iterator[tuple[str, ...]]:
+    """(table_name, row_id, parent_table, parent_id, entry_key, graph, graph_id, parent_subgraph_id,
+    subgraph_id, fields) of each element with a table; see :func:`shred`. None if unreadable."""
+    record = decode_object(meta)
+    if record is None:
+        return
+    digest = hashlib.md5(meta.encode("utf-8", "surrogatepass")).hexdigest()
+    above: dict[str, tuple[str, str]] = {}  # by place the nearest row, for what is inlined
+    for element in elements(record):
+        kind, place = element.type, element.place
+        holding = above.get(element.parent_at, ("", ""))
+        if holders.get(kind) != kind:
+            above[element.at] = holding
+            continue
+        above[element.at] = (kind, element.at)
+        if wanted is not None and kind not in wanted:
+            continue
+        names = wanted[kind] if wanted is not None else None
+        values = fields(element, holders) if names is None else {n: pick(element, n, holders) for n in names}
+        yield (
+            kind, digest + clean(element.at), holding[0], digest + clean(holding[1]) if holding[0] else "", clean(element.key), place.graph,
+            digest + clean(place.graph_at) if place.graph else "", place.parent_subgraph, place.subgraph, tuple(values.items()),
+        )
+
+
+def shred(raw: DataFrame, holders: dict[str, str], wanted: dict[str, list[str] | None] | None = None, columns: tuple[str, ...] = KEYS) -> DataFrame:
+    """Rows of all tables of a layout, told apart by ``table_name``: ``columns`` of KEYS, and ``fields``.
+    (capture_id, row_id) is the key of a row and (capture_id, parent_id) that of the row it stands
+    in; ``wanted`` restricts the tables and, by table, the fields (None: all). Captures with a null
+    id keep a null key. Unreadable meta gives no row; equal rows of one task come once."""
+    order = [c for c in KEYS if c != "capture_id"]
+    at = [order.index(c) for c in columns if c != "capture_id"]
+    named = [c for c in columns if c != "capture_id"]
+    ddl = ", ".join(["capture_id string", *(f"{c} string" for c in named), "fields map<string,string>"])
+    schema = pa.schema([("capture_id", pa.string()), *((c, pa.string()) for c in named), ("fields", pa.map_(pa.string(), pa.string()))])
+
+    def batch_of(rows: dict[tuple, None]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: dict[tuple, None] = {}
+            for capture, meta in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for row in record_rows(meta, holders, wanted):
+                    rows[(capture, *[row[n] for n in at], row[-1])] = None
+                if len(rows) > 100_000:
+                    yield batch_of(rows)
+                    rows = {}
+            if rows:
+                yield batch_of(rows)
+
+    made = raw.select("capture_id", "source_meta").filter(F.col("source_meta").isNotNull()).mapInArrow(run, ddl)
+    return made.select(*columns, "fields")
+
+
+def table(shredded: DataFrame, name: str, names: list[str]) -> DataFrame:
+    """One of the tables, its rows distinct, with ``names`` of its fields as columns (dots as ``_``)."""
+    keys = [c for c in shredded.columns if c not in ("table_name", "fields")]
+    values = [F.coalesce(F.col("fields")[n], F.lit("")).alias(n.replace(".", "_")) for n in names]
+    return shredded.filter(F.col("table_name") == name).select(*keys, *values).distinct()

@@ -43,15 +43,38 @@ def p2_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.unify(raw, drift.MigrationPlan(drift.changes(flat), types)).unionByName(versions)
 
 
+#: What the node tables give to p3_found, and where a stamp stands if its element has its own table.
+NODE_FIELDS = {"node": ["id", "type", "properties.cnr_id"], "api_node": ["class_type"]}
+STAMPS = "node.properties"
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every node in any readable source_meta, with the subgraph it stands in and its parent."""
-    nodes = shred.shred(table(spark, sf_dir, "raw_artifacts")).filter("element = 'node'")
-    return nodes.select("capture_id", "graph", "parent_subgraph_id", "subgraph_id", "node_id", "class_type", "cnr_id").distinct()
+    """Every node in any readable source_meta, with the subgraph it stands in and its parent: the rows
+    of the two node tables of the measured layout. A stamp is inlined in its node, unless the
+    layout of these records gives stamps a table; then it is joined by its foreign key."""
+    raw = table(spark, sf_dir, "raw_artifacts")
+    holders = shred.measured_layout(raw)
+    apart = holders.get(STAMPS) == STAMPS
+    keys = ["table_name", "capture_id", "entry_key", "graph", "parent_subgraph_id", "subgraph_id"]
+    if apart:
+        rows = materialize(shred.shred(raw, holders, NODE_FIELDS | {STAMPS: ["cnr_id"]}, (*keys, "row_id", "parent_id")), "nodes")
+        stamps = rows.filter(F.col("table_name") == STAMPS).select(F.col("capture_id").alias("_c"), F.col("parent_id").alias("_p"), F.col("fields")["cnr_id"].alias("cnr"))
+        rows = rows.join(stamps.distinct(), F.col("capture_id").eqNullSafe(F.col("_c")) & (F.col("row_id") == F.col("_p")), "left")
+    else:
+        rows = shred.shred(raw, holders, NODE_FIELDS, tuple(keys)).withColumn("cnr", F.col("fields")["properties.cnr_id"])
+    own = lambda name: F.coalesce(F.col("fields")[name], F.lit(""))
+    entry = F.col("table_name") == "api_node"
+    return rows.filter(F.col("table_name").isin(*NODE_FIELDS)).select(
+        "capture_id", "graph", "parent_subgraph_id", "subgraph_id", F.when(entry, F.col("entry_key")).otherwise(own("id")).alias("node_id"),
+        F.when(entry, own("class_type")).otherwise(own("type")).alias("class_type"), F.coalesce("cnr", F.lit("")).alias("cnr_id"),
+    ).distinct()
 
 
 def p3_subgraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The subgraph table: key (graph_id, subgraph_id), foreign keys to capture, graph, parent."""
-    return shred.table(shred.shred(table(spark, sf_dir, "raw_artifacts")), "subgraph")
+    raw = table(spark, sf_dir, "raw_artifacts")
+    keys = ("table_name", "capture_id", "graph_id", "parent_subgraph_id", "subgraph_id")
+    return shred.table(shred.shred(raw, shred.measured_layout(raw), {"subgraph": []}, keys), "subgraph", [])
 
 
 def p3_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +82,15 @@ def p3_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shred.describe(table(spark, sf_dir, "raw_artifacts"))
 
 
+def p3_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tables of the layout written out: rows and fields of each, by the table they refer to."""
+    raw = table(spark, sf_dir, "raw_artifacts")
+    rows = shred.shred(raw, shred.measured_layout(raw), None, ("table_name", "capture_id", "row_id", "parent_table", "parent_id"))
+    each = rows.select("table_name", "parent_table", F.coalesce(F.size("fields"), F.lit(0)).alias("n"), F.xxhash64("capture_id", "row_id").alias("key"))
+    distinct = each.groupBy("table_name", "parent_table", "key").agg(F.max("n").alias("n"))
+    return distinct.groupBy("table_name", "parent_table").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("n").cast("long").alias("n_values"))
+
+
 def tag_set(tags: str) -> Column:
     """Distinct normalised tags in order; blanks and nulls dropped, null as empty."""
     clean = F.filter(F.transform(F.coalesce(tags, F.array().cast("array<string>")), squeeze), lambda t: t.isNotNull() & (t != ""))
@@ -115,7 +147,7 @@ WHERE o.capture_id IS NULL OR n.c.title <> o.c.title OR n.c.tags <> o.c.tags OR
 
 QUERIES = {
     "p2_found": p2_found, "p2_versions": p2_versions, "p2_unified": p2_unified,
-    "p3_found": p3_found, "p3_subgraphs": p3_subgraphs, "p3_layout": p3_layout,
+    "p3_found": p3_found, "p3_subgraphs": p3_subgraphs, "p3_layout": p3_layout, "p3_tables": p3_tables,
     "p4_found": p4_found,
 }
 SQL = {"p4_found": P4_SQL}

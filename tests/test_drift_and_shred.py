@@ -77,34 +77,55 @@ GRAPH = {
 }
 
 
+EVERYTHING = {t: t for t in ("capture", "save_graph", "api_graph", "definitions", "subgraph", "node", "api_node")}
+
+
 def nodes(meta):
-    return [r[1:8] for r in shred.element_rows(json.dumps(meta)) if r[0] == "node"]
+    wanted = {"node": ["id", "type", "properties.cnr_id"], "api_node": ["class_type"]}
+    out = []
+    for table, _, _, _, key, graph, _, parent, own, fields in shred.record_rows(json.dumps(meta), EVERYTHING, wanted):
+        f = dict(fields)
+        out.append((graph, parent, own, key, f["class_type"], "") if table == "api_node" else (graph, parent, own, f["id"], f["type"], f["properties.cnr_id"]))
+    return out
 
 
 def test_nodes_of_nested_subgraphs():
-    got = {(g, parent, own, node, cls, cnr) for g, _, parent, own, node, cls, cnr in nodes({"x": [{"deep": GRAPH}]})}
-    assert got == {
+    assert set(nodes({"x": [{"deep": GRAPH}]})) == {
         ("workflow", "", "", "1", "A", "p"), ("workflow", "", "", "2:0", "B", ""), ("workflow", "", "s1", "3", "C", ""), ("workflow", "s1", "s2", "", "D", ""),
     }
 
 
 def test_prompt_graphs_and_texts():
     prompt = {"5": {"class_type": "K", "inputs": {}}, "6": {"inputs": {}}, "7": 1}
-    assert {(n[0], n[4], n[5]) for n in nodes({"p": prompt})} == {("prompt", "5", "K"), ("prompt", "6", "")}
+    assert {(n[0], n[3], n[4]) for n in nodes({"p": prompt})} == {("prompt", "5", "K"), ("prompt", "6", "")}
     assert len(nodes({"t": json.dumps(json.dumps({"around": GRAPH}))})) == 4
     assert nodes({"nodes": "3", "5": {"class_type": "K"}}) == []
-    assert list(shred.element_rows(None)) == [] and list(shred.element_rows("{")) == []
+    assert list(shred.record_rows(None, EVERYTHING)) == [] and list(shred.record_rows("{", EVERYTHING)) == []
 
 
 def test_graph_in_a_subgraph_text():
     inner = {"nodes": [{"id": 9, "type": "Z"}]}
     outer = {"nodes": [], "definitions": {"subgraphs": [{"id": "s", "nodes": [{"id": 1, "type": "A", "note": json.dumps(inner)}]}]}}
-    assert sorted((n[3], n[4]) for n in nodes(outer)) == [("", "9"), ("s", "1")]
+    assert sorted((n[2], n[3]) for n in nodes(outer)) == [("", "9"), ("s", "1")]
+
 
+def test_a_node_that_is_a_graph_too():
+    both = {"nodes": [{"id": 1, "type": "A", "nodes": [{"id": 2, "type": "B"}]}]}
+    assert sorted((n[0], n[3], n[4]) for n in nodes(both)) == [("workflow", "1", "A"), ("workflow", "2", "B")]
 
-def test_deep_nesting_does_not_raise():
+
+def test_no_limit_of_depth_or_encodings(spark):
+    text = json.dumps(GRAPH)
+    for _ in range(6):
+        text = json.dumps(text)
+    assert len(nodes({"t": text})) == 4
+    for depth in (2_000, 30_000):
+        text = '{"a":' * depth + json.dumps(GRAPH) + "}" * depth
+        df = raw(spark, ("2026-01", "c", text))
+        holders = shred.measured_layout(df)
+        assert shred.shred(df, holders, {"node": ["id"]}).count() == 4
     deep = "[" * 100_000 + "]" * 100_000
-    assert list(shred.element_rows('{"a":' + deep + "}")) == []
+    assert [r[0] for r in shred.record_rows('{"a":' + deep + "}", EVERYTHING)] == ["capture"]
 
 
 def test_layout():
@@ -113,11 +134,55 @@ def test_layout():
 
 
 def test_tables_are_linked(spark):
-    df = raw(spark, ("2026-01", "c1", {"g": GRAPH}), ("2026-01", None, {"g": GRAPH})).withColumn("element", F.lit("clash"))
-    shredded = shred.shred(df)
-    graphs, subs, found = (shred.table(shredded, e) for e in ("graph", "subgraph", "node"))
-    assert graphs.count() == 2 and subs.count() == 4 and found.count() == 8
-    assert found.filter("subgraph_id <> ''").join(subs, ["graph_id", "subgraph_id"], "left_anti").count() == 0
-    assert found.join(graphs, "graph_id", "left_anti").count() == 0
-    assert shred.schema_graph(df).filter("parent = 'definitions'").head()["occurrences"] == 4
-    assert {r["element"]: r["table_name"] for r in shred.describe(df).collect()}["properties"] == "node"
+    df = raw(spark, ("2026-01", "c1", {"g": GRAPH}), ("2026-01", None, {"g": GRAPH})).withColumn("table_name", F.lit("clash"))
+    holders = shred.measured_layout(df)
+    rows = shred.shred(df, holders)
+    found = {r["table_name"]: r["n"] for r in rows.groupBy("table_name").agg(F.count("*").alias("n")).collect()}
+    assert found == {"capture": 2, "definitions": 4, "subgraph": 4, "node": 8}
+    keys = rows.select(F.col("capture_id").alias("c"), F.col("row_id").alias("r"), F.col("table_name").alias("t"))
+    linked = rows.filter("parent_table <> ''").join(keys, F.col("capture_id").eqNullSafe(F.col("c")) & (F.col("parent_id") == F.col("r")) & (F.col("parent_table") == F.col("t")))
+    assert linked.count() == rows.count() - 2
+    assert shred.schema_graph(df).filter("child = 'subgraph'").head()["occurrences"] == 4
+    held = {r["element"]: r["table_name"] for r in shred.describe(df).collect()}
+    assert held["node.properties"] == "node" and held["definitions"] == "definitions" and held["save_graph"] == "capture"
+    assert {r["properties_cnr_id"] for r in shred.table(rows, "node", ["id", "properties.cnr_id"]).collect()} == {"p", ""}
+
+
+def test_an_element_never_seen_gets_its_table(spark):
+    df = raw(
+        spark, ("2026-01", "c1", {"shop": {"name": "n", "offers": [{"price": 3, "seller": {"id": 7}}, {"price": 4, "tags": ["x", None]}]}}),
+        ("2026-01", "c2", {"shop": {"name": "m"}, "12": {"v": 1}, "13": {"v": 2}}), ("2026-01", "c3", {"t": {"t": {"t": {"v": 1}}}}),
+    )
+    holders = shred.measured_layout(df)
+    assert holders["capture.shop"] == "capture" and holders["capture.shop.offers[]"] == "capture.shop.offers[]"
+    rows = shred.shred(df, holders)
+    offers = {(r["price"], r["seller_id"], r["tags"]) for r in shred.table(rows, "capture.shop.offers[]", ["price", "seller.id", "tags"]).collect()}
+    assert offers == {("3", "7", ""), ("4", "", '["x", null]')}
+    assert {r["shop_name"] for r in shred.table(rows, "capture", ["shop.name"]).collect()} == {"n", "m", ""}
+    assert sorted(r["entry_key"] for r in rows.filter("table_name = 'capture.*'").collect()) == ["12", "13"]
+    assert rows.filter("table_name = 'capture.t'").count() == 3 and holders["capture.t"] == "capture.t"
+
+
+def test_a_type_outside_the_layout_is_inlined():
+    rows = list(shred.record_rows(json.dumps({"a": {"b": [{"c": 1}, {"c": 2}], "d.e": 3, "d": {"e": 4}}}), {"capture": "capture"}))
+    assert [r[0] for r in rows] == ["capture"]
+    assert sorted(dict(rows[0][-1]).values()) == ["1", "2", "3", "4"]
+
+
+def test_stamps_with_a_table_of_their_own(spark, tmp_path):
+    from graphloom.plans import problems
+
+    odd = {"nodes": [{"id": 1, "type": "A", "properties": {"cnr_id": "p", "properties": {"cnr_id": "q"}}}, {"id": 2, "type": "B"}]}
+    raw(spark, ("2026-01", "c1", odd)).write.parquet(f"{tmp_path}/raw_artifacts.parquet")
+    got = {(r["node_id"], r["cnr_id"]) for r in problems.p3_found(spark, str(tmp_path)).collect()}
+    assert got == {("1", "p"), ("2", "")}
+
+
+def test_colliding_names_are_both_kept(spark):
+    df = raw(spark, ("2026-01", "c1", {"old": 5}), ("2026-02", "c1", {"new": 5}), ("2026-01", "c2", {"old": 5, "new": 6}), ("2026-01", "c3", {"old": 6, "new": 6}))
+    types = drift.field_types(drift.flatten(df))
+    plan = drift.MigrationPlan(df.limit(0).selectExpr("'' source", "'' step", "'' old_field", "'' new_field", "'' drift"), types)
+    plan.renames = {"s": [("2026-02", "old", "new")]}
+    got = {(r["capture_id"], r["month"]): (r["fields"], r["conflicts"], r["renamed"]) for r in drift.unify(df, plan).collect()}
+    assert got["c2", "2026-01"] == ({"new": "6", "old": "5"}, 1, 0)
+    assert got["c3", "2026-01"] == ({"new": "6"}, 0, 1) and got["c1", "2026-01"] == ({"new": "5"}, 0, 1)
