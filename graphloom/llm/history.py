@@ -1,13 +1,15 @@
 """P1. Checking each new batch against everything held, by content-defined chunks.
 
 A value is cut where a rolling hash of its last bytes meets a mask, so equal stretches give
-equal chunks wherever they stand. A stored table maps each chunk to the first batch that held
-it; the bytes of a new value that lie in chunks held earlier, over all its bytes, are its
-coverage, and the decision is a threshold on that. The table of a batch is appended, so a
-batch is checked without reading older batches again; checking all batches of a history in
-one go against the first holders gives the same answer, as the tests show.
-
-A value goes by its digest once it is cut: chunk rows do not carry it, however long it is.
+equal chunks wherever they stand. A stored table maps each chunk to the values that hold it and
+the record that brought them. The chunks of a new batch are looked up there; the bytes that a new
+value shares with one held value, over all its bytes, are its coverage by it, and the decision is
+a threshold on that. The chunks of accepted values are appended.
+
+The table lies in folders by batch and by hash bucket of the chunk. A batch reads the buckets that
+it touches and sends on only rows whose chunk it has itself, so what is shuffled follows the
+batch and its hits, not the history. A value goes by its digest once it is cut: chunk rows do not
+carry it, however long it is. Equal values are one value with the number of its records.
 """
 
 from __future__ import annotations
@@ -17,16 +19,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from graphloom.operators.skew import lookup
+from graphloom.operators.skew import replicated
 from graphloom.sources.shared import exists, materialize
 
-WINDOW = 32
+#: Least bytes of a chunk, zero bits that end one, most bytes: for digests, and for texts by kind.
 LEAST, MASK_BITS, MOST = 8, 4, 256
-CHUNKS = "kind string, value_id string, batch_no int, chunk binary, chunk_bytes int, value_bytes int"
-KEY = ["kind", "value_id", "batch_no"]
+SIZES = {"graph": (24, 5, 512)}
+KEY = ["kind", "value_id"]
+CHUNKS = "kind string, value_id binary, record string, batch_no int, chunk binary, chunk_bytes int, value_bytes int"
+STORED = "chunk binary, kind string, value_id binary, record string, chunk_bytes int, value_bytes int, batch_no int, bucket int"
+MATCHES = "kind string, value_id binary, held_id binary, held_record string, held_batch int, shared_bytes bigint, value_bytes int"
+#: Chunks of a batch up to which their hashes go to every task that reads the table.
+BROADCAST_CHUNKS = 500_000
 
 #: Random 32-bit words by byte value, from a fixed seed.
 GEAR = np.frombuffer(b"".join(hashlib.sha256(b"gear %d" % i).digest()[:4] for i in range(256)), dtype="<u4")
@@ -64,74 +71,115 @@ def boundaries(value: bytes, least: int = LEAST, mask_bits: int = MASK_BITS, mos
 def _chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         at, chunks, sizes, totals = [], [], [], []
-        for row, (kind, value) in enumerate(zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), strict=True)):
+        for row, (kind, value) in enumerate(zip(batch.column(0).to_pylist(), batch.column(4).to_pylist(), strict=True)):
             data = value.encode("utf-8", "surrogatepass")
+            own: dict[bytes, int] = {}
             start = 0
-            for end in boundaries(data):
-                at.append(row)
-                chunks.append(hashlib.blake2b(data[start:end], digest_size=12, key=kind.encode()[:64]).digest())
-                sizes.append(end - start)
-                totals.append(len(data))
+            for end in boundaries(data, *SIZES.get(kind, (LEAST, MASK_BITS, MOST))):
+                digest = hashlib.blake2b(data[start:end], digest_size=12, key=kind.encode()[:64]).digest()
+                own[digest] = own.get(digest, 0) + end - start
                 start = end
-        rest = batch.select([0, 1, 2]).take(pa.array(at, pa.int64()))
+            at += [row] * len(own)
+            chunks += own.keys()
+            sizes += own.values()
+            totals += [len(data)] * len(own)
+        rest = batch.select([0, 1, 2, 3]).take(pa.array(at, pa.int64()))
         yield pa.RecordBatch.from_arrays(
             [*rest.columns, pa.array(chunks, pa.binary()), pa.array(sizes, pa.int32()), pa.array(totals, pa.int32())],
-            names=[*KEY, "chunk", "chunk_bytes", "value_bytes"],
+            names=[*KEY, "record", "batch_no", "chunk", "chunk_bytes", "value_bytes"],
         )
 
 
 def value_id(column: str = "value") -> Column:
-    return F.sha2(F.col(column), 256)
-
-
-def chunked(values: DataFrame) -> DataFrame:
-    """Chunks of (kind, value, batch_no). Chunks of different kinds never meet; null and empty
-    values have none."""
-    return (
-        values.select("kind", value_id().alias("value_id"), F.col("batch_no").cast("int").alias("batch_no"), "value")
-        .filter(F.col("value").isNotNull() & (F.col("value") != "") & F.col("batch_no").isNotNull())
-        .mapInArrow(_chunk, CHUNKS)
-    )
-
+    return F.unhex(F.substring(F.sha2(F.col(column), 256), 1, 32))
 
-def first_holders(chunks: DataFrame) -> DataFrame:
-    """The chunk table: (chunk, first_batch), one row a chunk."""
-    return chunks.groupBy("chunk").agg(F.min("batch_no").alias("first_batch"))
 
-
-def covered(chunks: DataFrame, table: DataFrame, threshold: float = 1.0) -> DataFrame:
-    """(kind, value_id, batch_no) whose bytes lie, by at least ``threshold`` of them, in chunks of
-    which the table has a batch smaller than their own. A value and batch must come once in
-    ``chunks``, which should be stored. Chunks that very many values share are spread over
-    tasks by their number."""
-    shared = F.sum(F.when(F.col("first_batch") < F.col("batch_no"), F.col("chunk_bytes")).otherwise(F.lit(0)))
-    weighted = materialize(chunks.groupBy("chunk").agg(F.count(F.lit(1)).alias("n")).join(table, "chunk"), "weighted")
+def distinct_values(records: DataFrame) -> DataFrame:
+    """(batch_no, kind, value_id, value, record, n): the distinct values of (batch_no, record, kind,
+    value), with how many records of the batch have each and the least of those. Null and empty
+    values, and null batches and kinds, are left out. A value that a third of all records share
+    is one row after the partial aggregate."""
     return (
-        lookup(chunks, weighted, ["chunk"], "n", KEY, "left")
-        .groupBy(*KEY)
-        .agg(shared.alias("shared_bytes"), F.first("value_bytes").alias("value_bytes"))
-        .filter(F.col("shared_bytes") >= F.lit(threshold) * F.col("value_bytes"))
-        .select(*KEY)
+        records.filter((F.col("value") != "") & F.col("batch_no").isNotNull() & F.col("kind").isNotNull())
+        .groupBy(F.col("batch_no").cast("int").alias("batch_no"), "kind", value_id().alias("value_id"))
+        .agg(F.any_value("value").alias("value"), F.min("record").alias("record"), F.count(F.lit(1)).alias("n"))
     )
 
 
-def append(spark: SparkSession, path: str, values: DataFrame) -> None:
-    """Add a batch to the stored chunk table. Adding it again changes no answer, since the
-    first batch counts; so a run that died halfway is simply run again."""
-    first_holders(chunked(values)).write.mode("append").parquet(path)
-
+def chunked(values: DataFrame) -> DataFrame:
+    """Chunks of :func:`distinct_values`, one row for each chunk of a value with all the bytes it has
+    there. Chunks of different kinds never meet."""
+    return values.select("kind", "value_id", "record", "batch_no", "value").mapInArrow(_chunk, CHUNKS)
+
+
+class ChunkHistory:
+    """The stored chunk table at a path. ``buckets`` must stay the same over its life; choose it so
+    that a bucket of all history is some hundred megabytes."""
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 8):
+        self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64("chunk"), F.lit(self.buckets)).cast("int")
+
+    def _hits(self, batch_no: int, chunks: DataFrame) -> DataFrame | None:
+        """Stored rows of earlier batches whose chunk the batch has; None if nothing is stored."""
+        if not exists(self.spark, self.path):
+            return None
+        mine = chunks.select("chunk", self._bucket().alias("bucket")).distinct()
+        counts = {r["bucket"]: r["n"] for r in mine.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `buckets` rows
+        stored = self.spark.read.schema(STORED).parquet(self.path).filter(F.col("bucket").isin(list(counts)) & (F.col("batch_no") < batch_no))
+        few = sum(counts.values()) <= BROADCAST_CHUNKS
+        found = stored.join(F.broadcast(mine) if few else mine, ["bucket", "chunk"], "left_semi")
+        return found.select(
+            "chunk", F.col("kind").alias("held_kind"), F.col("value_id").alias("held_id"), F.col("record").alias("held_record"),
+            F.col("batch_no").alias("held_batch"), F.col("chunk_bytes").alias("held_bytes"), F.col("value_bytes").alias("held_total"),
+        )
 
-def screen(spark: SparkSession, path: str, values: DataFrame, threshold: float = 1.0) -> DataFrame:
-    """Values of a new batch that are covered by what the stored table holds from earlier
-    batches; none if nothing is stored yet."""
-    chunks = materialize(chunked(values.select("kind", "value", "batch_no").distinct()), "chunks")
-    if not exists(spark, path):
-        return chunks.select(*KEY).limit(0)
-    table = spark.read.schema("chunk binary, first_batch int").parquet(path).groupBy("chunk").agg(F.min("first_batch").alias("first_batch"))
-    return covered(chunks, table, threshold)
+    def matches(self, batch_no: int, chunks: DataFrame, threshold: float = 1.0) -> DataFrame:
+        """Rows of MATCHES: each value of the batch and held value of an earlier batch that covers it
+        by at least ``threshold``. ``chunks`` (of this batch) should be stored.
+
+        A value that covers so much must hold one of any chunks that together have more than the
+        bytes that may be missing; so only the rarest chunks of each value look for candidates,
+        and boilerplate does not."""
+        hits = self._hits(batch_no, chunks)
+        if hits is None:
+            return self.spark.createDataFrame([], MATCHES)
+        hits = materialize(hits, "hits")
+        holders = hits.groupBy("chunk").agg(F.count(F.lit(1)).alias("holders"))
+        known = replicated(chunks, holders, ["chunk"], ["value_id"], "left").withColumn("holders", F.coalesce("holders", F.lit(0)))
+        rarest = Window.partitionBy(*KEY).orderBy("holders", "chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        before = F.sum("chunk_bytes").over(rarest) - F.col("chunk_bytes")
+        probes = known.withColumn("before", before).filter((F.col("before") <= F.lit(1 - threshold + 1e-9) * F.col("value_bytes")) & (F.col("holders") > 0))
+        candidates = (
+            replicated(hits, probes.select(*KEY, "chunk", "value_bytes"), ["chunk"], ["held_id"])
+            .filter(F.col("held_total") >= F.lit(threshold - 1e-9) * F.col("value_bytes"))
+            .select(*KEY, "held_id").distinct()
+        )
+        shared = F.sum(F.least("chunk_bytes", "held_bytes")).alias("shared_bytes")
+        return (
+            candidates.join(chunks.select(*KEY, "chunk", "chunk_bytes", "value_bytes"), KEY)
+            .join(hits, ["held_id", "chunk"])
+            .groupBy(*KEY, "held_id")
+            .agg(shared, F.any_value("value_bytes").alias("value_bytes"), F.min("held_record").alias("held_record"), F.min("held_batch").alias("held_batch"))
+            .filter(F.col("shared_bytes") >= F.lit(threshold - 1e-9) * F.col("value_bytes"))
+            .select(*[c.split()[0] for c in MATCHES.split(", ")])
+        )
 
+    def append(self, batch_no: int, chunks: DataFrame) -> None:
+        """Store the chunks of a batch. Its folders are replaced as a whole, so a run that died
+        halfway is simply run again; an empty batch stores nothing."""
+        rows = chunks.select("chunk", *KEY, "record", "chunk_bytes", "value_bytes", F.lit(batch_no).alias("batch_no"), self._bucket().alias("bucket"))
+        (
+            rows.repartition("bucket").sortWithinPartitions("bucket", "chunk").write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("batch_no", "bucket").parquet(self.path)
+        )
 
-def held_before(candidates: DataFrame, values: DataFrame) -> DataFrame:
-    """Exact check: candidates of which an equal value of the same kind stands in a smaller batch."""
-    first = values.groupBy("kind", value_id().alias("value_id")).agg(F.min("batch_no").alias("held_since"))
-    return candidates.join(first, ["kind", "value_id"]).filter(F.col("held_since") < F.col("batch_no")).drop("held_since")
+    def take(self, batch_no: int, chunks: DataFrame, threshold: float = 1.0, exact: bool = True) -> DataFrame:
+        """Check a batch and append what is accepted: the matches of its values, those of equal values
+        only if ``exact``. Values with a match are not appended: what they repeat is held."""
+        found = self.matches(batch_no, chunks, threshold)
+        found = materialize(found.filter(F.col("value_id") == F.col("held_id")) if exact else found, "matches")
+        self.append(batch_no, chunks.join(found.select(*KEY).distinct(), KEY, "left_anti"))
+        return found

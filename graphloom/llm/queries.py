@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from graphloom.functions.jsontext import clean, decode_object, encode
 from graphloom.functions.text import normal_hash
 from graphloom.llm import frequency, history, items, leak, mixing, nearsets, private, together
-from graphloom.operators.skew import lookup, replicated
+from graphloom.operators.shred import graphs
+from graphloom.operators.skew import lookup
 from graphloom.plans.tables import table
 from graphloom.sources.shared import materialize, scratch_path
 
+#: Least coverage of a near-duplicate.
+NEAR = 0.8
+
 
 def _workflow_count(spark: SparkSession, sf_dir: str) -> int:
     return table(spark, sf_dir, "derived_workflows").select(F.count_distinct("workflow_id").alias("n")).head()["n"]
@@ -20,37 +28,89 @@ def _workflow_count(spark: SparkSession, sf_dir: str) -> int:
 
 
 def batch_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(batch_no, workflow_id, kind, value): the identities of each row of derived_workflows, once
-    each: its id, its canonical hash and the payloads of its captures, normalised."""
-    rows = table(spark, sf_dir, "derived_workflows").select(F.col("batch_no").cast("int").alias("batch_no"), "workflow_id", "canonical_hash")
-    rows = rows.filter(F.col("batch_no").isNotNull() & F.col("workflow_id").isNotNull() & (F.col("workflow_id") != ""))
+    """(batch_no, record, kind, value): the identities of each row of derived_workflows, once each: its
+    id, its canonical hash and the payloads of its captures, normalised. record: the workflow_id."""
+    rows = table(spark, sf_dir, "derived_workflows").select(F.col("batch_no").cast("int").alias("batch_no"), F.col("workflow_id").alias("record"), "canonical_hash")
+    rows = rows.filter(F.col("batch_no").isNotNull() & (F.col("record") != ""))
     own = rows.select(
-        "batch_no", "workflow_id",
+        "batch_no", "record",
         F.explode(
             F.array(
-                F.struct(F.lit("workflow").alias("kind"), F.col("workflow_id").alias("value")),
+                F.struct(F.lit("workflow").alias("kind"), F.col("record").alias("value")),
                 F.struct(F.lit("canonical").alias("kind"), normal_hash("canonical_hash").alias("value")),
             )
         ).alias("x"),
-    ).select("batch_no", "workflow_id", "x.kind", "x.value").filter(F.col("value").isNotNull())
+    ).select("batch_no", "record", "x.kind", "x.value").filter(F.col("value").isNotNull())
     payloads = (
-        table(spark, sf_dir, "raw_artifacts").select("workflow_id", normal_hash("payload_sha256").alias("value"))
-        .filter((F.col("workflow_id") != "") & F.col("value").isNotNull()).distinct()
+        table(spark, sf_dir, "raw_artifacts").select(F.col("workflow_id").alias("record"), normal_hash("payload_sha256").alias("value"))
+        .filter((F.col("record") != "") & F.col("value").isNotNull()).distinct()
     )
-    placed = replicated(payloads, rows.select("batch_no", "workflow_id").distinct(), ["workflow_id"], ["value"])
-    return own.distinct().unionByName(placed.select("batch_no", "workflow_id", F.lit("payload").alias("kind"), "value"))
+    placed = _with_batches(payloads, rows)
+    return own.distinct().unionByName(placed.select("batch_no", "record", F.lit("payload").alias("kind"), "value"))
+
+
+def _with_batches(values: DataFrame, rows: DataFrame) -> DataFrame:
+    """Distinct (record, value) once for each batch that the record is in. A record is joined once,
+    with the list of its batches; only records with very many values are salted."""
+    values = materialize(values, "values")
+    batches = rows.groupBy("record").agg(F.collect_set("batch_no").alias("batches"))
+    weighted = materialize(values.groupBy("record").agg(F.count(F.lit(1)).alias("n")).join(batches, "record"), "weighted")
+    return lookup(values, weighted, ["record"], "n", ["value"]).select(F.explode("batches").alias("batch_no"), "record", "value")
+
+
+def _held_by_batch(spark: SparkSession, records: DataFrame, label: str, threshold: float, exact: bool) -> tuple[DataFrame, DataFrame]:
+    """(values, matches) of all batches, each checked against the stored table of those before it."""
+    values = materialize(history.distinct_values(records), "values")
+    chunks = materialize(history.chunked(values), "chunks", "batch_no")
+    store = history.ChunkHistory(spark, scratch_path(spark, label))
+    matches = spark.createDataFrame([], history.MATCHES + ", batch_no int")
+    for (number,) in sorted(chunks.select("batch_no").distinct().collect()):
+        held = store.take(number, chunks.filter(F.col("batch_no") == number), threshold, exact)
+        matches = matches.unionByName(held.withColumn("batch_no", F.lit(number)))
+    return values, matches
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of derived_workflows that repeat something that an earlier batch already held."""
-    records = materialize(batch_records(spark, sf_dir).withColumn("value_id", history.value_id()), "records")
-    values = records.groupBy("kind", "value", "batch_no").agg(F.count(F.lit(1)).alias("n"))
-    chunks = materialize(history.chunked(values), "chunks")
-    candidates = history.covered(chunks, history.first_holders(chunks))
-    weights = values.select("kind", history.value_id().alias("value_id"), "batch_no", "n")
-    held = materialize(history.held_before(candidates, values).join(weights, history.KEY), "held")
-    found = lookup(records, held, history.KEY, "n", ["workflow_id"], "left_semi")
-    return found.select("batch_no", "workflow_id").distinct()
+    """Rows of derived_workflows that repeat something that an earlier batch already held: batch by
+    batch through the stored chunk table, decided by full coverage by one held value, which is
+    then checked to be equal."""
+    records = materialize(batch_records(spark, sf_dir), "records")
+    values, matches = _held_by_batch(spark, records, "history", 1.0, exact=True)
+    key = ["batch_no", *history.KEY]
+    held = materialize(matches.select(*key).distinct().join(values.select(*key, "n"), key), "held")
+    found = lookup(records.withColumn("value_id", history.value_id()), held, key, "n", ["record"], "left_semi")
+    return found.select("batch_no", F.col("record").alias("workflow_id")).distinct()
+
+
+def _graph_values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = []
+        for record, meta in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            held = decode_object(meta)
+            for _, _, graph in graphs(held) if held is not None else ():
+                out.append((record, clean(encode(graph, separators=(",", ":"), ensure_ascii=False))))
+        columns = zip(*out, strict=True) if out else [[]] * 2
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=["record", "value"])
+
+
+def p1_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicates: of each workflow of a batch the graph that is covered best, by at least 0.8 of
+    its bytes, by one graph held from an earlier batch; the workflow that brought that one, its
+    batch and the coverage. One row a workflow and batch; equal graphs count too."""
+    rows = table(spark, sf_dir, "derived_workflows").select(F.col("batch_no").cast("int").alias("batch_no"), F.col("workflow_id").alias("record"))
+    rows = rows.filter(F.col("batch_no").isNotNull() & (F.col("record") != ""))
+    metas = table(spark, sf_dir, "raw_artifacts").filter("workflow_id <> '' AND source_meta IS NOT NULL").select("workflow_id", "source_meta")
+    texts = metas.mapInArrow(_graph_values, "record string, value string").distinct()
+    records = materialize(_with_batches(texts, rows).withColumns({"kind": F.lit("graph"), "value_id": history.value_id()}), "records")
+    values, matches = _held_by_batch(spark, records, "graphs", NEAR, exact=False)
+    key = ["batch_no", *history.KEY]
+    coverage = F.round(F.col("shared_bytes") / F.col("value_bytes"), 4)
+    best = matches.groupBy(*key).agg(F.max(F.struct(coverage.alias("coverage"), "held_record", "held_batch")).alias("best"))
+    held = materialize(best.join(values.select(*key, "n"), key), "held")
+    found = lookup(records.select(*key, "record"), held, key, "n", ["record"])
+    return found.groupBy("batch_no", F.col("record").alias("workflow_id")).agg(F.max("best").alias("best")).select(
+        "batch_no", "workflow_id", F.col("best.held_record").alias("held_workflow_id"), "best.held_batch", "best.coverage"
+    )
 
 
 P1_SQL = r"""
@@ -260,7 +320,7 @@ def p10_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "p1_found": p1_found, "p5_found": p5_found, "p5_groups": p5_groups,
+    "p1_found": p1_found, "p1_near": p1_near, "p5_found": p5_found, "p5_groups": p5_groups,
     "p6_found": p6_found, "p6_pairs": p6_pairs, "p7_found": p7_found, "p7_counts": p7_counts,
     "p8_found": p8_found, "p8_overlaps": p8_overlaps, "p9_selection": p9_selection, "p9_shares": p9_shares,
     "p10_found": p10_found, "p10_redacted": p10_redacted,
