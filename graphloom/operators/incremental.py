@@ -1,24 +1,34 @@
 """Processing only what is new or changed since the last successful run.
 
-The store holds, by hash partition of the record key, a change log and a fingerprint: the
-number of versions and the sum of their hashes, which is additive, so partial sums merge in
-any order. A catch-up compares fingerprints, works out only the partitions that differ,
-replaces each of those as a whole by dynamic partition overwrite and appends the new
-fingerprints last. A run that dies before the last step leaves old fingerprints behind, so
-the next one does the same partitions again and writes the same rows: nothing is skipped and
-nothing appears twice.
+Input comes in partitions (a source and month) and lies in folders by the run that first saw it,
+so a run reads what arrived for it and nothing before. The store holds, by partition, the latest
+version of each record and a fingerprint: the number of rows and the sum of their hashes, which
+is additive, so that of a run is that of the run before plus what arrived. A run works on the
+partitions whose fingerprint is not the stored one and no other. It writes in this order: what is
+new or changed, in a folder of the run; the changed partitions, each replaced as a whole by
+dynamic partition overwrite; the fingerprints. A run that dies at any place is run again: the
+list of changes is taken as it is if it is complete, replacing a partition twice gives the same,
+and fingerprints come last. So nothing is skipped and nothing appears twice.
 """
 
 from __future__ import annotations
 
+import decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from graphloom.operators.skew import replicated
-from graphloom.sources.shared import exists, materialize
+from graphloom.operators.skew import small_join
+from graphloom.sources.shared import complete_folders, exists, materialize
 
-LOG = "part int, run_seq int, record_key string"
-FINGERPRINTS = "part int, epoch bigint, n bigint, hash_sum bigint"
+VERSIONS = "record_key string, version string, content string, part string, run_seq int"
+LATEST = "record_key string, version string, content string, part string"
+CHANGES = "record_key string"
+FINGERPRINTS = "part string, n bigint, hash_sum decimal(38,0)"
+#: Pairs of partition and run whose sums come to the driver at once.
+MOST_SUMS = 1_000_000
+#: Records of one run up to which their keys go to every task that reads the store.
+BROADCAST_KEYS = 500_000
 
 
 def arrivals(manifests: DataFrame, runs: DataFrame) -> DataFrame:
@@ -35,11 +45,7 @@ def arrivals(manifests: DataFrame, runs: DataFrame) -> DataFrame:
         .agg(F.min("landed_at").alias("landed_at"))
     )
     order = Window.orderBy("started_at", "run_seq")  # run records only, one a run
-    done = (
-        runs.filter((F.lower(F.trim("status")) == "done") & F.col("started_at").isNotNull())
-        .select(F.col("run_seq").cast("int").alias("run_seq"), "started_at")
-        .withColumn("after", F.lag("started_at").over(order))
-    )
+    done = successful(runs).withColumn("after", F.lag("started_at").over(order))
     first = done.agg(F.to_date(F.min("started_at")).alias("day")).head()["day"]
     if first is None:
         return first_landing.select("manifest_key", F.lit(None).cast("int").alias("run_seq")).limit(0)
@@ -51,73 +57,131 @@ def arrivals(manifests: DataFrame, runs: DataFrame) -> DataFrame:
     return keyed.join(spans, "day").filter(seen).select("manifest_key", "run_seq")
 
 
-def record_versions(rows: DataFrame, seen: DataFrame, key: str, version: Column, content: Column) -> DataFrame:
-    """(record_key, version, content, run_seq): of each record the latest version that each run
-    brought. ``rows`` has ``manifest_key``; rows with a null key or version are ignored. Rows
-    of one record with the same version are taken to have the same content; if not, the
-    larger content wins."""
+def successful(runs: DataFrame) -> DataFrame:
+    """(run_seq, started_at) of the runs that took effect."""
+    return runs.filter((F.lower(F.trim("status")) == "done") & F.col("started_at").isNotNull()).select(F.col("run_seq").cast("int").alias("run_seq"), "started_at")
+
+
+def run_order(runs: DataFrame) -> list[int]:
+    """The successful runs in the order of their start: one number a run."""
+    return [r["run_seq"] for r in successful(runs).orderBy("started_at", "run_seq").collect()]
+
+
+def stage(rows: DataFrame, seen: DataFrame, key: str, version: Column, content: Column, part: Column) -> DataFrame:
+    """Rows of VERSIONS, stored in a folder for each run: of each record the latest version that each
+    run brought in each partition. ``rows`` has ``manifest_key``; rows with a null key, version or
+    partition are ignored. Rows of one record with the same version are taken to have the same
+    content; if not, the larger content wins. ``seen`` should be stored."""
     narrow = rows.select(
-        F.col(key).alias("record_key"), version.alias("version"), content.alias("content"), "manifest_key"
-    ).filter(F.col("record_key").isNotNull() & F.col("version").isNotNull())
-    return (
-        replicated(narrow, seen, ["manifest_key"], ["record_key"])
-        .groupBy("record_key", "run_seq")
+        F.col(key).alias("record_key"), version.alias("version"), content.alias("content"), part.alias("part"), "manifest_key"
+    ).filter(F.col("record_key").isNotNull() & F.col("version").isNotNull() & F.col("part").isNotNull())
+    latest = (
+        small_join(narrow, seen, ["manifest_key"], ["record_key"], "inner")
+        .groupBy("record_key", "part", "run_seq")
         .agg(F.max(F.struct("version", "content")).alias("best"))
-        .select("record_key", "best.version", "best.content", "run_seq")
+        .select("record_key", "best.version", "best.content", "part", "run_seq")
     )
+    return materialize(latest, "versions", "run_seq")
 
 
-def catch_up(spark: SparkSession, path: str, versions: DataFrame, partitions: int = 64) -> DataFrame:
-    """Bring the store at ``path`` up to ``versions`` and return its change log as
-    (run_seq, record_key): a record stands there for a run if it is new in that run, or if its
-    current content (that of its latest version so far) is not what it was at the run before.
+class ChangeStore:
+    """The store at a path; see the module. One writer at a time."""
 
-    ``partitions`` must stay the same over the life of a store. Empty ``versions`` give an
-    empty log.
-    """
-    log_path, print_path = f"{path}/changes", f"{path}/fingerprints"
-    staged = materialize(
-        versions.withColumn("part", F.pmod(F.xxhash64("record_key"), F.lit(partitions)).cast("int")), "versions"
-    )
-    now = staged.groupBy("part").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.pmod(F.xxhash64("record_key", "version", "content", "run_seq"), F.lit(1 << 32))).alias("hash_sum"),
-    )
-    if exists(spark, print_path):
-        kept = (
-            spark.read.schema(FINGERPRINTS).parquet(print_path).groupBy("part")
-            .agg(F.max_by(F.struct("n", "hash_sum"), "epoch").alias("old"), F.max("epoch").alias("epoch"))
-        )
-    else:
-        kept = spark.createDataFrame([], "part int, old struct<n: bigint, hash_sum: bigint>, epoch bigint")
-    joined = now.withColumn("new", F.struct("n", "hash_sum")).join(kept, "part", "full")
-    changed = materialize(
-        joined.filter(~F.col("new").eqNullSafe(F.col("old"))).select(
-            "part",
-            (F.coalesce("epoch", F.lit(0)) + 1).alias("epoch"),
-            F.coalesce("n", F.lit(0)).alias("n"),
-            F.coalesce("hash_sum", F.lit(0)).alias("hash_sum"),
-        ),
-        "changed",
-    )
-    if not changed.isEmpty():
-        # at most `partitions` rows, whatever the data
-        todo = staged.join(F.broadcast(changed.select("part")), "part", "left_semi")
-        by_run = Window.partitionBy("part", "record_key").orderBy("run_seq")
-        upto = by_run.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        current = todo.withColumn("current", F.max(F.struct("version", "content")).over(upto)).withColumn(
-            "before", F.lag("current").over(by_run)
-        )
-        changes = current.filter(
-            F.col("before").isNull() | ~F.col("before.content").eqNullSafe(F.col("current.content"))
-        ).select("run_seq", "record_key", "part")
-        # a partition without versions is replaced by a row without a key
-        emptied = changed.select(F.lit(None).cast("int").alias("run_seq"), F.lit(None).cast("string").alias("record_key"), "part")
-        (
-            changes.unionByName(emptied).repartition("part").write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(log_path)
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def _fingerprints(self) -> dict[str, tuple[int, int]]:
+        """The last stored fingerprint of each partition."""
+        runs = complete_folders(self.spark, f"{self.path}/fingerprints")
+        if not runs:
+            return {}
+        stored = self.spark.read.schema(FINGERPRINTS).parquet(f"{self.path}/fingerprints/{runs[-1]}")
+        return {r["part"]: (r["n"], int(r["hash_sum"])) for r in stored.collect()}  # one row a partition
+
+    def _latest(self) -> DataFrame:
+        at = f"{self.path}/latest"
+        if not exists(self.spark, at):
+            return self.spark.createDataFrame([], LATEST)
+        return self.spark.read.schema(LATEST).parquet(at)
+
+    def _changes(self, number: int) -> str:
+        return f"{self.path}/changes/run-{number:09d}"
+
+    def apply(self, number: int, staged: DataFrame, runs: list[int], expected: dict[str, tuple[int, int]], now: dict[str, tuple[int, int]]) -> list[str]:
+        """The last of ``runs``, the ``number``-th: ``now`` are the fingerprints of all partitions with
+        what arrived for it, ``expected`` those without. Of a partition whose stored fingerprint is
+        not the expected one (rows came to an older file) all rows are read again. Returns the
+        partitions that were worked on."""
+        stored = self._fingerprints()
+        changed = sorted(p for p, mark in now.items() if stored.get(p) != mark)
+        stale = [p for p in changed if stored.get(p) != expected.get(p)]
+        if changed:
+            wanted = F.col("part").isin(changed) & (F.col("run_seq") == runs[-1])
+            if stale:
+                wanted = wanted | (F.col("part").isin(stale) & F.col("run_seq").isin(runs))
+            arrived, held = staged.filter(wanted).drop("run_seq"), self._latest()
+            if self._changes(number).rsplit("/", 1)[1] not in complete_folders(self.spark, f"{self.path}/changes"):
+                came = sum(mark[0] - expected.get(p, (0, 0))[0] for p, mark in now.items()) if not stale else BROADCAST_KEYS + 1
+                self._write_changes(number, arrived, held, came <= BROADCAST_KEYS)
+            self._replace(arrived, held, changed)
+        rows = [(p, n, decimal.Decimal(h)) for p, (n, h) in sorted(now.items())]
+        self.spark.createDataFrame(rows, FINGERPRINTS).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/fingerprints/run-{number:09d}")
+        return changed
+
+    def _write_changes(self, number: int, arrived: DataFrame, held: DataFrame, few: bool) -> None:
+        """Records that are new, or whose latest version has another content than before. ``few``: there
+        are at most BROADCAST_KEYS of them, by the sums."""
+        came = arrived.groupBy("record_key").agg(F.max(F.struct("version", "content")).alias("came"))
+        keys = arrived.select("record_key").distinct()
+        known = held.join(F.broadcast(keys) if few else keys, "record_key", "left_semi")
+        known = known.groupBy("record_key").agg(F.max(F.struct("version", "content")).alias("held"))
+        both = came.join(known, "record_key", "left")
+        newer = F.col("held").isNull() | ((F.col("came") > F.col("held")) & ~F.col("came.content").eqNullSafe(F.col("held.content")))
+        both.filter(newer).select("record_key").write.mode("overwrite").parquet(self._changes(number))
+
+    def _replace(self, arrived: DataFrame, held: DataFrame, changed: list[str]) -> None:
+        merged = (
+            held.filter(F.col("part").isin(changed)).unionByName(arrived)
+            .groupBy("record_key", "part").agg(F.max(F.struct("version", "content")).alias("best"))
+            .select("record_key", "best.version", "best.content", "part")
         )
-        changed.coalesce(1).write.mode("append").parquet(print_path)
-    if not exists(spark, log_path):
-        return spark.createDataFrame([], "run_seq int, record_key string")
-    return spark.read.schema(LOG).parquet(log_path).filter(F.col("record_key").isNotNull()).select("run_seq", "record_key")
+        # read before it is overwritten: the rows go through a table of their own
+        merged = materialize(merged, "merged")
+        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(f"{self.path}/latest")
+
+    def changes(self, numbers: dict[int, int]) -> DataFrame:
+        """(run_seq, record_key) of the runs given as number to run_seq."""
+        done = [int(name.removeprefix("run-")) for name in complete_folders(self.spark, f"{self.path}/changes")]
+        out = self.spark.createDataFrame([], "run_seq int, record_key string")
+        paths = [self._changes(n) for n in done if n in numbers]
+        if not paths:
+            return out
+        rows = self.spark.read.schema(CHANGES).option("basePath", f"{self.path}/changes").parquet(*paths)
+        name = F.regexp_extract("_metadata.file_path", r"/run-(\d+)/", 1).cast("int")
+        run = F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair])
+        return rows.select(run[name].alias("run_seq"), "record_key")
+
+
+def catch_up(spark: SparkSession, path: str, staged: DataFrame, order: list[int]) -> DataFrame:
+    """Apply all runs in ``order`` that the store at ``path`` has not had, one by one, and return the
+    changes of all of them as (run_seq, record_key): a record stands there for a run if it is new in
+    that run, or if its current content (that of its latest version so far) is not what it was at
+    the run before. Empty ``staged`` gives no change."""
+    store = ChangeStore(spark, path)
+    each = staged.groupBy("part", "run_seq").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("record_key", "version", "content", "run_seq").cast("decimal(38,0)")).alias("hash_sum")
+    ).limit(MOST_SUMS + 1).collect()
+    if len(each) > MOST_SUMS:
+        raise ValueError(f"more than {MOST_SUMS} partitions and runs at once; catch up in parts")
+    numbers = {place: run for place, run in enumerate(order, 1)}
+    sums: dict[str, tuple[int, int]] = {}
+    done = complete_folders(spark, f"{store.path}/fingerprints")
+    for number, run in numbers.items():
+        expected = dict(sums)
+        for r in each:
+            if r["run_seq"] == run:
+                n, h = sums.get(r["part"], (0, 0))
+                sums[r["part"]] = (n + r["n"], h + int(r["hash_sum"]))
+        if f"run-{number:09d}" not in done:
+            store.apply(number, staged, order[:number], expected, sums)
+    return store.changes(numbers)

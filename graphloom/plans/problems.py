@@ -110,15 +110,19 @@ def capture_content() -> Column:
 
 
 def capture_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The versions of captures by the run that first saw them; a partition is a source and month."""
     seen = materialize(incremental.arrivals(table(spark, sf_dir, "ingest_manifest"), table(spark, sf_dir, "ingest_run")), "arrivals")
-    return incremental.record_versions(
-        table(spark, sf_dir, "raw_artifacts"), seen, "capture_id", seconds_text("crawled_at"), capture_content()
+    part = F.regexp_extract("manifest_key", r"^raw/(.*)/[^/]*$", 1)
+    return incremental.stage(
+        table(spark, sf_dir, "raw_artifacts"), seen, "capture_id", seconds_text("crawled_at"), capture_content(), F.translate(part, "/", "_")
     )
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For each successful run the captures that are new or changed since the one before."""
-    log = incremental.catch_up(spark, scratch_path(spark, "captures"), capture_versions(spark, sf_dir))
+    """For each successful run the captures that are new or changed since the one before: run by run
+    through the store, each reading what arrived for it."""
+    order = incremental.run_order(table(spark, sf_dir, "ingest_run"))
+    log = incremental.catch_up(spark, scratch_path(spark, "captures"), capture_versions(spark, sf_dir), order)
     return log.select("run_seq", F.col("record_key").alias("capture_id"))
 
 

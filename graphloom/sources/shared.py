@@ -15,11 +15,14 @@ _written: list[str] = []
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where that is unset (tests), one of our own."""
+    """The folder of ``spark.checkpoint.dir``; where that is unset and all runs on one machine (tests),
+    one of our own. On a cluster a folder of the driver's machine would not do: that is an error."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
         root = getattr(spark.sparkContext, "_graphloom_root", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="graphloom-shared-")
         spark.sparkContext._graphloom_root = root
         spark.sparkContext.setCheckpointDir(root)
@@ -57,6 +60,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def complete_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below a path that were written to their end, in order."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    system = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(at):
+        return []
+    folders = [status.getPath() for status in system.listStatus(at)]
+    return sorted(f.getName() for f in folders if system.exists(jvm.org.apache.hadoop.fs.Path(f, "_SUCCESS")))
+
+
 def cleanup(spark: SparkSession) -> int:
     """Delete what :func:`materialize` wrote in this process; return how many paths."""
     count = len(_written)

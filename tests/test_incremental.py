@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from graphloom.operators import incremental
 from graphloom.plans.problems import capture_content, p4_found, tag_set
-from graphloom.sources.shared import scratch_path
+from graphloom.sources.shared import materialize, scratch_path
 from tests.conftest import SMALL
 
 DAY = dt.datetime(2026, 1, 1)
@@ -46,55 +46,61 @@ def case(spark, seed):
     )
 
 
-def versions_of(df, manifests, runs):
-    return incremental.record_versions(df, incremental.arrivals(manifests, runs), "k", F.col("v"), F.col("c"))
+def run(spark, path, df, manifests, runs):
+    seen = materialize(incremental.arrivals(manifests, runs), "seen")
+    staged = incremental.stage(df, seen, "k", F.col("v"), F.col("c"), F.substring("k", 1, 2))
+    return incremental.catch_up(spark, path, staged, incremental.run_order(runs))
 
 
 def test_catch_up_equals_brute_force(spark):
-    for seed in range(3):
+    for seed in range(2):
         rows, landed, runs, df, manifests, run_df = case(spark, seed)
-        log = incremental.catch_up(spark, scratch_path(spark, "t"), versions_of(df, manifests, run_df), 8)
+        log = run(spark, scratch_path(spark, "t"), df, manifests, run_df)
         assert {tuple(r) for r in log.collect()} == brute(rows, landed, runs)
 
 
-def test_run_by_run_with_a_failure_between(spark, monkeypatch):
+@pytest.mark.parametrize("place", ["_write_changes", "_replace", "fingerprints"])
+def test_run_by_run_with_a_failure_between(spark, monkeypatch, place):
     rows, landed, runs, df, manifests, run_df = case(spark, 7)
     path = scratch_path(spark, "t")
-    for upto in (3, 5, 8):
-        seen = versions_of(df, manifests, run_df.filter(F.col("run_seq") <= upto))
-        if upto == 5:  # dies after the partitions were replaced, before the fingerprints
-            def lost(*_):
-                raise RuntimeError("lost")
 
-            with monkeypatch.context() as broken:
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    for upto in (5, 8):
+        first = run_df.filter(F.col("run_seq") <= upto)
+        with monkeypatch.context() as broken:  # dies before this step, or before the fingerprints
+            if place == "fingerprints":
                 broken.setattr(type(df), "coalesce", lost)
-                with pytest.raises(RuntimeError):
-                    incremental.catch_up(spark, path, seen, 8)
-        log = incremental.catch_up(spark, path, seen, 8)
+            else:
+                broken.setattr(incremental.ChangeStore, place, lost)
+            with pytest.raises(RuntimeError):
+                run(spark, path, df, manifests, first)
+        got = [tuple(r) for r in run(spark, path, df, manifests, first).collect()]
         want = {c for c in brute(rows, landed, runs) if c[0] <= upto}
-        got = [tuple(r) for r in log.collect()]
         assert set(got) == want and len(got) == len(want)
 
 
-def test_unchanged_partitions_are_left_alone(spark):
+def test_a_run_works_on_changed_partitions_only(spark):
     import os
 
     rows, landed, runs, df, manifests, run_df = case(spark, 3)
     path = scratch_path(spark, "t")
-    incremental.catch_up(spark, path, versions_of(df, manifests, run_df), 8)
-    files = lambda: {os.path.join(d, f) for d, _, fs in os.walk(f"{path}/changes/") for f in fs if f.endswith(".parquet")}
+    files = lambda: {os.path.join(d, f) for d, _, fs in os.walk(f"{path}/latest/") for f in fs if f.endswith(".parquet")}
+    want = {tuple(r) for r in run(spark, path, df, manifests, run_df).collect()}
     before = files()
-    incremental.catch_up(spark, path, versions_of(df, manifests, run_df), 8)
-    assert files() == before
-    one_more = df.unionByName(spark.createDataFrame([("k1", "v99", "zz", min(landed, key=landed.get))], df.schema))
-    incremental.catch_up(spark, path, versions_of(one_more, manifests, run_df), 8)
-    assert len(before - files()) == 1
+    assert {tuple(r) for r in run(spark, path, df, manifests, run_df).collect()} == want and files() == before
+    # a row that came to an old file is found by the fingerprint of its partition at the next run
+    late = df.unionByName(spark.createDataFrame([("k1", "v99", "zz", min(landed, key=landed.get))], df.schema))
+    more = run_df.unionByName(spark.createDataFrame([(99, DAY + dt.timedelta(days=60), "done")], run_df.schema))
+    got = {tuple(r) for r in run(spark, path, late, manifests.filter("landed_at < '2026-01-20'"), more).collect()}
+    assert got - want >= {(99, "k1")} and len({f.split("part=")[1][:2] for f in before - files()}) < len({f.split("part=")[1][:2] for f in before}) + 1
 
 
 def test_empty_inputs(spark):
     _, _, _, df, manifests, run_df = case(spark, 1)
     for a, b, c in ((df.limit(0), manifests, run_df), (df, manifests.limit(0), run_df), (df, manifests, run_df.limit(0))):
-        assert incremental.catch_up(spark, scratch_path(spark, "t"), versions_of(a, b, c), 4).count() == 0
+        assert run(spark, scratch_path(spark, "t"), a, b, c).count() == 0
 
 
 def test_content_ignores_spelling(spark):
@@ -110,5 +116,5 @@ def test_content_ignores_spelling(spark):
 def test_clashing_columns(spark):
     raw = spark.read.parquet(f"{SMALL}/raw_artifacts.parquet").withColumns({c: F.lit("x") for c in ("part", "version", "record_key", "_salt", "run_seq")})
     seen = spark.createDataFrame([("none", 1)], "manifest_key string, run_seq int")
-    assert incremental.record_versions(raw, seen, "capture_id", F.col("title"), F.col("title")).count() == 0
+    assert incremental.stage(raw, seen, "capture_id", F.col("title"), F.col("title"), F.col("source")).count() == 0
     assert p4_found(spark, SMALL).columns == ["run_seq", "capture_id"]
