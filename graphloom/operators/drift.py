@@ -139,7 +139,8 @@ def renames(flat: DataFrame, differing: DataFrame) -> DataFrame:
 def changes(flat: DataFrame) -> DataFrame:
     """(source, step, old_field, new_field, drift): every change between neighbouring months.
     ``flat`` should be stored, it is read several times."""
-    differing = materialize(differences(field_types(flat)), "differences")
+    types = materialize(field_types(flat), "types")  # both the fingerprints and the differences read it
+    differing = materialize(differences(types), "differences")
     renamed = materialize(renames(flat, differing), "renames")
     gone = renamed.select("source", "step", F.col("old_field").alias("field"), F.lit("removed").alias("drift"))
     come = renamed.select("source", "step", F.col("new_field").alias("field"), F.lit("added").alias("drift"))
