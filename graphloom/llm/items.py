@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.functions.text import squeeze, strip
@@ -56,10 +56,13 @@ def class_terms(nodes: DataFrame) -> DataFrame:
     ).filter(F.col("term").isNotNull() & F.col("record").isNotNull())
 
 
-def tag_terms(raw: DataFrame) -> DataFrame:
-    """(field, term, record): one row an occurrence of a normalised tag, repeats kept."""
+def tag_terms(raw: DataFrame, *more: Column) -> DataFrame:
+    """(field, term, record): one row an occurrence of a normalised tag, repeats kept; ``more`` columns
+    stand behind them."""
+    tags = raw.filter(F.col("capture_id").isNotNull()).select(
+        F.lit("tags").alias("field"), F.col("tags").alias("tags"), F.col("capture_id").alias("record"), *more
+    )
     return (
-        raw.filter(F.col("capture_id").isNotNull())
-        .select(F.lit("tags").alias("field"), F.explode("tags").alias("tag"), F.col("capture_id").alias("record"))
-        .select("field", squeeze("tag").alias("term"), "record").filter(F.col("term") != "")
+        tags.withColumn("tag", F.explode("tags")).withColumn("term", squeeze("tag")).filter(F.col("term") != "")
+        .select("field", "term", "record", *[c for c in tags.columns if c not in ("field", "tags", "record")])
     )

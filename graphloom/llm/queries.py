@@ -234,13 +234,18 @@ FROM cells"""
 
 
 def _term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    terms = items.class_terms(table(spark, sf_dir, "derived_workflow_nodes")).unionByName(
-        items.tag_terms(table(spark, sf_dir, "raw_artifacts"))
-    )
+    """Counts of all terms, built up as they came: the classes, whose table has no times, then the tags of
+    each month of manifests as a change set of its own."""
+    raw = table(spark, sf_dir, "raw_artifacts")
+    month = F.regexp_extract(F.coalesce("manifest_key", F.lit("")), r"/(\d{4}-\d{2})/", 1)
+    tags = materialize(items.tag_terms(raw, month.alias("month")), "tags", "month")
     store = frequency.TermStore(spark, scratch_path(spark, "terms"))
-    store.apply(1, frequency.changes(added=terms))
+    store.apply(0, frequency.changes(added=items.class_terms(table(spark, sf_dir, "derived_workflow_nodes"))))
+    months = sorted(r["month"] or "" for r in tags.select("month").distinct().collect())  # one a month of history
+    for epoch, name in enumerate(months, 1):
+        store.apply(epoch, frequency.changes(added=tags.filter(F.coalesce("month", F.lit("")) == name)))
     counts = store.counts()
-    captures = table(spark, sf_dir, "raw_artifacts").select(F.count_distinct("capture_id").alias("n")).head()["n"]
+    captures = raw.select(F.count_distinct("capture_id").alias("n")).head()["n"]
     return frequency.marked(counts, {"class_type": (_workflow_count(spark, sf_dir), 1 / 4), "tags": (captures, 1 / 20)})
 
 

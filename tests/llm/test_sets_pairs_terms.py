@@ -3,10 +3,10 @@ import math
 import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from graphloom.llm import frequency, items, nearsets, together
-from graphloom.operators.skew import spread
 from graphloom.sources.shared import materialize, scratch_path
 
 
@@ -108,7 +108,7 @@ def counts(rows):
     return {t: (sum(1 for x, _ in rows if x == t), len({r for x, r in rows if x == t})) for t in {x for x, _ in rows}}
 
 
-def test_signed_changes_equal_counting_anew(spark):
+def test_signed_changes_equal_counting_anew(spark, monkeypatch):
     rng = random.Random(2)
     make = lambda n: [(f"t{rng.randrange(8)}", f"r{rng.randrange(20)}") for _ in range(n)]
     first = make(80)
@@ -116,17 +116,22 @@ def test_signed_changes_equal_counting_anew(spark):
     added = make(15) + [("t1", "r1")]
     after = [x for x in first if x not in gone] + added
     df = lambda rows: spark.createDataFrame([("f", t, r) for t, r in rows], "field string, term string, record string").withColumn("bucket", F.lit("clash"))
-    store = frequency.TermStore(spark, scratch_path(spark, "terms"), 4)
+    store = frequency.TermStore(spark, scratch_path(spark, "terms"))
     read = lambda: {r["term"]: (r["occurrences"], r["records"]) for r in store.counts().collect()}
     store.apply(1, frequency.changes(added=df(first)))
     assert read() == counts(first)
     delta = frequency.changes(df(added), df(gone))
-    # a run that replaced some buckets and died
-    half = delta.filter(spread("field", "term", "record", buckets=4) < 2)
-    store.apply(2, half)
+    # a run that wrote its records and died before its terms
+    with monkeypatch.context() as broken:
+        broken.setattr(store, "_sum_terms", lambda epochs: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            store.apply(2, delta)
+    assert read() == counts(first)
     store.apply(2, delta)
     store.apply(2, delta)
     assert read() == counts(after)
+    store.fold()
+    assert read() == counts(after) and len(store._epochs()) == 1
     assert {(r["term"], r["record"]): r["n"] for r in store.records().collect()} == dict(Counter(after))
     marks = {r["term"]: r["mark"] for r in frequency.marked(store.counts(), {"f": (20, 0.5)}).collect()}
     assert all(marks[t] == ("common" if n > 10 else "rare" if n < 3 else "") for t, (_, n) in counts(after).items())
@@ -136,17 +141,23 @@ def test_signed_changes_equal_counting_anew(spark):
     assert read() == {}
 
 
-def test_untouched_buckets_are_left_alone(spark):
+def test_older_folders_are_left_alone(spark):
     import os
 
     path = scratch_path(spark, "terms")
-    store = frequency.TermStore(spark, path, 8)
+    store = frequency.TermStore(spark, path)
     df = lambda rows: spark.createDataFrame([("f", *r) for r in rows], "field string, term string, record string")
     store.apply(1, frequency.changes(added=df([(f"t{i}", f"r{i}") for i in range(100)])))
     files = lambda: {os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
     before = files()
-    store.apply(2, frequency.changes(added=df([("t1", "r1")])))
-    assert len(before - files()) == 1
+    store.apply(2, frequency.changes(added=df([("t1", "r1"), ("t1", "r2")])))
+    assert before < files()
+    # only what the new records hold is stored for them
+    assert spark.read.parquet(f"{path}/records-{2:012d}").count() == 2
+    got = {r["term"]: (r["occurrences"], r["records"]) for r in store.counts().collect()}
+    assert got["t1"] == (3, 2) and got["t2"] == (1, 1)
+    store.apply(3, frequency.changes(deleted=df([("t1", "r1")] * 9)))  # more than there are
+    assert {r["term"]: (r["occurrences"], r["records"]) for r in store.counts().collect()}["t1"] == (1, 1)
 
 
 def test_items_of_dirty_rows(spark):
