@@ -132,30 +132,39 @@ SELECT DISTINCT CAST(batch_no AS INT) AS batch_no, workflow_id FROM keys JOIN fi
 # --- p5 ---------------------------------------------------------------------------------
 
 
-def _near_sets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    flows = table(spark, sf_dir, "derived_workflows")
-    packs = items.pack_rows(flows, table(spark, sf_dir, "packs"), "structural_hash")
-    sizes = flows.filter(F.col("structural_hash").isNotNull()).groupBy("structural_hash").agg(F.max("node_count").alias("node_count"))
-    each, members = nearsets.classes(packs.join(sizes, "structural_hash"), "structural_hash", "node_count")
+def _near_sets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(classes, members, pairs of classes, names): keys are compact; names has the hash of each."""
+    flows = table(spark, sf_dir, "derived_workflows").filter(F.col("structural_hash").isNotNull())
+    flows = flows.withColumn("key", nearsets.compact("structural_hash"))
+    packs = materialize(items.pack_rows(flows, table(spark, sf_dir, "packs"), "key"), "packs")
+    named = materialize(flows.groupBy("key").agg(F.max("node_count").alias("node_count"), F.any_value("structural_hash").alias("structural_hash")), "names")
+    each, members = nearsets.classes(packs, named, "key", "node_count")
     each = materialize(each, "classes")
-    return each, members, materialize(nearsets.class_pairs(each), "pairs")
+    return each, members, materialize(nearsets.class_pairs(each), "pairs"), named.select("key", "structural_hash")
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of structural hashes with nearly the same packs and node count."""
-    _, members, pairs = _near_sets(spark, sf_dir)
-    return nearsets.key_pairs(pairs, members, "structural_hash")
+    """Pairs of structural hashes with nearly the same packs and node count: all pairs, as its columns
+    ask. :func:`p5_groups` says the same with one row a hash."""
+    _, members, pairs, names = _near_sets(spark, sf_dir)
+    called = materialize(members.join(names, "key").select("structural_hash", "class_id"), "members")
+    return nearsets.key_pairs(pairs, called, "structural_hash")
 
 
 def p5_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row a structural hash with at least 6 packs: its class of equal sets, the number of
-    other classes linked to that, and the group it falls into."""
-    each, members, pairs = _near_sets(spark, sf_dir)
+    """One row a structural hash with at least 6 packs: its class of equal sets and the group of linked
+    classes, each called by its least hash, the number of hashes in its class and of other
+    classes linked to that."""
+    each, members, pairs, names = _near_sets(spark, sf_dir)
     groups = nearsets.components(each, pairs)
     ends = pairs.select(F.explode(F.array("class_a", "class_b")).alias("class_id")).groupBy("class_id").agg(F.count(F.lit(1)).alias("n_links"))
-    return (
-        members.join(groups, "class_id").join(ends, "class_id", "left")
-        .select("structural_hash", "class_id", "group_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    called = materialize(members.join(names, "key").select("structural_hash", "class_id"), "members")
+    least = called.groupBy("class_id").agg(F.min("structural_hash").alias("class_name"), F.count(F.lit(1)).alias("n_equal"))
+    own = materialize(groups.join(least, "class_id").join(ends, "class_id", "left"), "own")
+    group_names = own.groupBy("group_id").agg(F.min("class_name").alias("group_name"))
+    facts = materialize(own.join(group_names, "group_id"), "facts")
+    return lookup(called, facts, ["class_id"], "n_equal", ["structural_hash"]).join(least.select("class_id", "n_equal"), "class_id").select(
+        "structural_hash", F.col("class_name").alias("class_id"), "n_equal", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.col("group_name").alias("group_id")
     )
 
 
@@ -178,14 +187,27 @@ WITH {PACKS_SQL}, sets AS (
 )
 SELECT ha AS structural_hash_a, hb AS structural_hash_b FROM inter WHERE c * 10 >= 7 * (la + lb - c)
 """
+P5_GROUPS_SQL = f"""
+WITH RECURSIVE {PACKS_SQL.strip()}, sets AS (
+  SELECT structural_hash AS h, max(node_count) AS n, list_sort(list(DISTINCT item)) AS s FROM named GROUP BY 1
+  HAVING count(DISTINCT item) >= 6 AND max(node_count) IS NOT NULL
+), classes AS (SELECT min(h) AS c, n, s, count(*) AS k FROM sets GROUP BY n, s
+), links AS (
+  SELECT a.c AS x, b.c AS y FROM classes a JOIN classes b ON a.c <> b.c AND abs(a.n - b.n) * 10 <= greatest(a.n, b.n)
+  WHERE len(list_intersect(a.s, b.s)) * 17 >= 7 * (len(a.s) + len(b.s))
+), reach AS (SELECT c AS start, c AS seen FROM classes UNION SELECT start, y FROM reach JOIN links ON x = seen)
+SELECT sets.h AS structural_hash, classes.c AS class_id, classes.k AS n_equal,
+  (SELECT count(*) FROM links WHERE x = classes.c) AS n_links, (SELECT min(seen) FROM reach WHERE start = classes.c) AS group_id
+FROM sets JOIN classes ON sets.n = classes.n AND sets.s = classes.s
+"""
 
 # --- p6 ---------------------------------------------------------------------------------
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flows = table(spark, sf_dir, "derived_workflows")
-    packs = items.pack_rows(flows, table(spark, sf_dir, "packs"), "workflow_id")
-    classes = items.class_rows(table(spark, sf_dir, "derived_workflow_nodes"))
+    short = {"workflow_id": nearsets.compact("workflow_id")}  # 16 bytes travel instead of 64
+    packs = items.pack_rows(table(spark, sf_dir, "derived_workflows").withColumns(short), table(spark, sf_dir, "packs"), "workflow_id")
+    classes = items.class_rows(table(spark, sf_dir, "derived_workflow_nodes").withColumns(short))
     rows = packs.select(F.lit("pack").alias("item_kind"), F.col("workflow_id").alias("record"), "item").unionByName(
         classes.select(F.lit("class").alias("item_kind"), F.col("workflow_id").alias("record"), "item")
     )
@@ -194,12 +216,13 @@ def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of packs or classes that occur together at least three times as often as by chance."""
-    pairs = _pairs(spark, sf_dir).filter("lift >= 3 - 1e-9 AND llr > 0")
+    pairs = _pairs(spark, sf_dir).filter("lift >= 3 - 1e-9")  # as the problem defines it; see p6_pairs for significance
     return pairs.select("item_kind", "item_a", "item_b")
 
 
 def p6_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pairs with enough support: counts, lift over chance and log-likelihood ratio."""
+    """All pairs with enough support: counts, lift over chance, log-likelihood ratio, and whether they
+    come together more often than chance would bring them in one of a thousand cases."""
     return _pairs(spark, sf_dir).withColumns({"lift": F.round("lift", 6), "llr": F.round("llr", 4)})
 
 
@@ -226,7 +249,8 @@ P6_PAIRS_SQL = (
 SELECT item_kind, item_a, item_b, n_ab, n_a, n_b, round(n_ab::DOUBLE * n / (n_a * n_b), 6) AS lift,
   round(2 * (a * ln(a * n / (n_a * n_b)) + CASE WHEN b > 0 THEN b * ln(b * n / (n_a * (n - n_b)::DOUBLE)) ELSE 0 END
     + CASE WHEN c > 0 THEN c * ln(c * n / ((n - n_a)::DOUBLE * n_b)) ELSE 0 END
-    + CASE WHEN d > 0 THEN d * ln(d * n / ((n - n_a)::DOUBLE * (n - n_b))) ELSE 0 END), 4) AS llr
+    + CASE WHEN d > 0 THEN d * ln(d * n / ((n - n_a)::DOUBLE * (n - n_b))) ELSE 0 END), 4) AS llr,
+  llr >= 10.828 AND n_ab::DOUBLE * n > n_a * n_b AS significant
 FROM cells"""
 )
 
@@ -331,5 +355,5 @@ QUERIES = {
     "p10_found": p10_found, "p10_redacted": p10_redacted,
 }
 SQL = {
-    "p1_found": P1_SQL, "p5_found": P5_SQL, "p6_found": P6_SQL, "p6_pairs": P6_PAIRS_SQL, "p7_found": P7_SQL, "p7_counts": P7_COUNTS_SQL,
+    "p1_found": P1_SQL, "p5_found": P5_SQL, "p5_groups": P5_GROUPS_SQL, "p6_found": P6_SQL, "p6_pairs": P6_PAIRS_SQL, "p7_found": P7_SQL, "p7_counts": P7_COUNTS_SQL,
 }

@@ -4,8 +4,9 @@ Only items in at least as many records as a pair must have can be part of such a
 the least support tied to the number of records, the items left are at most
 ``records / least`` times the mean number of items of a record, whatever the size of the
 data. They get numbers. Each task then adds up, for each item, an array of the items after it
-and how often each came along (its stripe); stripes are merged by item and neighbour. Pairs
-of single records are never sent anywhere.
+and how often each came along (its stripe), cut into blocks of neighbours, so that a stripe of an
+item that stands beside all others is many pieces. Stripes travel as arrays to the task of their
+item and block and are merged there; pairs of single records are never sent anywhere.
 """
 
 from __future__ import annotations
@@ -20,7 +21,11 @@ from pyspark.sql import functions as F
 from graphloom.operators.skew import replicated
 from graphloom.sources.shared import materialize
 
-STRIPES = "item_kind string, a int, neighbours array<int>, counts array<bigint>"
+STRIPES = "item_kind string, a int, block int, neighbours array<int>, counts array<int>"
+#: Numbers of neighbours in one piece of a stripe, as a power of two.
+BLOCK_BITS = 12
+#: Ratio from which a pair is no chance: 0.1 % of the chi-square distribution with one degree.
+SIGNIFICANT = 10.828
 #: Pair codes that a task gathers before it adds them up.
 GATHER = 2_000_000
 #: Up to so many numbered items go to every task; more are joined by salted copies.
@@ -34,16 +39,18 @@ def _reduce(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
 
 
 def _stripes(kind: str, codes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    first = (codes >> 32).astype(np.int32)
-    starts = np.flatnonzero(np.r_[True, first[1:] != first[:-1]])
+    piece = codes >> BLOCK_BITS  # item and block of the neighbour
+    starts = np.flatnonzero(np.r_[True, piece[1:] != piece[:-1]])
     offsets = pa.array(np.r_[starts, len(codes)].astype(np.int32))
+    head = codes[starts]
     return pa.RecordBatch.from_arrays(
         [
-            pa.array([kind] * len(starts), pa.string()), pa.array(first[starts]),
+            pa.array([kind] * len(starts), pa.string()), pa.array((head >> 32).astype(np.int32)),
+            pa.array(((head & 0xFFFFFFFF) >> BLOCK_BITS).astype(np.int32)),
             pa.ListArray.from_arrays(offsets, pa.array((codes & 0xFFFFFFFF).astype(np.int32))),
-            pa.ListArray.from_arrays(offsets, pa.array(counts)),
+            pa.ListArray.from_arrays(offsets, pa.array(counts.astype(np.int32))),
         ],
-        names=["item_kind", "a", "neighbours", "counts"],
+        names=["item_kind", "a", "block", "neighbours", "counts"],
     )
 
 
@@ -87,7 +94,7 @@ def log_likelihood(both: Column, a: Column, b: Column, n: Column) -> Column:
 
 
 def pairs(rows: DataFrame, records: int, least: int = 12, least_share: float = 1 / 2000) -> DataFrame:
-    """(item_kind, item_a, item_b, n_ab, n_a, n_b, lift, llr) of all pairs that occur together in
+    """(item_kind, item_a, item_b, n_ab, n_a, n_b, lift, llr, significant) of all pairs that occur together in
     at least ``least`` and at least ``least_share`` of ``records`` records. ``rows``: distinct
     (item_kind, record, item), stored, for it is read twice. item_a < item_b by code point.
     Records with one item, and no rows at all, give no pair."""
@@ -114,9 +121,10 @@ def pairs(rows: DataFrame, records: int, least: int = 12, least_share: float = 1
         .filter(F.size("items") > 1).select("item_kind", "items")
     )
     merged = (
-        baskets.mapInArrow(_stripe, STRIPES)
-        .select("item_kind", "a", F.explode(F.arrays_zip("neighbours", "counts")).alias("x"))
-        .groupBy("item_kind", "a", F.col("x.neighbours").alias("b")).agg(F.sum("x.counts").alias("n_ab"))
+        # the arrays are sent; the aggregate finds each item and block in one place and sends nothing
+        baskets.mapInArrow(_stripe, STRIPES).repartition("item_kind", "a", "block")
+        .select("item_kind", "a", "block", F.explode(F.arrays_zip("neighbours", "counts")).alias("x"))
+        .groupBy("item_kind", "a", "block", F.col("x.neighbours").alias("b")).agg(F.sum("x.counts").alias("n_ab"))
         .filter(F.col("n_ab") >= support)
     )
     named = merged
@@ -128,4 +136,4 @@ def pairs(rows: DataFrame, records: int, least: int = 12, least_share: float = 1
         "item_kind", "item_a", "item_b", "n_ab", "n_a", "n_b",
         (F.col("n_ab").cast("double") * n / (F.col("n_a") * F.col("n_b"))).alias("lift"),
         log_likelihood(F.col("n_ab"), F.col("n_a"), F.col("n_b"), n).alias("llr"),
-    )
+    ).withColumn("significant", (F.col("llr") >= SIGNIFICANT) & (F.col("lift") > 1))

@@ -13,7 +13,7 @@ from graphloom.sources.shared import materialize, scratch_path
 def near_sets(spark, sets):
     rows = [(k, i, m) for k, (s, m) in sets.items() for i in s]
     df = spark.createDataFrame(rows, "key string, item string, measure bigint")
-    each, members = nearsets.classes(df, "key", "measure")
+    each, members = nearsets.classes(df.select("key", "item"), df.select("key", "measure").distinct(), "key", "measure")
     each = materialize(each, "each")
     pairs = materialize(nearsets.class_pairs(each), "pairs")
     return each, members, pairs
@@ -45,6 +45,7 @@ def random_sets(seed, n=120):
 def test_near_sets_equal_brute_force(spark, monkeypatch):
     for seed, block in ((1, 4096), (2, 3)):  # a block of 3 cuts every tile
         monkeypatch.setattr(nearsets, "BLOCK", block)
+        monkeypatch.setattr(nearsets, "MEMBERS", block)
         sets = random_sets(seed)
         each, members, pairs = near_sets(spark, sets)
         got = [tuple(r) for r in nearsets.key_pairs(pairs, members, "key").collect()]
@@ -77,7 +78,7 @@ def test_long_chain_of_links(spark):
 
 def test_near_sets_of_nothing(spark):
     df = spark.createDataFrame([], "key string, item string, measure bigint")
-    each, members = nearsets.classes(df, "key", "measure")
+    each, members = nearsets.classes(df.select("key", "item"), df.select("key", "measure"), "key", "measure")
     assert nearsets.class_pairs(each).count() == 0 and members.count() == 0
 
 
@@ -91,7 +92,8 @@ def test_pairs_equal_brute_force(spark, monkeypatch):
         single.update(s)
         both.update(itertools.combinations(sorted(s), 2))
     want = {(a, b): (n, single[a], single[b]) for (a, b), n in both.items() if n >= 12}
-    for gather, limit in ((2_000_000, 500_000), (7, 1)):
+    for gather, limit, bits in ((2_000_000, 500_000, 12), (7, 1, 1)):
+        monkeypatch.setattr(together, "BLOCK_BITS", bits)
         monkeypatch.setattr(together, "GATHER", gather)
         monkeypatch.setattr(together, "BROADCAST_ITEMS", limit)
         got = {(r["item_a"], r["item_b"]): r for r in together.pairs(df, 200).collect()}
