@@ -316,8 +316,9 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p8_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents and items that share at least 13 words with at most a fifth of them replaced."""
-    return _overlaps(spark, sf_dir, leak.FULL_MASKS).filter("overlap_words >= 13")
+    """Documents and items that share at least 13 words with at most a fifth of them replaced, and items
+    of 5 to 12 words that stand whole in a document."""
+    return _overlaps(spark, sf_dir, leak.FULL_MASKS)
 
 
 def _mix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

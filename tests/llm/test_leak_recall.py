@@ -45,3 +45,20 @@ def test_overlaps_with_replaced_words_equal_brute_force(spark):
     i = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(items)], "item_id bigint, text string")
     got = {(r["doc_id"], r["item_id"]): (r["overlap_words"], r["substitutions"]) for r in leak.overlaps(d, i, masks=leak.FULL_MASKS).collect()}
     assert got == want and len(want) > 40
+
+
+def test_recall_at_the_declared_tolerance(spark):
+    rng = random.Random(11)
+    for replaced in (3, 4):
+        items, docs = [], []
+        for n in range(200):
+            item = [f"w{rng.randrange(5000)}" for _ in range(20)]
+            copy = list(item)
+            for at in rng.sample(range(1, 19), replaced):
+                copy[at] = f"other{n}x{at}"
+            items.append((n, " ".join(item)))
+            docs.append((n, " ".join([f"v{n}"] * 5 + copy + [f"u{n}"] * 5)))
+        d = spark.createDataFrame(docs, "doc_id bigint, text string")
+        i = spark.createDataFrame(items, "item_id bigint, text string")
+        got = {(r["doc_id"], r["item_id"], r["overlap_words"], r["substitutions"]) for r in leak.overlaps(d, i, leak.FULL_MASKS).collect()}
+        assert got == {(n, n, 20, replaced) for n in range(200)}

@@ -26,7 +26,7 @@ def longest_common(a, b):
     return best
 
 
-def test_leaks_equal_brute_force(spark):
+def test_leaks_equal_brute_force(spark, monkeypatch):
     rng = random.Random(3)
     vocabulary = [f"w{i}" for i in range(30)]
     item_texts = [[rng.choice(vocabulary) for _ in range(rng.randrange(5, 40))] for _ in range(8)]
@@ -45,8 +45,9 @@ def test_leaks_equal_brute_force(spark):
     d = spark.createDataFrame(docs, DOCS).withColumns({"item_id": F.lit(1), "exact_words": F.lit(2)})
     i = spark.createDataFrame(items, "item_id bigint, text string")
     want = {(n, k) for n, t in docs if n is not None and n < 100 for k, it in enumerate(item_texts) if longest_common((t or "").split(), it) >= 13}
-    for block in (leak.BLOCK_WINDOWS, 40):  # in one block and in many
-        got = {(r["doc_id"], r["item_id"]) for r in leak.overlaps(d, i, block).filter("exact_words >= 13").collect()}
+    for most in (leak.MOST_BITS, 64):  # a filter that fits, and one that lets nearly all pass
+        monkeypatch.setattr(leak, "MOST_BITS", most)
+        got = {(r["doc_id"], r["item_id"]) for r in leak.overlaps(d, i).filter("exact_words >= 13").collect()}
         assert {g for g in got if g[0] < 100} == want
         assert ((102, 1) in got) == (len(item_texts[1]) >= 13)
 
@@ -62,6 +63,22 @@ def test_replaced_words_are_bridged(spark):
     assert leak.overlaps(d.limit(0), i).count() == 0 and leak.overlaps(d, i.limit(0)).count() == 0
 
 
+def test_short_items_must_stand_whole(spark):
+    d = spark.createDataFrame([(1, "so one two three four five, then"), (2, "one two three four six five"), (3, "a b c d")], DOCS)
+    i = spark.createDataFrame([(7, "One two three four five"), (8, "a b c d"), (9, "one two three four five"), (9, None)], "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"], r["item_words"], r["exact_words"]) for r in leak.overlaps(d, i).collect()}
+    assert got == {(1, 7, 5, 5), (1, 9, 5, 5)}
+
+
+def test_only_text_around_windows_is_sent_on(spark):
+    item = [f"w{i}" for i in range(20)]
+    text = " ".join([f"a{i}" for i in range(5000)] + item + [f"b{i}" for i in range(5000)] + item)
+    table = leak.item_table(spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string"))
+    seeds = leak.item_seeds(table, leak.MASKS)
+    found = leak.pieces(spark.createDataFrame([(1, text), (2, "b " * 5000)], DOCS), leak.seed_filter(seeds), leak.MASKS, 33).collect()
+    assert len(found) == 2 and all(len(r["words"]) < 100 for r in found)
+
+
 def test_overlap_against_all_stretches():
     rng = np.random.default_rng(1)
     for _ in range(60):
