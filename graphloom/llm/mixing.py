@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -12,7 +13,8 @@ from pyspark.sql import functions as F
 from graphloom.functions.text import strip
 from graphloom.operators.skew import replicated
 
-#: A public tokenizer's file; a parameter, never part of this package.
+#: A public tokenizer's file; a parameter, never part of this package. The driver reads it and gives it
+#: to the tasks, so executors need not have it.
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 #: Sources up to which the rates go to every task.
 BROADCAST_SOURCES = 100_000
@@ -25,11 +27,13 @@ def source_name(column: str) -> Column:
 def token_counts(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     """(doc_id, source, tokens) of every document, whole text; 0 tokens for null or empty text,
     source normalised, null kept."""
+    definition = documents.sparkSession.sparkContext.broadcast(Path(tokenizer).read_text(encoding="utf-8"))  # some megabytes
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        model = Tokenizer.from_file(tokenizer)
+        model = Tokenizer.from_str(definition.value)
         model.encode_special_tokens = True
         for batch in batches:
             texts = [t or "" for t in batch.column(2).to_pylist()]
@@ -46,13 +50,14 @@ def token_counts(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
 def rates(counts: DataFrame, targets: DataFrame) -> DataFrame:
     """(source, target_share, max_repeats, have_tokens, rate): times that each document of a source
     comes on average, so that the source has its share of the tokens of all documents, at most
-    max_repeats. A source without tokens has rate 0. Of a source with several targets the
-    shares add up and the smallest max_repeats holds."""
+    max_repeats; a null max_repeats allows one copy, a null share is 0. A source without tokens has
+    rate 0. Of a source with several targets the shares add up and the smallest max_repeats holds.
+    What a source at its max_repeats lacks is not given to others: they would exceed their shares."""
     have = counts.groupBy("source").agg(F.sum("tokens").alias("have_tokens"))
     total = counts.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n")).head()["n"]
     wanted = (
         targets.select(source_name("source").alias("source"), "target_share", "max_repeats").filter(F.col("source").isNotNull())
-        .groupBy("source").agg(F.sum("target_share").alias("target_share"), F.min("max_repeats").alias("max_repeats"))
+        .groupBy("source").agg(F.coalesce(F.sum("target_share"), F.lit(0.0)).alias("target_share"), F.min(F.coalesce("max_repeats", F.lit(1))).alias("max_repeats"))
     )
     have_tokens = F.coalesce("have_tokens", F.lit(0).cast("long"))
     rate = F.when(have_tokens > 0, F.least(F.col("target_share") * total / have_tokens, F.col("max_repeats").cast("double"))).otherwise(F.lit(0.0))

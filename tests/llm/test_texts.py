@@ -118,6 +118,11 @@ def test_mixing_reaches_its_shares(spark, monkeypatch):
     assert mixing.select(counts.limit(0), rates).count() == 0
 
 
+def test_a_null_cap_allows_one_copy(spark):
+    counts, rates = mix(spark, [(n, "s", "some words") for n in range(10)] + [(99, "t", "more words")], [("s", 0.1, 1), ("t", 0.9, None), ("u", None, 2)])
+    assert {r["source"]: r["rate"] for r in rates.collect()}["t"] == 1.0 and mixing.select(counts, rates).filter("source = 't'").count() == 1
+
+
 def test_token_counts_are_the_tokenizers(spark):
     from tokenizers import Tokenizer
 
