@@ -12,19 +12,36 @@ from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
+from graphloom.config import Config
 from graphloom.functions.graph import CANVAS_CLASSES, LOADER_INPUTS
 from graphloom.plans import crawl
 from graphloom.plans.ingest import Lake
 from graphloom.schemas import ENUMS, TABLES
 from graphloom.session import build_session, ship_package
+from graphloom.sources import dimensions, migrations
 from graphloom.sources.pages import RecordedPages
+from graphloom.sources.shared import exists
 from graphloom.sources.store import STATE, StateStore
 
 
 def _lake(spark: SparkSession, args: argparse.Namespace) -> Lake:
     at = args.dimensions.rstrip("/")
     read = lambda name: spark.read.parquet(f"{at}/{name}.parquet")
-    return Lake(spark, f"{args.root}/lake", read("core_classes"), read("pack_nodes"), read("packs"))
+    inputs = f"{at}/core_inputs.parquet"
+    declared = dimensions.declared_inputs(spark.read.parquet(inputs)) if exists(spark, inputs) else None
+    return Lake(spark, f"{args.root}/lake", read("core_classes"), read("pack_nodes"), read("packs"), declared)
+
+
+def load_dimensions(spark: SparkSession, args: argparse.Namespace) -> dict:
+    """Published documents as the dimension tables that the other commands read."""
+    classes, inputs = dimensions.core_document(spark, args.core)
+    tables = {"core_classes": classes, "core_inputs": inputs, "pack_nodes": dimensions.name_map(spark, args.names), "packs": dimensions.pack_lines(spark, args.packs)}
+    counts = {}
+    for name, rows in tables.items():
+        at = f"{args.dimensions.rstrip('/')}/{name}.parquet"
+        rows.write.mode("overwrite").parquet(at)
+        counts[name] = spark.read.parquet(at).count()
+    return counts
 
 
 def _pages(spark: SparkSession, args: argparse.Namespace):
@@ -45,8 +62,9 @@ def selftest(spark: SparkSession) -> dict:
 
 def build_parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="graphloom")
-    parser.add_argument("--root", default=os.environ.get("GRAPHLOOM_ROOT", "graphloom-data"))
-    parser.add_argument("--source", default="galleryhub")
+    config = Config.from_env()
+    parser.add_argument("--root", default=config.root)
+    parser.add_argument("--source", default=config.source)
     parser.add_argument("--now", type=dt.datetime.fromisoformat, default=None, help="time to judge leases and limits at, UTC")
     commands = parser.add_subparsers(dest="command", required=True)
 
@@ -60,7 +78,9 @@ def build_parser() -> argparse.ArgumentParser:
     flag = {"action": "store_true"}
     modes = lambda d: {"choices": ["complete", "tagged", "all"], "default": d}
     folder = {"required": True}
-    command("check-schema", lambda s, a, now: {"drift": _lake(s, a).check()}, dimensions=folder)
+    command("check-schema", lambda s, a, now: {"drift": _lake(s, a).repair() if a.repair else _lake(s, a).check()}, dimensions=folder, repair=flag)
+    command("migrate", lambda s, a, now: {"ran": migrations.migrate(s, _store(s, a), a.migrations, now)}, migrations=folder)
+    command("load-dimensions", lambda s, a, now: load_dimensions(s, a), core=folder, names=folder, packs=folder, dimensions=folder)
     command(
         "discover-tip", lambda s, a, now: crawl.discover_tip(_store(s, a), _pages(s, a), a.source, now, a.mode, a.max_pages, not a.every_asset),
         pages=folder, mode=modes("complete"), max_pages=number(crawl.TIP_PAGES), every_asset=flag,
@@ -74,23 +94,18 @@ def build_parser() -> argparse.ArgumentParser:
         "fetch",
         lambda s, a, now: crawl.fetch(
             _store(s, a), s.read.parquet(a.files), a.source, f"{a.root}/bucket", now, a.batch, not a.no_prefix,
-            now + dt.timedelta(seconds=a.deadline_seconds) if a.deadline_seconds is not None else None,
+            now + dt.timedelta(seconds=a.deadline_seconds) if a.deadline_seconds is not None else None, s.read.parquet(a.api) if a.api else None,
         ),
-        files=folder, batch=number(200), no_prefix=flag, deadline_seconds={"type": float, "default": None},
+        files=folder, api={"default": None}, batch=number(200), no_prefix=flag, deadline_seconds={"type": float, "default": None},
     )
-    command("ingest", lambda s, a, now: _lake(s, a).ingest(f"{a.root}/bucket", a.limit, _documents(s, a)), dimensions=folder, limit=number(None))
-    command("gc", lambda s, a, now: crawl.collect_garbage(_store(s, a), now, a.limit), limit=number(1000))
+    command("ingest", lambda s, a, now: _lake(s, a).ingest(f"{a.root}/bucket", a.limit), dimensions=folder, limit=number(None))
+    command("gc", lambda s, a, now: crawl.collect_garbage(_store(s, a), f"{a.root}/bucket", now, a.limit), limit=number(1000))
     command("unlatch", lambda s, a, now: crawl.unlatch(_store(s, a), a.host, a.by, now), host=folder, by={"default": os.environ.get("USER", "unknown")})
     command("selftest", lambda s, a, now: selftest(s))
     command("status", lambda s, a, now: crawl.status(_store(s, a), a.source))
     return parser
 
 
-def _documents(spark: SparkSession, args: argparse.Namespace):
-    """Documents of the blobs that fetching stored."""
-    return _store(spark, args).read("blobs").filter("kind_class = 'graph'").selectExpr("sha256", "decode(content, 'UTF-8') AS document")
-
-
 def _store(spark: SparkSession, args: argparse.Namespace) -> StateStore:
     return StateStore(spark, f"{args.root}/state")
 

@@ -8,7 +8,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from graphloom.functions.containers import Parsed, parse
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from graphloom.functions.containers import DOCUMENTS, Extract, parse
 
 KIB = 1024
 #: Ends of the first parts read one after the other.
@@ -32,12 +35,12 @@ class Capture:
     prompt: str | None = None
 
 
-def _fill(capture: Capture, parsed: Parsed) -> bool:
+def _fill(capture: Capture, found: Extract) -> bool:
     """Take what is still missing; whether anything was."""
     gained = False
-    for kind in ("workflow", "prompt"):
-        if getattr(capture, kind) is None and getattr(parsed, kind) is not None:
-            setattr(capture, kind, getattr(parsed, kind))
+    for kind in DOCUMENTS:
+        if getattr(capture, kind) is None and kind in found.documents:
+            setattr(capture, kind, found.documents[kind])
             gained = True
     return gained
 
@@ -54,10 +57,10 @@ def capture_file(content: bytes) -> Capture:
         capture.bytes_fetched += len(part)
         capture.windows.append(len(part))
         quick = parse(data, past_image=False)
-        capture.container, capture.needed_bytes = quick.fmt, quick.needed_bytes
+        capture.container, capture.needed_bytes = quick.container, quick.until
         _fill(capture, quick)
         _fill(capture, parse(data))
-        if quick.needs_tail or not quick.truncated or capture.workflow is not None or len(data) >= len(content):
+        if quick.graph_last or not quick.ran_out or capture.workflow is not None or len(data) >= len(content):
             break
     kept_last = capture.container is not None and (capture.container.startswith("isobmff") or capture.container == "webp")
     if kept_last and capture.workflow is None and len(content) > LAST_PART:
@@ -69,6 +72,9 @@ def capture_file(content: bytes) -> Capture:
     return capture
 
 
-def wants_api(workflow: str | None, has_meta: bool) -> bool:
-    """Whether the dearer channel can pay: no graph in the bytes, and the listing says there is one."""
+def wants_api(workflow, has_meta):
+    """Whether the dearer channel can pay: no graph in the bytes, and the listing says there is one. The
+    flag may be a column; a null one says nothing."""
+    if isinstance(has_meta, Column):
+        return F.coalesce(has_meta, F.lit(False)) if workflow is None else F.lit(False)
     return workflow is None and bool(has_meta)

@@ -37,9 +37,3 @@ def absolute_url(url: Column, name: Column, template: str) -> Column:
     return F.when(F.coalesce(url, F.lit("")) == "", F.lit(None)).when(url.startswith("http"), url).otherwise(
         F.concat(F.lit(before), url, F.lit(middle), file, F.lit(end))
     )
-
-
-def whole_stats(stats: Column) -> Column:
-    """A map of numbers in text as whole numbers, cut towards zero; entries that are no number go."""
-    numbers = F.transform_values(stats, lambda k, v: F.try_to_number(v, F.lit("S999999999999.999999")).cast("double").cast("long"))
-    return F.map_filter(numbers, lambda k, v: v.isNotNull())

@@ -30,14 +30,17 @@ def latest(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
 def absent(new: DataFrame, held: DataFrame, key: list[str]) -> DataFrame:
     """Rows of ``new`` whose key is not held, one a key (the least by all columns). Null keys count
     as equal to each other. Count the result for the number of really new rows."""
-    unique = new.groupBy(*key).agg(F.min(F.struct(*[c for c in new.columns if c not in key])).alias("_row")) if len(new.columns) > len(key) else new.distinct()
-    rows = unique.select(*[F.col(c) if c in key or len(new.columns) == len(key) else F.col(f"_row.{c}").alias(c) for c in new.columns])
     known = held.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(key)]).distinct()
     same = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(key)]
     condition = same[0]
     for part in same[1:]:
         condition = condition & part
-    return rows.join(known, condition, "left_anti")
+    # keys decide first; only rows that are really new are then reduced to one a key
+    rows = new.join(known, condition, "left_anti")
+    if len(new.columns) == len(key):
+        return rows.distinct()
+    least = rows.groupBy(*key).agg(F.min(F.struct(*[c for c in new.columns if c not in key])).alias("_row"))
+    return least.select(*[F.col(c) if c in key else F.col(f"_row.{c}").alias(c) for c in new.columns])
 
 
 def upsert(held: DataFrame, new: DataFrame, key: list[str], keep_if_null: list[str] = ()) -> DataFrame:

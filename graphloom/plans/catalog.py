@@ -21,8 +21,8 @@ from graphloom.operators.shred import graphs
 from graphloom.operators.state import absent, forget, latest, update, upsert
 from graphloom.plans.ingest import derive_documents
 from graphloom.plans.tables import table
-from graphloom.sources.manifests import put_blobs
-from graphloom.sources.shared import materialize
+from graphloom.sources.manifests import blob_rows, write_blobs
+from graphloom.sources.shared import materialize, scratch_path
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -185,12 +185,13 @@ def gc_expired(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT sha256(text) AS sha256, octet_length(encode(min(text))) AS bytes, count(*) AS copies FROM documents WHERE text IS NOT NULL GROUP BY 1")
 def blob_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Content addressed storing (F4, K2): each digest once. Stand-in: texts as payloads."""
+    """Content addressed storing (F4, K2): each digest once, as an object in the shared folder. Stand-in:
+    texts as payloads."""
     payloads = table(spark, sf_dir, "documents").filter("text IS NOT NULL").select(F.encode("text", "UTF-8").alias("content"), F.lit("workflow").alias("kind"))
+    written = materialize(write_blobs(payloads, scratch_path(spark, "objects")), "written")
     none = spark.createDataFrame([], "sha256 string, kind_class string")
-    stored = put_blobs(payloads, none).select("sha256", F.col("bytes").cast("long").alias("bytes"))
-    copies = payloads.groupBy(F.sha2("content", 256).alias("sha256")).agg(F.count(F.lit(1)).alias("copies"))
-    return stored.join(copies, "sha256")
+    stored = blob_rows(written, none).select("sha256", F.col("bytes").cast("long").alias("bytes"))
+    return stored.join(written.groupBy("sha256").agg(F.count(F.lit(1)).alias("copies")), "sha256")
 
 
 # --- aggregates ---------------------------------------------------------------------------

@@ -1,26 +1,29 @@
 """Jobs that find and capture artifacts: from recorded pages and stored files to manifests.
 
 Servers are stood in for by tables: listing pages by ``sources.pages``, files by (artifact_id,
-url, content). Each job takes the time it runs at, asks the gate first and stores what it
-made before it marks work as done.
+content) and what else is known of each answer, generation records by (artifact_id, status, body).
+Each job takes the time it runs at, asks the gate first and stores what it made before it marks
+work as done.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import time
 import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from graphloom.functions.ranges import capture_file
+from graphloom.functions.ranges import capture_file, wants_api
 from graphloom.functions.text import host
 from graphloom.operators import health, listing, queue
 from graphloom.operators.state import absent, upsert
 from graphloom.schemas import CRAWLER_VERSION, MANIFEST, PARSER_VERSION
-from graphloom.sources.manifests import put_blobs, write_manifest
+from graphloom.sources.manifests import blob_rows, drop_blobs, write_blobs, write_manifest
+from graphloom.sources.pages import generation_documents, lookup_records
 from graphloom.sources.shared import materialize
 from graphloom.sources.store import StateStore
 
@@ -30,8 +33,12 @@ FILE_URL = "https://files.example/{id}/original=true/{name}"
 
 CAPTURED = (
     "artifact_id string, url string, container string, channel string, total_size bigint, bytes_fetched bigint, needed_bytes bigint, "
-    "windows array<bigint>, from_tail boolean, workflow string, prompt string, prefix binary"
+    "windows array<bigint>, from_tail boolean, workflow string, prompt string, prefix binary, late boolean"
 )
+#: The host of generation records, and what stands for their address in a manifest.
+API_HOST, API_URL = "api.example", "generation record"
+#: Tries of a request that may be worth another one.
+MOST_TRIES = 3
 
 
 class Latched(RuntimeError):
@@ -46,8 +53,9 @@ def at(now: dt.datetime) -> Column:
     return F.lit(now).cast("timestamp")
 
 
-def check_gate(store: StateStore, hosts: list[str], now: dt.datetime) -> None:
-    """Raise if one of the hosts is latched, or else if one is backing off."""
+def check_gate(store: StateStore, hosts: DataFrame, now: dt.datetime) -> None:
+    """Raise if one of the hosts (host) is latched, or else if one is backing off. All of them are asked
+    about; an error names a hundred."""
     log, status = store.read("requests"), F.col("status")
     by_hour = F.date_trunc("hour", "ts")
     latched = health.latches(log, "host", ["ts"], health.refused(status), health.succeeded(status), slices=by_hour)
@@ -57,10 +65,9 @@ def check_gate(store: StateStore, hosts: list[str], now: dt.datetime) -> None:
     fine = log.filter(health.succeeded(status)).groupBy("host").agg(F.max("ts").alias("fine"))
     waits = waits.filter("seconds > 0").withColumn("until", F.col("ts") + F.make_interval(secs=F.col("seconds"))).join(fine, "host", "left")
     waits = waits.filter(F.col("fine").isNull() | (F.col("fine") < F.col("ts")))
-    wanted = store.spark.createDataFrame([(h,) for h in hosts], "host string")
-    verdicts = {r["host"]: r["verdict"] for r in health.gate(wanted, active, waits, "host", "until", at(now)).collect()}
+    verdicts = materialize(health.gate(hosts.filter(F.col("host").isNotNull()), active, waits, "host", "until", at(now)).filter("verdict <> 'open'"), "verdicts")
     for kind, error in (("latched", Latched), ("backing_off", BackingOff)):
-        stopped = sorted(h for h, v in verdicts.items() if v == kind)
+        stopped = [r["host"] for r in verdicts.filter(F.col("verdict") == kind).orderBy("host").limit(100).collect()]
         if stopped:
             raise error(", ".join(stopped))
 
@@ -137,23 +144,31 @@ def discover_backlog(
     return {"drained": done, "exhausted": exhausted, "queued": queued}
 
 
-def _capture(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    types = [pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.bool_(), pa.string(), pa.string(), pa.binary()]
-    names = [c.split()[0] for c in CAPTURED.split(", ")]
-    for batch in batches:
-        rows = []
-        for artifact, url, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            got = capture_file(content)
-            prefix = content[-(128 * 1024) :] if got.from_tail else content[: sum(got.windows)]
-            rows.append((
-                artifact, url, got.container, got.channel, got.total_size, got.bytes_fetched, got.needed_bytes, got.windows, got.from_tail, got.workflow, got.prompt, prefix,
-            ))
-        columns = zip(*rows, strict=True) if rows else [[]] * len(names)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+def _capturing(stop_at: float | None):
+    """Captures files until a time of the clock; those after it come back unread and marked."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.bool_(), pa.string(), pa.string(), pa.binary(), pa.bool_()]
+        names = [c.split()[0] for c in CAPTURED.split(", ")]
+        for batch in batches:
+            rows = []
+            for artifact, url, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if stop_at is not None and time.time() >= stop_at:
+                    rows.append((artifact, url, None, "", 0, 0, None, [], False, None, None, None, True))
+                    continue
+                got = capture_file(content)
+                prefix = content[-(128 * 1024) :] if got.from_tail else content[: sum(got.windows)]
+                rows.append((
+                    artifact, url, got.container, got.channel, got.total_size, got.bytes_fetched, got.needed_bytes, got.windows, got.from_tail, got.workflow, got.prompt, prefix,
+                    False,
+                ))
+            columns = zip(*rows, strict=True) if rows else [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
+    return run
 
 
 def manifest_rows(captured: DataFrame, items: DataFrame, source: str, run_id: str, now: dt.datetime) -> DataFrame:
-    """Manifest lines of captured files: one for each document found, one without if none was."""
+    """Manifest lines of captures of one channel: one for each document found, one without if none was."""
     found = F.filter(
         F.array(F.struct(F.lit("workflow").alias("kind"), F.col("workflow").alias("text")), F.struct(F.lit("prompt").alias("kind"), F.col("prompt").alias("text"))),
         lambda d: d["text"].isNotNull(),
@@ -166,7 +181,7 @@ def manifest_rows(captured: DataFrame, items: DataFrame, source: str, run_id: st
         "capture_id": F.concat_ws(":", F.lit(source), "artifact_id", "channel", "doc.kind"), "crawled_at": F.lit(now.strftime("%Y-%m-%dT%H:%M:%S+00:00")),
         "crawler_version": F.lit(CRAWLER_VERSION), "parser_version": F.lit(PARSER_VERSION), "run_id": F.lit(run_id), "source": F.lit(source), "channel": F.col("channel"),
         "source_artifact_id": F.col("artifact_id"), "fetch_url": F.col("url"), "author_id": F.coalesce("author_id", F.lit("")),
-        "published_at": F.date_format("published_at", "yyyy-MM-dd'T'HH:mm:ss'Z'"), "http_status": F.lit(206), "container": F.coalesce("container", F.lit("")),
+        "published_at": F.date_format("published_at", "yyyy-MM-dd'T'HH:mm:ss'Z'"), "http_status": F.col("status"), "container": F.coalesce("container", F.lit("")),
         "total_size": F.col("total_size"), "needed_bytes": F.col("needed_bytes"), "bytes_fetched": F.col("bytes_fetched"), "windows": F.col("windows"),
         "from_tail": F.col("from_tail"), "payload_kind": F.col("doc.kind"), "payload_sha256": F.sha2(F.encode("doc.text", "UTF-8"), 256),
         "payload_bytes": F.coalesce(F.octet_length("doc.text"), F.lit(0)).cast("long"), "prefix_sha256": F.sha2("prefix", 256),
@@ -175,56 +190,144 @@ def manifest_rows(captured: DataFrame, items: DataFrame, source: str, run_id: st
     return each.select(*[values.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in fields])
 
 
+def settled(answers: DataFrame) -> DataFrame:
+    """Of several recorded tries (artifact_id, status, attempt) of a request the one that ends it, the
+    first that is neither 429 nor an error of the server, or else the last of MOST_TRIES; with
+    ``refusals``, how many tries up to it were refused. Later tries were never made."""
+    order = Window.partitionBy("artifact_id").orderBy("attempt")
+    tries = answers.withColumn("_try", F.row_number().over(order)).filter(F.col("_try") <= MOST_TRIES)  # a few rows an artifact
+    again = (F.col("status") == 429) | health.transient(F.col("status"))
+    first = F.min(F.when(~again, F.col("_try"))).over(Window.partitionBy("artifact_id"))
+    last = F.coalesce(first, F.max("_try").over(Window.partitionBy("artifact_id")))
+    refusals = F.sum(health.refused(F.col("status")).cast("int")).over(order)
+    return tries.withColumns({"_last": last, "refusals": refusals}).filter(F.col("_try") == F.col("_last")).drop("_try", "_last")
+
+
+def paced(requests: DataFrame, key: str, order: list[str], gap_seconds: float, wait: Column) -> DataFrame:
+    """``requests`` with ``starts_after``: seconds after the first of its ``key`` at which each may begin,
+    so that two are never closer than the gap, nor closer than the ``wait`` that the former asks for."""
+    before = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return requests.withColumn("starts_after", F.coalesce(F.sum(F.greatest(F.lit(gap_seconds), F.coalesce(wait, F.lit(0.0)))).over(before), F.lit(0.0)))
+
+
+def _answers(files: DataFrame) -> DataFrame:
+    """Files with the status of their answer (206 where it is not recorded), one row an artifact."""
+    full = files if "status" in files.columns else files.withColumn("status", F.lit(206))
+    if "attempt" in files.columns:
+        full = settled(full)
+    return full.select("artifact_id", "content", "status", *(["refusals"] if "refusals" in full.columns else []))
+
+
 def fetch(
-    store: StateStore, files: DataFrame, source: str, out: str, now: dt.datetime, batch: int = 200, keep_prefix: bool = True, deadline: dt.datetime | None = None
+    store: StateStore, files: DataFrame, source: str, out: str, now: dt.datetime, batch: int = 200, keep_prefix: bool = True,
+    deadline: dt.datetime | None = None, api: DataFrame | None = None,
 ) -> dict:
     """Capture a batch of queued artifacts from ``files`` into manifests below ``out`` and blobs.
 
-    Artifacts without a file are gone and are marked so; a barren file outside the sample is
-    skipped unread; leases of what was not done in time are given back. Manifest and blobs are
-    stored before the queue says done.
+    Artifacts without a file are gone and are marked so; a barren file outside the sample is skipped
+    unread; an error of the server fails its artifact. What was refused, and what was not begun by
+    the deadline, which is asked about before each file, is given back. If ``api`` is given, artifacts
+    of which the listing says that there is a graph, and whose file had none, are looked up there; what
+    is found is a capture of its own, behind that of the bytes. Manifest and blobs are stored before
+    the queue says done; every answer goes into the log, and if a host is latched by that the batch
+    ends with Latched.
     """
+    stop_at = None if deadline is None else time.time() + (deadline - now).total_seconds()
     claimed, leased = queue.claim(store.read("queue"), source, batch, at(now))
     items = materialize(claimed, "claimed")
     if items.isEmpty():
-        return {"claimed": 0, "captured": 0, "gone": 0, "skipped": 0, "with_payload": 0, "bytes_down": 0, "released": 0}
-    hosts = [r["h"] for r in items.select(host("url").alias("h")).filter("h IS NOT NULL").distinct().limit(1000).collect()]
+        return {"claimed": 0, "captured": 0, "gone": 0, "skipped": 0, "failed": 0, "refused": 0, "with_payload": 0, "from_api": 0, "bytes_down": 0, "released": 0}
+    hosts = items.select(host("url").alias("host")).distinct()
     check_gate(store, hosts, now)
     store.write("queue", materialize(leased, "queue"))
     run_id = str(uuid.uuid4())
-    here = items.join(files.select("artifact_id", "content"), "artifact_id", "left")
-    worth = F.coalesce(listing.worth_fetching(F.col("url")), F.lit(False))
-    late = deadline is not None and now >= deadline  # a batch is one job: it is begun in time or not at all
-    readable = here.filter(F.col("content").isNotNull() & worth & F.lit(not late))
-    captured = materialize(readable.select("artifact_id", "url", "content").mapInArrow(_capture, CAPTURED), "captured")
-    lines = materialize(manifest_rows(captured, items, source, run_id, now), "lines")
+    here = items.join(_answers(files), "artifact_id", "left").withColumn("worth", F.coalesce(listing.worth_fetching(F.col("url")), F.lit(False)))
+    status = F.coalesce("status", F.lit(404))
+    fine = F.col("content").isNotNull() & health.succeeded(status)
+    here = materialize(here.withColumns({"status": status, "fine": fine}), "here")
+    tried = here.filter("worth")
+    captured = tried.filter("fine").select("artifact_id", "url", "content").mapInArrow(_capturing(stop_at), CAPTURED)
+    captured = materialize(captured.join(tried.select("artifact_id", "status"), "artifact_id"), "captured")
+    late, captured = captured.filter("late").select("artifact_id"), captured.filter("NOT late")
+    lines = manifest_rows(captured, items, source, run_id, now)
+    documents = captured.select("artifact_id", "workflow", "prompt")
+    looked = None
+    if api is not None:
+        asked = captured.filter("workflow IS NULL").select("artifact_id").join(items.filter(wants_api(None, F.col("has_meta"))).select("artifact_id"), "artifact_id")
+        looked = materialize(lookup_records(asked.distinct(), api), "looked")
+        answered = materialize(generation_documents(looked.filter("record IS NOT NULL")).filter("workflow IS NOT NULL OR prompt IS NOT NULL"), "answered")
+        columns = [F.lit(None).cast(kind).alias(name) for name, kind in (c.split(maxsplit=1) for c in CAPTURED.split(", ")) if name not in ("artifact_id", "url", "channel", "workflow", "prompt")]
+        records = answered.select("artifact_id", F.lit(API_URL).alias("url"), F.lit("api").alias("channel"), "workflow", "prompt", *columns, F.lit(200).alias("status"))
+        # an artifact with a graph from the record needs no line that says there is none
+        found = lines.join(answered.select(F.col("artifact_id").alias("source_artifact_id")), "source_artifact_id", "left_semi").filter("payload_kind = 'none'")
+        lines = lines.join(found.select("capture_id"), "capture_id", "left_anti").select(*lines.columns).unionByName(manifest_rows(records, items, source, run_id, now))
+        documents = documents.unionByName(answered)
+    lines = materialize(lines, "lines")
     write_manifest(lines.drop("manifest_key", "line"), f"{out.rstrip('/')}/raw/{source}/{now:%Y-%m}")
-    texts = captured.select(F.explode(F.array(
+    pieces = documents.select(F.explode(F.array(
         F.struct(F.encode("workflow", "UTF-8").alias("content"), F.lit("workflow").alias("kind")), F.struct(F.encode("prompt", "UTF-8").alias("content"), F.lit("prompt").alias("kind")),
-        F.struct((F.col("prefix") if keep_prefix else F.lit(None).cast("binary")).alias("content"), F.lit("prefix").alias("kind")),
     )).alias("p")).select("p.content", "p.kind")
-    store.append("blobs", put_blobs(texts, store.read("blobs").select("sha256", "kind_class"), KEEP_PREFIX_DAYS, at(now)))
+    if keep_prefix:
+        pieces = pieces.unionByName(captured.select(F.col("prefix").alias("content"), F.lit("prefix").alias("kind")))
+    stored = materialize(write_blobs(pieces, out), "stored")
+    store.append("blobs", blob_rows(stored, store.read("blobs").select("sha256", "kind_class"), KEEP_PREFIX_DAYS, at(now)))
     # stored: from here on work may be marked as done
-    outcome = F.when(F.col("content").isNull(), "skipped").when(~worth, "skipped").otherwise("done")
-    reason = F.when(F.col("content").isNull(), "gone").when(~worth, "barren")
-    ended = materialize(here.filter(F.col("content").isNull() | ~worth | F.lit(not late)).select("source", "artifact_id", outcome.alias("state"), reason.alias("error")), "ended")
+    kind = lambda state, error: F.struct(F.lit(state).alias("state"), error.cast("string").alias("error"))
+    answer = F.concat(F.lit("HTTP "), F.col("status").cast("string"))
+    state = (
+        F.when(~F.col("worth"), kind("skipped", F.lit("barren"))).when(F.col("fine"), kind("done", F.lit(None)))
+        .when(F.col("status").isin(*health.REFUSALS), kind("refused", answer)).when(F.col("status") >= 500, kind("failed", answer))
+        .otherwise(kind("skipped", F.lit("gone")))
+    )
+    outcomes = materialize(here.join(late, "artifact_id", "left_anti").select("source", "artifact_id", state.alias("o")).select("source", "artifact_id", "o.*"), "outcomes")
+    ended = outcomes.filter("state <> 'refused'")
     after = queue.finish(store.read("queue"), ended)
     back = materialize(queue.unprocessed(items, ended, ended.select("source", "artifact_id").limit(0)), "back")
     store.write("queue", materialize(queue.release(after, back), "queue"))
-    log = items.select(host("url").alias("host"), at(now).alias("ts"), F.when(F.lit(late), 0).otherwise(206).alias("status")).filter("host IS NOT NULL AND status > 0").distinct()
+    log = _request_log(tried.join(late, "artifact_id", "left_anti"), looked, now)
     store.append("requests", log)
-    sums = captured.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("workflow").isNotNull() | F.col("prompt").isNotNull()).alias("p"), F.coalesce(F.sum("bytes_fetched"), F.lit(0)).alias("b")).head()
-    gone = {r["error"]: r["n"] for r in ended.groupBy("error").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return {
-        "claimed": items.count(), "captured": sums["n"], "gone": gone.get("gone", 0), "skipped": gone.get("barren", 0), "with_payload": sums["p"], "bytes_down": sums["b"],
-        "released": back.count(),
+    sums = captured.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("bytes_fetched"), F.lit(0)).alias("b")).head()
+    counts = {(r["state"], r["error"]): r["n"] for r in outcomes.groupBy("state", "error").agg(F.count(F.lit(1)).alias("n")).collect()}  # a few kinds
+    total = lambda *keys: sum(n for (state, error), n in counts.items() if state in keys or error in keys)
+    result = {
+        "claimed": items.count(), "captured": sums["n"], "gone": total("gone"), "skipped": total("barren"), "failed": total("failed"), "refused": total("refused"),
+        "with_payload": lines.filter("payload_kind <> 'none'").select("source_artifact_id").distinct().count(),
+        "from_api": lines.filter("channel = 'api'").select("source_artifact_id").distinct().count(), "bytes_down": sums["b"], "released": back.count(),
     }
-
-
-def collect_garbage(store: StateStore, now: dt.datetime, limit: int = 1000) -> dict:
-    """Drop expired byte prefixes."""
+    if result["refused"] or looked is not None:
+        with_api = hosts.unionByName(store.spark.createDataFrame([(API_HOST,)], "host string")) if looked is not None else hosts
+        try:
+            check_gate(store, with_api, now + dt.timedelta(seconds=1))
+        except BackingOff:
+            pass  # the next batch will see it; this one is over
+    return result
+
+
+def _request_log(tried: DataFrame, looked: DataFrame | None, now: dt.datetime) -> DataFrame:
+    """(host, ts, status) of the answers of a batch, in the order of the queue: each try that was refused,
+    then the answer itself. Times within a batch differ by microseconds, to keep that order."""
+    refusals = F.coalesce("refusals", F.lit(0)) if "refusals" in tried.columns else F.lit(0)
+    refused = F.col("status").isin(*health.REFUSALS).cast("int")
+    each = tried.select(
+        host("url").alias("host"), "priority", F.col("published_at").alias("published"), "artifact_id",
+        F.posexplode(F.concat(F.array_repeat(F.lit(429), F.greatest(refusals - refused, F.lit(0))), F.array("status"))).alias("n", "status"),
+    )
+    if looked is not None:
+        each = each.unionByName(looked.select(
+            F.lit(API_HOST).alias("host"), F.lit(0).alias("priority"), F.lit(None).cast("timestamp").alias("published"), "artifact_id", F.lit(0).alias("n"), "status"
+        ))
+    # a batch of the queue, not the queue
+    order = Window.orderBy(F.desc("priority"), F.desc_nulls_last("published"), "artifact_id", "n")
+    since = F.make_interval(secs=F.row_number().over(order) * F.lit(1e-6))
+    return each.filter("host IS NOT NULL").withColumn("since", since).select("host", (at(now) + F.col("since")).alias("ts"), "status")
+
+
+def collect_garbage(store: StateStore, out: str, now: dt.datetime, limit: int = 1000) -> dict:
+    """Drop expired byte prefixes, the oldest ``limit`` of them: the objects below ``out`` first, then
+    their rows, so that none is forgotten and left behind."""
     blobs = store.read("blobs")
-    past = materialize(queue.expired(blobs, at(now), limit).select("sha256", "kind_class"), "past")
+    past = materialize(queue.expired(blobs, at(now), limit).select("sha256", "kind_class", "kind"), "past")
+    drop_blobs(past, out)
     store.write("blobs", materialize(blobs.join(past, ["sha256", "kind_class"], "left_anti"), "blobs"))
     return {"prefixes_removed": past.count()}
 

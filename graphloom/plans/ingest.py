@@ -7,6 +7,7 @@ is marked as consumed last; running it again appends rows that latest-wins folds
 
 from __future__ import annotations
 
+import itertools
 import json
 from collections.abc import Iterator
 
@@ -196,13 +197,17 @@ class Lake:
                 found[name] = drifted(self.spark.read.parquet(self._at(name)), spec.schema)
         return {k: v for k, v in found.items() if v}
 
-    def load(self, lines: DataFrame, documents: DataFrame) -> dict:
-        """Append one batch of manifest lines to all tables, then mark its manifests. Lines may have
-        ``documents``, the keys of the documents that each carries; else it is payload_sha256."""
+    def load(self, lines: DataFrame, documents: DataFrame | str) -> dict:
+        """Append one batch of manifest lines to all tables, then mark its manifests. ``documents``:
+        (sha256, document), or the root below which they lie as blobs, of which those wanted are read.
+        Lines may have ``documents``, the keys of the documents that each carries; else it is
+        payload_sha256. ``skipped`` counts all payloads without a graph; reasons and examples are the
+        first ones."""
         lines = materialize(lines, "lines")
         carried = carried_rows(lines)
         wanted = payload_rows(carried).select(F.col("payload_sha256").alias("sha256")).distinct()
-        derived = materialize(derive_documents(wanted.join(documents, "sha256", "left"), self.declared), "derived")
+        held = store.read_blobs(wanted, documents) if isinstance(documents, str) else wanted.join(documents, "sha256", "left")
+        derived = materialize(derive_documents(held, self.declared), "derived")
         tables = {"raw_artifacts": raw_rows(lines, derived)} | derived_tables(carried, derived, self.core, self.named, self.repos)
         rows = {}
         for name, df in tables.items():
@@ -214,21 +219,48 @@ class Lake:
             rows[name] = counted.get["n"]
         keys = lines.select("manifest_key").distinct().withColumn("versions", F.lit(self._versions()))
         keys.coalesce(1).write.mode("append").parquet(f"{self.path}/consumed")
-        bad = failures(derived, carried)
+        bad = materialize(failures(derived, carried), "failures")
         reasons = bad.groupBy(F.split("error", ":")[0].alias("reason")).agg(F.count(F.lit(1)).alias("n")).orderBy("reason").limit(100).collect()
         return {
-            "records": rows["raw_artifacts"], "rows": rows, "skipped": sum(r["n"] for r in reasons), "skipped_reasons": [r["reason"] for r in reasons],
+            "records": rows["raw_artifacts"], "rows": rows, "skipped": bad.count(), "skipped_reasons": [r["reason"] for r in reasons],
             "skipped_examples": [tuple(r) for r in bad.orderBy("source_artifact_id").limit(10).collect()],
         }
 
-    def ingest(self, root: str, limit: int | None = None, documents: DataFrame | None = None) -> dict:
-        """Load the manifests below ``root`` that are not consumed; ``limit`` takes the first of them
-        by name and leaves the rest for the next run. ``documents`` (sha256, document) are taken
-        in place of the blobs below ``root``."""
-        new = store.list_manifests(self.spark, root).join(self.consumed(), "manifest_key", "left_anti").orderBy("manifest_key")
+    def repair(self) -> dict[str, list[str]]:
+        """Bring stored tables to their declared schemas: columns that are missing are null, those not
+        declared go, others are cast (null where that fails). What was consumed is then read again,
+        so that repaired columns get their values. Returns what differed, by table."""
+        found = self.check()
+        for name in found:
+            declared = StructType.fromDDL(TABLES[name].schema).fields
+            stored = self.spark.read.parquet(self._at(name))
+            columns = [
+                (F.expr(f"try_cast(`{f.name}` AS {f.dataType.simpleString()})") if f.name in stored.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+                for f in declared
+            ]
+            rows, spec = materialize(stored.select(*columns), f"repair-{name}"), TABLES[name]
+            writer = rows.write.mode("overwrite")
+            (writer.partitionBy(*spec.partition_by) if spec.partition_by else writer).parquet(self._at(name))
+        if found:
+            self.reset()
+        return found
+
+    def ingest(self, root: str, limit: int | None = None, documents: DataFrame | str | None = None, per_load: int = 500) -> dict:
+        """Load the manifests below ``root`` that are not consumed, ``per_load`` at a time and each time
+        marked; ``limit`` takes the first of them by name and leaves the rest for the next run.
+        ``documents`` (sha256, document) are taken in place of the blobs below ``root``."""
+        new = materialize(store.list_manifests(self.spark, root).join(self.consumed(), "manifest_key", "left_anti"), "new")
         found = new.count()
-        keys = [r["manifest_key"] for r in (new.limit(limit) if limit else new).collect()]  # names of one tick's files
-        if not keys:
-            return {"manifests": 0, "records": 0, "rows": {}, "skipped": 0, "skipped_reasons": [], "remaining": 0}
-        result = self.load(store.read_manifests(self.spark, root, keys), store.read_blobs(self.spark, root) if documents is None else documents)
-        return {"manifests": len(keys), "remaining": found - len(keys)} | result
+        total = {"manifests": 0, "remaining": found, "records": 0, "rows": {}, "skipped": 0, "skipped_reasons": [], "skipped_examples": []}
+        ordered = new.orderBy("manifest_key")
+        names = (r["manifest_key"] for r in (ordered.limit(limit) if limit else ordered).toLocalIterator())
+        while keys := list(itertools.islice(names, per_load)):
+            part = self.load(store.read_manifests(self.spark, root, keys), root if documents is None else documents)
+            total["manifests"] += len(keys)
+            total["remaining"] -= len(keys)
+            for what in ("records", "skipped"):
+                total[what] += part[what]
+            total["rows"] = {name: n + total["rows"].get(name, 0) for name, n in part["rows"].items()}
+            total["skipped_reasons"] = sorted({*total["skipped_reasons"], *part["skipped_reasons"]})[:100]
+            total["skipped_examples"] = (total["skipped_examples"] + part["skipped_examples"])[:10]
+        return total

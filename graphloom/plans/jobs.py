@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import struct
-import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,10 +13,11 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from graphloom.functions.containers import parse
 from graphloom.functions.jsontext import decode_object
-from graphloom.functions.ranges import LAST_PART, capture_file
+from graphloom.functions.ranges import capture_file
 from graphloom.functions.text import normal_hash
 from graphloom.operators.shred import graphs
 from graphloom.operators.skew import small_join
+from graphloom.plans import samples
 from graphloom.plans.ingest import Lake, payload_rows
 from graphloom.plans.tables import table
 from graphloom.sources.pages import RecordedPages, write_pages
@@ -42,91 +41,31 @@ def query(sql: str | None = None):
 # --- containers ---------------------------------------------------------------------------
 
 
-def png_file(texts: dict[str, str], kind: str = "tEXt", padding: int = 0) -> bytes:
-    """A small PNG with text chunks behind the header."""
-    def chunk(tag: bytes, body: bytes) -> bytes:
-        return struct.pack(">I", len(body)) + tag + body + struct.pack(">I", zlib.crc32(tag + body))
-
-    parts = [bytes.fromhex("89504e470d0a1a0a"), chunk(b"IHDR", bytes(13))]
-    for key, text in texts.items():
-        raw, head = text.encode(), key.encode() + b"\0"
-        body = {"tEXt": head + raw, "zTXt": head + b"\0" + zlib.compress(raw), "iTXt": head + b"\1\0\0\0" + zlib.compress(raw)}[kind]
-        parts.append(chunk(kind.encode(), body))
-    return b"".join([*parts, chunk(b"IDAT", bytes(padding)), chunk(b"IEND", b"")])
-
-
-def exif_blob(texts: dict[str, str], order: str = "<") -> bytes:
-    """A TIFF directory of ASCII entries ``key:value``."""
-    tags = [0x010F, 0x0110, 0x010E][: len(texts)]
-    values = [f"{k}:{v}".encode() + b"\0" for k, v in texts.items()]
-    at = 8 + 2 + 12 * len(values) + 4
-    entries = b""
-    for tag, value in zip(tags, values, strict=True):
-        entries += struct.pack(f"{order}HHII", tag, 2, len(value), at)
-        at += len(value)
-    head = (b"II" if order == "<" else b"MM") + struct.pack(f"{order}HI", 42, 8)
-    return head + struct.pack(f"{order}H", len(values)) + entries + bytes(4) + b"".join(values)
-
-
-def webp_file(texts: dict[str, str], padding: int = 0) -> bytes:
-    def chunk(tag: bytes, body: bytes) -> bytes:
-        return tag + struct.pack("<I", len(body)) + body + b"\0" * (len(body) % 2)
-
-    body = chunk(b"VP8X", b"\x08" + bytes(9)) + chunk(b"VP8 ", bytes(padding)) + chunk(b"EXIF", exif_blob(texts))
-    return b"RIFF" + struct.pack("<I", len(body) + 4) + b"WEBP" + body
-
-
-def jpeg_file(texts: dict[str, str]) -> bytes:
-    body = b"Exif\0\0" + exif_blob(texts, ">")
-    return b"\xff\xd8\xff\xe1" + struct.pack(">H", len(body) + 2) + body + b"\xff\xda\0\x02"
-
-
-def movie_file(texts: dict[str, str], padding: int = 0, last: bool = True) -> bytes:
-    """Boxes with both documents in one comment, the movie box last or first."""
-    def box(tag: bytes, body: bytes) -> bytes:
-        return struct.pack(">I", len(body) + 8) + tag + body
-
-    data = box(b"data", struct.pack(">II", 1, 0) + json.dumps(texts).encode())
-    movie = box(b"moov", box(b"udta", box(b"meta", bytes(4) + box(b"ilst", box(b"\xa9cmt", data)))))
-    media = box(b"mdat", bytes(padding))
-    return box(b"ftyp", b"isom" + bytes(4)) + (media + movie if last else movie + media)
-
-
-def build_file(kind: str, document: str) -> bytes:
-    texts = {"workflow": document}
-    builders = {
-        "png": lambda: png_file(texts, "tEXt"), "png-z": lambda: png_file(texts, "zTXt"), "png-i": lambda: png_file(texts, "iTXt"),
-        "webp": lambda: webp_file(texts, LAST_PART), "jpeg": lambda: jpeg_file(texts), "isobmff": lambda: movie_file(texts, 2 * LAST_PART),
-    }
-    return builders[kind]()
-
-
-KINDS = ("png", "png-z", "png-i", "webp", "jpeg", "isobmff")
-
-
 @query("""
-SELECT workflow_id, batch_no, true AS same, NOT regexp_matches(k, 'isobmff') AS in_head,
-  CASE k WHEN 'isobmff' THEN 'isobmff' WHEN 'webp' THEN 'webp' WHEN 'jpeg' THEN 'jpeg' ELSE 'png' END AS fmt
-FROM (SELECT workflow_id, batch_no, ['png', 'png-z', 'png-i', 'webp', 'jpeg', 'isobmff'][node_count % 6 + 1] AS k FROM derived_workflows WHERE node_count IS NOT NULL)""")
+SELECT workflow_id, batch_no, coalesce(workflow_id, '') AS found_class, node_count AS found_nodes, k <> 'isobmff' AS in_head,
+  CASE WHEN k LIKE 'png%' THEN 'png' ELSE k END AS container
+FROM (SELECT workflow_id, batch_no, node_count, ['png', 'png-z', 'png-i', 'webp', 'jpeg', 'isobmff'][node_count % 6 + 1] AS k FROM derived_workflows WHERE node_count IS NOT NULL)""")
 def container_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Graph texts out of files of all kinds (B1 to B11) and the byte ranges that takes (2.12).
-    Stand-in: a file built for each workflow row, of a kind by its node count."""
-    rows = table(spark, sf_dir, "derived_workflows").filter("node_count IS NOT NULL").select("workflow_id", "batch_no", (F.col("node_count") % 6).cast("int").alias("kind"))
+    """Graph texts out of files of all kinds (B1 to B11) and the byte ranges that takes (2.12): class and
+    number of nodes as they stand in the document found by reading ranges. Stand-in: a file built for
+    each workflow row, of a kind by its node count."""
+    rows = table(spark, sf_dir, "derived_workflows").filter("node_count IS NOT NULL").select("workflow_id", "batch_no", "node_count")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for workflow, number, kind in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                document = json.dumps({"nodes": [{"id": 1, "type": workflow or ""}]})
-                content = build_file(KINDS[kind], document)
-                whole, part = parse(content), capture_file(content)
-                out.append((workflow, number, whole.workflow == document == part.workflow, not part.from_tail, whole.fmt))
-            names = ["workflow_id", "batch_no", "same", "in_head", "fmt"]
-            types = [pa.string(), pa.int32(), pa.bool_(), pa.bool_(), pa.string()]
-            columns = zip(*out, strict=True) if out else [[]] * 5
+            for workflow, number, count in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                document = json.dumps({"nodes": [{"id": n, "type": workflow or ""} for n in range(count)]})
+                content = samples.build_file(samples.KINDS[count % 6], document)
+                part, whole = capture_file(content), parse(content)
+                found = json.loads(part.workflow)["nodes"] if part.workflow == whole.documents.get("workflow") else []
+                out.append((workflow, number, found[0]["type"] if found else "", len(found), not part.from_tail, whole.container))
+            names = ["workflow_id", "batch_no", "found_class", "found_nodes", "in_head", "container"]
+            types = [pa.string(), pa.int32(), pa.string(), pa.int64(), pa.bool_(), pa.string()]
+            columns = zip(*out, strict=True) if out else [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
-    return rows.mapInArrow(run, "workflow_id string, batch_no int, same boolean, in_head boolean, fmt string")
+    return rows.mapInArrow(run, "workflow_id string, batch_no int, found_class string, found_nodes bigint, in_head boolean, container string")
 
 
 # --- loading ------------------------------------------------------------------------------
@@ -233,7 +172,7 @@ def health_by_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def recorded_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing pages through the Python data source (S8 to S14, P17). A fixture of three streams
     is recorded first, in the shared folder: the source reads pages, not test tables."""
-    root = scratch_path(spark, "pages").removeprefix("file://")
+    root = scratch_path(spark, "pages")
     for stream in range(3):
         pages = [
             [

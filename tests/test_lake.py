@@ -9,7 +9,7 @@ from graphloom.functions.graph import derive
 from graphloom.operators import attribution
 from graphloom.plans.ingest import Lake
 from graphloom.schemas import TABLES
-from graphloom.sources.manifests import list_manifests, put_blobs, write_manifest
+from graphloom.sources.manifests import blob_rows, drop_blobs, list_manifests, read_blobs, write_blobs, write_manifest
 from graphloom.streaming.ingest import run_available
 from tests.test_graph_documents import CANVAS, PROMPT
 
@@ -111,12 +111,55 @@ def test_empty_bucket_and_writers(spark, lake, tmp_path):
     assert len([f for f in os.listdir(tmp_path / "out") if f.endswith(".json.gz")]) == 3
 
 
-def test_blobs_are_stored_once(spark):
+def test_blobs_are_stored_once(spark, tmp_path):
+    root = str(tmp_path / "store")
     payloads = spark.createDataFrame([(b"a", "workflow"), (b"a", "prompt"), (b"a", "prefix"), (b"b", "workflow"), (None, "workflow")], "content binary, kind string")
     none = spark.createDataFrame([], "sha256 string, kind_class string")
-    stored = put_blobs(payloads, none, 30, F.timestamp_seconds(F.lit(0)))
-    assert stored.count() == 3 and stored.filter("expires_at IS NOT NULL").count() == 1
-    assert put_blobs(payloads, stored.select("sha256", "kind_class")).count() == 0
+    for _ in range(2):
+        written = write_blobs(payloads, root)
+        stored = blob_rows(written, none, 30, F.timestamp_seconds(F.lit(0)))
+        assert stored.count() == 3 and stored.filter("expires_at IS NOT NULL").count() == 1
+    files = [f for _, _, fs in os.walk(root) for f in fs]
+    assert len(files) == 3 and sorted(f.split(".", 1)[1] for f in files) == ["bin.gz", "json.gz", "json.gz"]
+    assert blob_rows(written, stored.select("sha256", "kind_class")).count() == 0
+    assert drop_blobs(stored.filter("kind = 'prefix'"), root) == 1 and drop_blobs(stored.filter("kind = 'prefix'"), root) == 1
+
+
+def test_only_the_blobs_wanted_are_read(spark, bucket):
+    blob(bucket, "ab" + "0" * 62, "not read, so that it is not JSON does not matter")
+    wanted = spark.createDataFrame([(SHA["canvas"],), (SHA["missing"],), (None,)], "sha256 string")
+    got = {r["sha256"]: r["document"] for r in read_blobs(wanted, bucket).collect()}
+    assert got == {SHA["canvas"]: json.dumps(CANVAS), SHA["missing"]: None}
+
+
+def test_every_failure_is_counted(spark, lake, tmp_path):
+    root = str(tmp_path / "many")
+    write(root, "raw/s/2026-03/a.jsonl.gz", [record(n, f"{n:064x}") for n in range(150)])
+    write(root, "raw/s/2026-03/b.jsonl.gz", [record(n, f"{n:064x}") for n in range(150, 160)])
+    got = lake.ingest(root, per_load=1)
+    assert (got["manifests"], got["skipped"], got["remaining"], len(got["skipped_examples"])) == (2, 160, 0, 10)
+
+
+def test_many_reasons(spark, lake, monkeypatch):
+    from graphloom.plans import ingest
+
+    rows = [(str(n), f"{n:064x}", f"Reason{n}: x") for n in range(150)]
+    monkeypatch.setattr(ingest, "failures", lambda *_: spark.createDataFrame(rows, "source_artifact_id string, payload_sha256 string, error string"))
+    lines = spark.createDataFrame([], ingest.store.MANIFEST).withColumns({"manifest_key": F.lit("m"), "line": F.lit(1).cast("long")})
+    got = lake.load(lines, spark.createDataFrame([], "sha256 string, document string"))
+    assert got["skipped"] == 150 and len(got["skipped_reasons"]) == 100
+
+
+def test_repair_brings_tables_to_their_schema(spark, lake, bucket):
+    lake.ingest(bucket)
+    at = lake._at("derived_workflows")
+    odd = spark.read.parquet(at).drop("pack_set_size").withColumns({"node_count": F.col("node_count").cast("string"), "extra": F.lit(1)})
+    rows = odd.collect()
+    spark.createDataFrame(rows, odd.schema).write.mode("overwrite").parquet(at)
+    assert len(lake.check()["derived_workflows"]) == 3
+    lake.repair()
+    assert lake.check() == {} and lake.table("derived_workflows").head()["pack_set_size"] is None
+    assert lake.ingest(bucket)["manifests"] == 1 and lake.table("derived_workflows").head()["node_count"] > 0
 
 
 def test_attribution_keeps_rows_and_handles_nulls(spark, lake):
