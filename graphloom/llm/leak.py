@@ -118,8 +118,8 @@ def item_seeds(table: DataFrame, masks: tuple[str, ...]) -> DataFrame:
     LEAST_WORDS has one seed, all its words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                hashes = np.array(own, dtype=np.int64).view(np.uint64)
+            for key, own in zip(batch.column(0).to_pylist(), _lists(batch.column(1)), strict=True):
+                hashes = own.view(np.uint64)
                 for mask in masks if len(hashes) >= LEAST_WORDS else _short_masks([len(hashes)]):
                     seeds = seed_hashes(hashes, mask).view(np.int64)
                     yield pa.RecordBatch.from_arrays(
@@ -215,12 +215,18 @@ def _cut(ids: np.ndarray, lists: list[list[int]], filter_words: np.ndarray, mask
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=[c.split()[0] for c in PIECES.split(", ")])
 
 
+def _lists(column: pa.ListArray) -> list[np.ndarray]:
+    """The rows of a list column as pieces of one array."""
+    offsets, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+    return [values[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for doc, item, own, other, shifts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            own, other = np.array(own, dtype=np.int64), np.array(other, dtype=np.int64)
-            for shift in shifts:
+        ids = [batch.column(n).to_pylist() for n in (0, 1)]
+        for doc, item, own, other, shifts in zip(*ids, *(_lists(batch.column(n)) for n in (2, 3, 4)), strict=True):
+            for shift in shifts.tolist():
                 low, high = max(0, -shift), min(len(other), len(own) - shift)
                 same = other[low:high] == own[low + shift : high + shift]
                 if len(other) < LEAST_WORDS:
