@@ -64,12 +64,14 @@ def encode(value: Any) -> str:
     return json.dumps(flat, separators=(",", ":"))
 
 
+#: How the payload of a response is written, by its type: flattened text, in an envelope, or bare.
+_UNPACK = {str: decode, dict: lambda held: held.get("json", held)}
+
+
 def route_result(body: str | bytes) -> Any:
-    """The payload of a route's response: flattened text, an object with ``json``, or as it is."""
-    data = json.loads(body)["result"]["data"]
-    if isinstance(data, str):
-        return decode(data)
-    return data["json"] if isinstance(data, dict) and "json" in data else data
+    """The payload of a route's response."""
+    held = json.loads(body)["result"]["data"]
+    return _UNPACK.get(type(held), lambda bare: bare)(held)
 
 
 def unwrap_date(value: Any) -> str | None:

@@ -87,13 +87,19 @@ def gate(hosts: DataFrame, latched: DataFrame, waiting: DataFrame, host: str, un
 
 
 def until_dry(pages: DataFrame, order: str, new_rows: str, stop_after: int = 2, stream: str | None = None) -> DataFrame:
-    """Pages up to and with the one that makes ``stop_after`` in a row without new rows. Pages of a
-    ``stream`` are ordered within it; without one all pages are one stream, as a tip sweep is."""
-    own = Window.partitionBy(stream) if stream else Window.partitionBy(F.lit(0))
-    ordered = own.orderBy(order)
-    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    fed = pages.withColumn("_run", F.sum((F.col(new_rows) > 0).cast("long")).over(upto))
-    in_run = (Window.partitionBy(stream, "_run") if stream else Window.partitionBy("_run")).orderBy(order)
-    dry = fed.withColumn("_dry", F.when(F.col(new_rows) > 0, 0).otherwise(F.sum((F.col(new_rows) <= 0).cast("int")).over(in_run.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
-    stops = dry.withColumn("_stop", F.min(F.when(F.col("_dry") >= stop_after, F.col(order))).over(own))
-    return stops.filter(F.col("_stop").isNull() | (F.col(order) <= F.col("_stop"))).drop("_run", "_dry", "_stop")
+    """Pages up to and with the one that makes ``stop_after`` in a row without new rows. ``order`` is the
+    number of a page; a number that is missing ends a row of dry ones. Pages of a ``stream`` are
+    counted within it; without one all pages are one stream, as a tip sweep is.
+
+    Each dry page counts towards the ends it can be part of, so a stream of any length is no single
+    task.
+    """
+    key = [stream] if stream else []
+    number = F.col(order).cast("long")
+    dry = pages.filter(F.coalesce(F.col(new_rows), F.lit(0)) <= 0).select(*key, F.explode(F.sequence(number, number + stop_after - 1)).alias("_end")).groupBy(*key, "_end").agg(F.count(F.lit(1)).alias("_n"))
+    ends = dry.filter(F.col("_n") >= stop_after)
+    if not stream:
+        stop = ends.agg(F.min("_end").alias("stop")).head()["stop"]
+        return pages if stop is None else pages.filter(number <= stop)
+    stops = ends.groupBy(stream).agg(F.min("_end").alias("_stop"))
+    return pages.join(stops, stream, "left").filter(F.col("_stop").isNull() | (number <= F.col("_stop"))).drop("_stop")

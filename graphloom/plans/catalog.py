@@ -21,6 +21,7 @@ from graphloom.operators.shred import graphs
 from graphloom.operators.state import absent, forget, latest, update, upsert
 from graphloom.plans.ingest import derive_documents
 from graphloom.plans.tables import table
+from graphloom.sources.dimensions import declared_inputs
 from graphloom.sources.manifests import blob_rows, write_blobs
 from graphloom.sources.shared import materialize, scratch_path
 
@@ -637,6 +638,35 @@ def save_graph_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived.select(F.col("capture_id").alias("workflow"), "node_count", "link_count", "model_edges", "format")
 
 
+@query("""
+WITH l AS (SELECT DISTINCT l_orderkey, l_partkey, l_linestatus, l_returnflag, p_type FROM lineitem JOIN part ON p_partkey = l_partkey),
+shown AS (
+  SELECT p_type, 'ckpt_name' AS input, CASE WHEN l_returnflag = 'R' THEN 'link' ELSE 'literal' END AS binding, 'save.inputs' AS evidence FROM l WHERE l_linestatus = 'F'
+), missing AS (
+  SELECT p_type, 'ckpt_name' AS input, 'literal' AS binding, 'save.widget' AS evidence FROM l WHERE l_linestatus <> 'F' AND p_type LIKE 'S%'
+  UNION ALL SELECT p_type, 'vae_name', 'literal', 'save.widget' FROM l WHERE p_type LIKE 'S%'
+)
+SELECT p_type AS class_type, input, binding, evidence, count(*) AS n FROM (SELECT * FROM shown UNION ALL SELECT * FROM missing) GROUP BY 1, 2, 3, 4""")
+def save_binding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loader inputs of canvas documents (G5, J4): shown ones, fed by a link or not, and those that the
+    class declares and the document leaves out. Stand-in: lines of orders as nodes, their part's type
+    as class; those of status F show an input, classes with S declare two and a third that is no loader
+    input."""
+    lines = _order_lines(spark, sf_dir)
+    fed = F.when(F.col("l_returnflag") == "R", F.lit("3")).otherwise(F.lit("null"))
+    shown = F.when(F.col("l_linestatus") == "F", F.concat(F.lit(',"inputs":[{"name":"x","widget":{"name":"ckpt_name"},"link":'), fed, F.lit("}]"))).otherwise(F.lit(""))
+    key = F.concat(F.col("l_partkey").cast("string"), F.lit("-"), F.col("l_linestatus"), F.col("l_returnflag"))
+    node = F.concat(F.lit('{"id":"'), key, F.lit('","type":"'), F.col("p_type"), F.lit('"'), shown, F.lit("}"))
+    documents = lines.groupBy(F.col("l_orderkey").cast("string").alias("sha256")).agg(
+        F.concat(F.lit('{"nodes":['), F.array_join(F.array_sort(F.collect_list(node)), ","), F.lit("]}")).alias("document")
+    )
+    inputs = table(spark, sf_dir, "part").filter("p_type LIKE 'S%'").select(
+        F.col("p_type").alias("class_type"), F.explode(F.array(F.lit("ckpt_name"), F.lit("vae_name"), F.lit("strength"))).alias("input")
+    ).distinct()
+    bindings = derive_documents(documents, declared_inputs(inputs)).select(F.explode("bindings").alias("b")).select("b.*")
+    return bindings.groupBy("class_type", "input", "binding", "evidence").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _derive_meta(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []

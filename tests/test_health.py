@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from graphloom.operators import health
-from graphloom.streaming.health import step
+from graphloom.streaming.health import advance
 
 START = dt.datetime(2026, 1, 1)
 
@@ -30,12 +30,31 @@ def test_backoff_doubles(spark):
     assert [r["seconds"] for r in rows.orderBy("n").collect()] == [0, 0, 900, 1800, 0]
 
 
-def test_stream_step_agrees():
-    state, waits = (False, 0, 0), []
-    for status in (503, 503, 503, 403, 403, 403, 200, 404):
-        state, wait = step(state, status)
-        waits.append(wait)
-    assert waits == [0, 0, 900, 0, 0, 0, 0, 0] and state == (True, 0, 0)
+def test_stream_steps_agree_with_a_loop():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    columns, after = advance((False, 0, 0), np.array([503, 503, 503, 403, 403, 403, 200, 404]))
+    assert columns["backoff_seconds"].tolist() == [0, 0, 900, 0, 0, 0, 0, 0] and after == (True, 0, 0)
+    for _ in range(20):
+        statuses = rng.choice([200, 403, 429, 503, 500, 404], 60, p=[0.1, 0.25, 0.1, 0.3, 0.15, 0.1])
+        latched = refusals = failures = 0
+        want = []
+        for s in statuses:
+            if s in (401, 403, 429):
+                refusals += 1
+                latched = latched or refusals >= 3
+            elif s >= 500:
+                failures += 1
+            elif s < 400:
+                refusals = failures = 0
+            want.append((bool(latched), refusals, failures))
+        state, got = (False, 0, 0), []
+        for part in np.array_split(statuses, 7):  # as micro-batches
+            columns, state = advance(state, part)
+            got += list(zip(columns["latched"].tolist(), columns["refusals"].tolist(), columns["failures"].tolist(), strict=True))
+        assert got == want
+    assert advance((True, 2, 1), np.array([], dtype=np.int64))[1] == (True, 2, 1)
 
 
 def test_cleared_host_can_latch_again(spark):
@@ -56,6 +75,8 @@ def test_dry_pages(spark):
     assert read(0, 3, 0, 0, 5) == [0, 1, 2, 3]
     assert read(1, 0, 1, 0) == [0, 1, 2, 3]
     assert read(0, 0, 0) == [0, 1]
+    two = spark.createDataFrame([("a", 0, 0), ("a", 1, 0), ("a", 2, 5), ("b", 0, 0), ("b", 2, 0), ("b", 3, None)], "s string, page int, new_rows int")
+    assert sorted((r["s"], r["page"]) for r in health.until_dry(two, "page", "new_rows", stream="s").collect()) == [("a", 0), ("a", 1), ("b", 0), ("b", 2), ("b", 3)]
 
 
 def test_slices_do_not_change_streaks(spark):
