@@ -1,11 +1,16 @@
 """P10. Personal information in free text, judged by what the corpus says about its terms.
 
-Candidates come from patterns. How strongly a term reveals a protected entity is estimated
-from co-occurrence over all documents: of the words around a candidate (its cues), the
-pointwise mutual information with a known name or with a number of protected form; of the
-parts of an unknown name, the share of their occurrences that stand beside such cues. Terms
-over the disclosure thresholds are findings and are replaced by typed placeholders; a seed
-number or the name of a node looks alike but its cues tell nothing, so it stays.
+Candidates are loose shapes: any number of six digits or more, any capital words with a house
+number, any two capital words. Some have a form that protected things are known to have (a telephone
+number in a usual notation, an official number, a street address, two known name parts); these are
+what the estimate starts from. How strongly a term reveals a protected entity is estimated from
+co-occurrence over all documents: of the words before a candidate (its cues), the share of known forms
+of a kind among all candidates behind them, or the pointwise mutual information with a known name; of
+the parts of an unknown name, the share of their occurrences that stand beside such cues. Behind a
+cue over the disclosure threshold every candidate is a finding, whatever its notation, and is
+replaced by a typed placeholder; a seed number or the name of a node looks alike but its cues tell
+nothing, so it stays. Mail addresses, telephone numbers and postal addresses in an unmistakable
+notation are findings without a cue.
 """
 
 from __future__ import annotations
@@ -30,7 +35,7 @@ LEAST_SUPPORT, LEAST_PAIR_SUPPORT = 3, 5
 #: Part of the bits that certainty would give by which a cue must reveal a known name, and the
 #: least share of known names.
 LEAST_INFORMATION, LEAST_NAME_SHARE = 0.5, 0.2
-#: Least share of protected forms among the numbers after a cue.
+#: Least share of protected forms among the numbers, or addresses, after a cue.
 LEAST_NUMBER_SHARE = 0.8
 #: Share of a word's occurrences beside name cues from which it is a name part by itself, and
 #: under which it is an ordinary word.
@@ -45,7 +50,8 @@ EMAIL = regex.compile(
 )
 #: International, national with area code in brackets, grouped, and bare with exit code.
 PHONE = re.compile(
-    r"(?<![\w.+/@-])(?:\+\d{1,3}[ .-]?(?:\(0\)[ .-]?)?\d{1,5}(?:[ .-]\d{2,6}){1,5}|\(0?\d{2,5}\) ?\d{3,5}[ .-]\d{3,6}"
+    r"(?<![\w.+/@-])(?:\+\d{1,3}[ .-]?(?:\(0\)[ .-]?)?\d{1,5}(?:[ .-]\d{2,6}){1,5}|\+\d{8,15}|\(0?\d{2,5}\) ?\d{3,5}[ .-]\d{3,6}"
+    r"|1[-.]\d{3}[-.]\d{3}[-.]\d{4}"
     r"|\d{3}-\d{3}-\d{4}|\d{3}\.\d{3}\.\d{4}|001\d{10}|07\d{3} \d{6}|0\d{2,4}/\d{5,9}|0\d(?: \d\d){4})(?![\w/]|[.-]\d)"
 )
 #: Forms of official numbers: 3-2-4 and 3 3 3 digits, 11 digits, letter and 8 digits, and two
@@ -55,24 +61,34 @@ NUMBER_FORM = re.compile(
 )
 IDNUM = re.compile(rf"(?<![\w.+/@-])(?:{NUMBER_FORM.pattern})(?!\w|[./@-]\w)")
 NUMBER = re.compile(r"(?<![\w.+/@-])(?:[A-Z]{1,2} ?)?\d+(?:[-./ ]\d+)*(?: ?[A-D])?(?!\w)")
-LEAST_DIGITS = 6
+#: Digits that a number needs to be looked at, and those that one has without a known form.
+LEAST_DIGITS, MOST_DIGITS = 6, 15
 
 _CAP = r"\p{Lu}[\p{Ll}ß]+"
 _TOWN = rf"{_CAP}(?:-{_CAP})*"
 _NEXT = r"(?:,\s+|[ \t]*\r?\n[ \t]*)"
 _CODE = r"(?:\d{4,6} )"
+_STREET = "(?:Ave|Avenue|Road|Rd|Street|St|Lane|Ln|Drive|Boulevard|Blvd|Court|Way|Square|Terrace|Close|Crescent|Parkway)"
 ADDRESS = regex.compile(
-    rf"(?<![\w-])(?:\d{{1,5}}[a-z]?,? (?:{_CAP} ){{1,3}}(?:Ave|Avenue|Road|Rd|Street|St|Lane|Ln|Drive|Boulevard|Blvd|Court|Way|Square)\b\.?"
-    rf"(?:,? (?:Apt|Apartment|Unit|Suite|Flat)\.? ?\w+)?(?:{_NEXT}{_CODE}?{_TOWN}(?:,? [A-Z]{{2}} \d{{4,6}})?)?"
+    rf"(?<![\w-])(?:\d{{1,5}}[A-Za-z]?,? (?:{_CAP} ){{1,3}}{_STREET}\b\.?(?: (?:N|S|E|W|NE|NW|SE|SW)\b)?"
+    rf"(?:,? (?:Apt|Apartment|Unit|Suite|Flat)\.? ?\w+)?(?:{_NEXT}{_CODE}?{_TOWN}(?:,? [A-Z]{{2}} \d{{4,6}}(?:-\d{{4}})?)?)?"
     rf"|\d{{1,5}}[a-z]?,? (?:rue|avenue|boulevard|place|chemin|quai)(?: (?:de la|des|du|de|d'|la|le))? ?{_CAP}(?: {_CAP})?{_NEXT}{_CODE}?{_TOWN}"
     rf"|(?:Calle|Avenida|Plaza|Paseo|Camino)(?: (?:de la|del|de|los|las))? {_CAP}(?: {_CAP})?,? \d{{1,5}}[a-z]?(?:{_NEXT}{_CODE}?{_TOWN})?"
     rf"|(?:{_CAP}[ -])*\p{{Lu}}[\p{{Ll}}ß]*(?:straße|strasse|str\.|weg|gasse|platz|allee|ufer|ring) \d{{1,5}} ?[a-z]?\b(?:{_NEXT}{_CODE}?{_TOWN})?"
+    rf"|(?:Via|Viale|Piazza|Corso)(?: (?:di|del|della|dei))? {_CAP}(?: {_CAP})?,? \d{{1,5}}[A-Za-z]?(?:{_NEXT}{_CODE}?{_TOWN})?"
     rf"|(?:P\.? ?O\.? Box|Postfach|Apartado|BP) \d{{1,6}}(?:{_NEXT}{_CODE}?{_TOWN})?)"
 )
-_PART = r"(?:\p{Lu}[\p{Ll}]+(?:[-'’]\p{Lu}[\p{Ll}]+)*|\p{Lu}{3,}(?:[-'’]\p{Lu}{2,})*)"
+#: What could be an address behind a telling cue: a house number and capital words, in either order, and
+#: what follows them up to the town.
+_WORDS = rf"{_CAP}(?:[ -](?:(?:de la|del|de|des|du|di|van|von|der|den|am|an der|im) )?{_CAP}){{0,4}}"
+_REST = rf"(?:{_NEXT}(?:{_CODE})?{_TOWN}(?: {_TOWN})?(?:,? [A-Z]{{2}} \d{{4,6}})?)?"
+WIDE_ADDRESS = regex.compile(rf"(?<![\w-])(?:\d{{1,5}}[A-Za-z]?,? {_WORDS}{_REST}|{_WORDS},? \d{{1,5}}[A-Za-z]?\b{_REST})(?![\w-])")
+_PART = (
+    r"(?:(?:Mc|Mac|[OD]['’])?\p{Lu}[\p{Ll}]+(?:[-'’]\p{Lu}[\p{Ll}]+)*|(?:\p{Lu}['’])?\p{Lu}{3,}(?:[-'’]\p{Lu}{2,})*|\p{Lu}{2}(?= \p{Lu}{2,}\b)|(?<=\b\p{Lu}{2,} )\p{Lu}{2})"
+)
 CAPITAL = regex.compile(rf"(?<![\w@.+-]){_PART}(?![\p{{Latin}}\d_@+-])")
-#: What stands between the two parts of a name: a blank, a comma, or an initial.
-BETWEEN = regex.compile(r" (?:\p{Lu}\. )?|, ")
+#: What stands between the two parts of a name: a blank, a comma, an initial, or particles.
+BETWEEN = regex.compile(r" (?:\p{Lu}\. )?|, | (?:(?:van|von|de|da|di|del|dos|la|le|der|den|ten|bin|al|el|zu) ){1,2}")
 #: The sign of a mail address.
 AT_SIGN = regex.compile(r"(?i)[@＠]|[\[(]at[\])]|(?<=\s)at(?=\s[\w-]+(?:\s?[\[(]dot[\])]|\sdot\s))")
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
@@ -81,7 +97,7 @@ WORD = re.compile(r"[^\W\d_]+")
 
 FOUND = (
     "what string, doc_id bigint, kind string, first int, last int, found_text string, left1 string, left2 string, "
-    "right2 string, part_a string, part_b string, n bigint, n_form bigint"
+    "right2 string, part_a string, part_b string, n bigint, n_form bigint, n_phone bigint"
 )
 _TYPES = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32()}
 SCHEMA = pa.schema([(x.split()[0], _TYPES[x.split()[1]]) for x in FOUND.split(", ")])
@@ -126,9 +142,33 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
             yield m.span()
 
 
-def scan_text(doc_id: int, text: str, tokens: Counter, numbers: Counter, forms: Counter) -> Iterator[tuple]:
-    """Candidates of one text as rows of FOUND; counts capital words and numbers on the way."""
+class Counts:
+    """What a batch of texts adds to the statistics: capital words; by cue the numbers behind it, those of
+    an official form, telephone numbers; and addresses, loose ones and those of a known form."""
+
+    def __init__(self) -> None:
+        self.words, self.numbers, self.forms, self.phones, self.places, self.addresses = (Counter() for _ in range(6))
+
+    def rows(self) -> Iterator[tuple]:
+        empty = (None,) * 5
+        for word, n in self.words.items():
+            yield "token", None, None, None, None, word, *empty, n, None, None
+        for cue in self.numbers.keys() | self.phones.keys():
+            yield "cue", None, None, None, None, cue, *empty, self.numbers[cue], self.forms[cue], self.phones[cue]
+        for cue, n in self.places.items():
+            yield "place", None, None, None, None, cue, *empty, n, self.addresses[cue], None
+
+
+def _official(text: str, start: int, end: int) -> re.Match | None:
+    """The first number of an official form within a stretch of digits; it may begin behind others."""
+    found = IDNUM.match(text, start)
+    return found if found is not None else IDNUM.search(text[:end + 2], start) if end - start > 12 and " " in text[start:end] else None
+
+
+def scan_text(doc_id: int, text: str, counts: Counts) -> Iterator[tuple]:
+    """Candidates of one text as rows of FOUND; counts words, numbers and addresses on the way."""
     taken = bytearray(len(text))
+    none = (None,) * 6
 
     def free(start: int, end: int) -> bool:
         return not any(taken[start:end])
@@ -139,42 +179,56 @@ def scan_text(doc_id: int, text: str, tokens: Counter, numbers: Counter, forms:
     for kind, start, end in sure:
         if free(start, end):
             taken[start:end] = b"\1" * (end - start)
-            yield "sure", doc_id, kind, start, end, text[start:end], None, None, None, None, None, None, None
+            if kind == "phone":
+                counts.phones.update(word_cues(text, start))
+            elif kind == "address":
+                cue = cues(text, start, end)[1]
+                counts.places[cue] += 1
+                counts.addresses[cue] += 1
+            yield "sure", doc_id, kind, start, end, text[start:end], None, None, *none
+    for m in WIDE_ADDRESS.finditer(text):
+        if free(*m.span()):
+            cue = cues(text, *m.span())[1]
+            counts.places[cue] += 1
+            yield "place", doc_id, "address", *m.span(), m.group(), None, cue, *none
     for m in NUMBER.finditer(text):
-        if m.end() - m.start() >= LEAST_DIGITS and free(*m.span()) and sum(map(str.isdigit, m.group())) >= LEAST_DIGITS:
-            formed = IDNUM.match(text, m.start())
-            beside = word_cues(text, m.start())
-            for cue in beside:
-                numbers[cue] += 1
-                forms[cue] += formed is not None
-            if formed is not None:
-                yield "number", doc_id, "idnum", *formed.span(), formed.group(), *beside, None, None, None, None, None
+        start, end = m.span()
+        if end - start < LEAST_DIGITS or not free(start, end):
+            continue
+        digits = sum(map(str.isdigit, m.group()))
+        if digits < LEAST_DIGITS:
+            continue
+        formed = _official(text, start, end)
+        beside = word_cues(text, start if formed is None else formed.start())
+        for cue in beside:
+            counts.numbers[cue] += 1
+            counts.forms[cue] += formed is not None
+        if formed is not None:
+            yield "number", doc_id, "idnum", *formed.span(), formed.group(), *beside, *none
+        elif digits <= MOST_DIGITS:
+            yield "wide", doc_id, None, start, end, m.group(), *beside, *none
     before = None
     for m in CAPITAL.finditer(text):
         if not free(*m.span()):
             before = None
             continue
-        tokens[m.group().lower()] += 1
+        counts.words[m.group().lower()] += 1
         if before is not None and BETWEEN.fullmatch(text, before.end(), m.start()):
             start, end = before.start(), m.end()
             left1, left2, right2 = cues(text, start, end)
             yield (
-                "name", doc_id, "name", start, end, text[start:end], left1, left2, right2, before.group().lower(), m.group().lower(), None, None,
+                "name", doc_id, "name", start, end, text[start:end], left1, left2, right2, before.group().lower(), m.group().lower(), None, None, None,
             )
         before = m
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        tokens: Counter = Counter()
-        numbers: Counter = Counter()
-        forms: Counter = Counter()
+        counts = Counts()
         rows = []
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            rows += scan_text(doc, text, tokens, numbers, forms)
-        empty = (None,) * 5
-        rows += [("token", None, None, None, None, token, *empty, n, None) for token, n in tokens.items()]
-        rows += [("cue", None, None, None, None, cue, *empty, n, forms[cue]) for cue, n in numbers.items()]
+            rows += scan_text(doc, text, counts)
+        rows += counts.rows()
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), SCHEMA.types, strict=True)], schema=SCHEMA)
 
@@ -187,15 +241,23 @@ def scan(documents: DataFrame) -> DataFrame:
     )
 
 
-def number_cues(scanned: DataFrame) -> DataFrame:
-    """(cue): a word, or two, after which numbers have a protected form and hardly another."""
+def telling_cues(scanned: DataFrame) -> DataFrame:
+    """(cue, kind): a word, or two, after which candidates have a known form of a kind and hardly ever
+    none: ``idnum`` among numbers, ``phone`` among numbers and telephone numbers, ``address`` (two
+    tokens) among addresses."""
     least = F.when(F.col("cue").contains(" "), LEAST_PAIR_SUPPORT).otherwise(LEAST_SUPPORT)
-    return (
-        scanned.filter("what = 'cue'").groupBy(F.col("found_text").alias("cue"))
-        .agg(F.sum("n").alias("n"), F.sum("n_form").alias("n_form"))
-        .filter((F.col("cue") != "") & (F.col("n") >= least) & (F.col("n_form") >= LEAST_NUMBER_SHARE * F.col("n")))
-        .select("cue")
+    counted = (
+        scanned.filter("what IN ('cue', 'place') AND doc_id IS NULL").groupBy("what", F.col("found_text").alias("cue"))
+        .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "n_form", "n_phone")]).filter(F.col("cue") != "")
     )
+    kinds = F.when(F.col("what") == "place", F.array(F.struct(F.lit("address").alias("kind"), F.col("n").alias("all"), F.col("n_form").alias("known")))).otherwise(
+        F.array(
+            F.struct(F.lit("idnum").alias("kind"), F.col("n").alias("all"), F.col("n_form").alias("known")),
+            F.struct(F.lit("phone").alias("kind"), (F.col("n") + F.col("n_phone")).alias("all"), F.col("n_phone").alias("known")),
+        )
+    )
+    each = counted.select("cue", F.explode(kinds).alias("k")).select("cue", "k.*")
+    return each.filter((F.col("all") >= least) & (F.col("known") >= LEAST_NUMBER_SHARE * F.col("all"))).select("cue", "kind")
 
 
 def name_cues(candidates: DataFrame) -> DataFrame:
@@ -281,12 +343,20 @@ def findings(documents: DataFrame, known_parts: DataFrame) -> DataFrame:
     findings of all its texts."""
     scanned = materialize(scan(documents), "scanned")
     columns = ["doc_id", "kind", "first", "last", "found_text"]
-    cue_words = materialize(number_cues(scanned), "number-cues")
-    numbers = scanned.filter("what = 'number'")
+    telling = materialize(telling_cues(scanned), "telling-cues")
+    behind = scanned.filter("what IN ('number', 'wide') OR what = 'place' AND doc_id IS NOT NULL")
     for side in ("left1", "left2"):
-        telling = cue_words.select(F.col("cue").alias(side), F.lit(True).alias(f"by_{side}"))
-        numbers = small_join(numbers, telling, [side], ["doc_id", "first"])
-    numbers = numbers.filter("by_left1 OR by_left2")
+        told = telling.groupBy(F.col("cue").alias(side)).agg(F.collect_set("kind").alias(f"by_{side}"))  # three kinds at most
+        behind = small_join(behind, materialize(told, side), [side], ["doc_id", "first"])
+    empty = F.array().cast("array<string>")
+    told = F.array_union(F.coalesce("by_left1", empty), F.coalesce("by_left2", empty))
+    # a number of official form is one or nothing; any other is what its cue tells
+    kind = (
+        F.when(F.col("what") == "place", F.when(F.array_contains("told", "address"), "address"))
+        .when(F.array_contains("told", "idnum"), "idnum")
+        .when((F.col("what") == "wide") & F.array_contains("told", "phone"), "phone")
+    )
+    numbers = behind.withColumn("told", told).withColumn("kind", kind).filter("kind IS NOT NULL")
     return scanned.filter("what = 'sure'").select(*columns).unionByName(numbers.select(*columns)).unionByName(names(scanned, known_parts))
 
 

@@ -195,3 +195,33 @@ def test_nothing_to_find(spark):
     assert private.findings(d, p).count() == 0
     some = spark.createDataFrame([(1, "Author: Alda Umber")], DOCS)
     assert private.findings(some, p).count() == 0
+
+
+def test_forms_that_no_pattern_knows(spark):
+    rng = random.Random(8)
+    first, last = ["Alda", "Brev", "Corin", "Dael", "Flint"], ["Umber", "Vexley", "Wold", "Xan", "Yarrow"]
+    docs = []
+    for n in range(80):
+        name = f"{first[n % 5]} {last[(n * 7 + n // 5) % 5]}"
+        docs.append((n, (
+            f"Author: {name}\nCall me on +44 7700 9{n:02d}{n % 7}35 today. Ship it to {n + 1} Opalfell Lane, Vaquenford please. "
+            f"My tax id 98765432{n:03d} holds. Set seed {rng.randrange(10**8)} and use Blur Tensor {n % 9}. Step {n % 12} of Load Noise Plus 2"
+        )))
+    new = {
+        "phone": ["020 7946 0958", "0151 23456789", "555 0199 22", "+4915123456789", "1-800-555-0199"], "idnum": ["AB 12 34 56 7", "12.345.678-9", "2024 123 456 789"],
+        "address": ["5 Oak Mews, Bristol", "1600 Pennsylvania Avenue NW, Washington, DC 20500", "221B Baker Street, London", "Via Roma 10, 00184 Roma", "Lange Gracht 12, 1012 Leiden"],
+        "name": ["Sean O'Brien", "Fiona McDonald", "LI WEI", "Ludwig van Bergen", "Ana de la Cruz"],
+    }
+    lead = {"phone": "Call me on ", "idnum": "My tax id ", "address": "Ship it to ", "name": "Author: "}
+    want = set()
+    for kind, forms in new.items():
+        for form in forms:
+            docs.append((len(docs), f"{lead[kind]}{form}\n then seed 7654321 in Load Noise Plus 2"))
+            want.add((docs[-1][0], kind, form))
+    p = spark.createDataFrame([(x, "given") for x in first] + [(x, "family") for x in last], "name_part string, part_kind string")
+    found = {(r["doc_id"], r["kind"], r["found_text"]) for r in private.findings(spark.createDataFrame(docs, DOCS), p).collect()}
+    mine = {f for f in found if f[0] >= 80}
+    missed, extra = want - mine, mine - want
+    assert len(missed) <= 0.1 * len(want), missed
+    assert len(extra) <= 2, extra
+    assert len([f for f in found if f[0] < 80]) == 80 * 4
