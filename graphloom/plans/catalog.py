@@ -623,19 +623,23 @@ WITH l AS (SELECT DISTINCT l_orderkey, l_partkey, l_linestatus, l_returnflag FRO
 SELECT l_orderkey::VARCHAR AS workflow, count(*) AS node_count, count(*) FILTER (WHERE l_returnflag = 'R') AS link_count,
   count(*) FILTER (WHERE l_returnflag = 'R') AS model_edges, 'save' AS format FROM l GROUP BY 1""")
 def save_graph_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Canvas documents made from orders (returned lines have a model link), as above."""
+    """Canvas documents made from orders (returned lines have a model link), as above."""
+    derived = _canvas_documents(spark, sf_dir).select(F.col("l_orderkey").cast("string").alias("key"), "document").mapInArrow(_derive_text, GRAPH)
+    return derived.select(F.col("capture_id").alias("workflow"), "node_count", "link_count", "model_edges", "format")
+
+
+def _canvas_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(l_orderkey, document): a line is a node; returned ones have a link to themselves."""
     lines = _order_lines(spark, sf_dir)
     key = F.concat(F.col("l_partkey").cast("string"), F.lit("-"), F.col("l_linestatus"), F.col("l_returnflag"))
     node = F.concat(F.lit('{"id":"'), key, F.lit('","type":"'), F.col("p_type"), F.lit('","mode":0,"properties":{"cnr_id":"pack-a"}}'))
     link = F.when(F.col("l_returnflag") == "R", F.concat(F.lit('[1,"'), key, F.lit('",0,"'), key, F.lit('",0,["MODEL","CLIP"]]')))
-    documents = lines.groupBy("l_orderkey").agg(
+    return lines.groupBy("l_orderkey").agg(
         F.concat(
             F.lit('{"nodes":['), F.array_join(F.array_sort(F.collect_list(node)), ","), F.lit('],"links":['), F.array_join(F.array_sort(F.collect_list(link)), ","),
             F.lit('],"version":0.4}'),
         ).alias("document")
     )
-    derived = documents.select(F.col("l_orderkey").cast("string").alias("key"), "document").mapInArrow(_derive_text, GRAPH)
-    return derived.select(F.col("capture_id").alias("workflow"), "node_count", "link_count", "model_edges", "format")
 
 
 @query("""
@@ -667,6 +671,43 @@ def save_binding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bindings.groupBy("class_type", "input", "binding", "evidence").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _identities(rows: str, form: str, document: str, edge: str, edge_order: str, outline: str) -> str:
+    """SQL for the three identities of documents from their nodes: (o, t, entry, w, linked) by node."""
+    graph = lambda values, rank: (
+        f"""sha256('{{"e":[' || coalesce(string_agg({edge.format(r=rank)}, ',' ORDER BY {edge_order.format(r=rank)}) FILTER (WHERE linked), '')"""
+        f""" || '],"n":[' || string_agg('["' || t || '","' || {values} || '"]', ',' ORDER BY {rank}) || ']}}')"""
+    )
+    return f"""
+SELECT o::VARCHAR AS workflow, '{form}' AS format, sha256({document}) AS workflow_id, {graph("w", "r")} AS canonical_hash, {graph(outline, "r2")} AS structural_hash
+FROM (SELECT *, row_number() OVER (PARTITION BY o ORDER BY t, w, entry) - 1 AS r, row_number() OVER (PARTITION BY o ORDER BY t, {outline}, entry) - 1 AS r2 FROM {rows}) GROUP BY o"""
+
+
+IDENTITY_SQL = r"""
+WITH l AS (SELECT DISTINCT l_orderkey AS o, l_partkey::VARCHAR || '-' || l_linestatus || l_returnflag AS k, l_linestatus AS s, l_returnflag AS f, p_type AS t FROM lineitem JOIN part ON p_partkey = l_partkey),
+api AS (
+  SELECT o, t, s = 'F' AS linked, CASE WHEN s = 'F' THEN '{}' ELSE '{\"ckpt_name\": \"a.bin\"}' END AS w, CASE WHEN s = 'F' THEN '[]' ELSE '[\"ckpt_name\"]' END AS names,
+    '"' || k || '":{"class_type":"' || t || '","inputs":{"ckpt_name":' || CASE WHEN s = 'F' THEN '["1",0]' ELSE '"a.bin"' END || '}}' AS entry FROM l
+), save AS (
+  SELECT o, t, f = 'R' AS linked, 'null' AS w, '{"id":"' || k || '","type":"' || t || '","mode":0,"properties":{"cnr_id":"pack-a"}}' AS entry,
+    '{"id":"' || k || '","mode":0,"properties":{"cnr_id":"pack-a"},"type":"' || t || '"}' AS plain, '[1,"' || k || '",0,"' || k || '",0,["MODEL","CLIP"]]' AS link FROM l
+)""" + _identities(
+    "api", "api", "'{' || string_agg(entry, ',' ORDER BY entry) || '}'", """'[-1,0,' || {r} || ',"ckpt_name"]'""", """'[-1, 0, ' || {r} || ', "ckpt_name"]'""", "names",
+) + " UNION ALL " + _identities(
+    "save", "save",
+    """'{"links":[' || coalesce(string_agg(link, ',' ORDER BY link) FILTER (WHERE linked), '') || '],"nodes":[' || string_agg(plain, ',' ORDER BY entry) || '],"version":0.4}'""",
+    """'[' || {r} || ',0,' || {r} || ',0,["MODEL","CLIP"]]'""", """'[' || {r} || ', 0, ' || {r} || ', 0, ["MODEL", "CLIP"]]'""", "''",
+)
+
+
+@query(IDENTITY_SQL)
+def graph_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact, canonical and structural identity (G7, F8, F9, F24) of the documents of both round trips;
+    the SQL writes out the text of each identity and hashes it."""
+    documents = [d.select(F.col("l_orderkey").cast("string").alias("key"), "document") for d in (_prompt_documents(spark, sf_dir), _canvas_documents(spark, sf_dir))]
+    derived = documents[0].unionByName(documents[1]).mapInArrow(_derive_text, GRAPH)
+    return derived.select(F.col("capture_id").alias("workflow"), "format", "workflow_id", "canonical_hash", "structural_hash")
+
+
 def _derive_meta(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []

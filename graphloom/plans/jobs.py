@@ -15,6 +15,7 @@ from graphloom.functions.containers import parse
 from graphloom.functions.jsontext import decode_object
 from graphloom.functions.ranges import capture_file
 from graphloom.functions.text import normal_hash
+from graphloom.operators import listing
 from graphloom.operators.shred import graphs
 from graphloom.operators.skew import small_join
 from graphloom.plans import samples
@@ -168,10 +169,14 @@ def health_by_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query("""
+SELECT 'user-' || s AS stream, CAST(p AS INT) AS page, CAST(k AS INT) AS position, (1000 * s + 10 * p + k)::VARCHAR AS artifact_id, (7 * p + k // 2)::VARCHAR AS post_id,
+  'u' || k AS author, '2026-0' || (p + 1) || '-1' || k || 'T00:00:00Z' AS published_at, k % 2 = 1 AS marked, k % 3 = 0 AS has_meta,
+  CASE WHEN k = 0 THEN 0 ELSE CAST(floor(2.9 * k) AS BIGINT) END AS likes, k + 0 AS author_id
+FROM range(3) a(s), range(3) b(p), range(5) c(k)""")
 def recorded_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listing pages through the Python data source (S8 to S14, P17). A fixture of three streams
-    is recorded first, in the shared folder: the source reads pages, not test tables."""
+    """Listing pages through the Python data source (S8 to S10, S14, P1, P17, F21). A fixture of three
+    streams is recorded first, in the shared folder: the source reads pages, not test tables."""
     root = scratch_path(spark, "pages")
     for stream in range(3):
         pages = [
@@ -187,4 +192,8 @@ def recorded_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         ]
         write_pages(root, f"user-{stream}", pages)
     spark.dataSource.register(RecordedPages)
-    return spark.read.format("recorded_pages").option("path", root).load()
+    items = spark.read.format("recorded_pages").option("path", root).load()
+    return items.select(
+        "stream", "page", "position", "artifact_id", "post_id", "author", "published_at", listing.wanted(F.col("tool_ids"), F.col("has_meta"), "tagged").alias("marked"),
+        "has_meta", F.col("stats")["likes"].alias("likes"), F.col("author_id").cast("bigint").alias("author_id"),
+    )

@@ -43,6 +43,53 @@ def p2_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.unify(raw, drift.MigrationPlan(drift.changes(flat), types)).unionByName(versions)
 
 
+#: Fields of readable records by row, and their types by month.
+P2_FLAT = r"""
+WITH once AS (
+  SELECT source, regexp_extract(manifest_key, '/(\d{4}-\d{2})/', 1) AS month, capture_id, coalesce(workflow_id, '') AS workflow_id,
+    CASE WHEN json_valid(source_meta) THEN CASE WHEN json_type(source_meta) = 'VARCHAR' THEN json_extract_string(source_meta, '$') ELSE source_meta END END AS meta
+  FROM raw_artifacts WHERE source IS NOT NULL
+), objects AS (
+  SELECT row_number() OVER () AS r, source, month, capture_id, workflow_id, meta FROM once WHERE month <> '' AND json_valid(meta) AND json_type(meta) = 'OBJECT'
+), flat AS (
+  SELECT r, source, month, capture_id, workflow_id, replace(substr(t.fullkey, 3), '"', '') AS field,
+    CASE t.type WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'ARRAY' THEN 'array' ELSE 'number' END AS type,
+    CASE WHEN t.type = 'VARCHAR' THEN 's' || (t.atom->>'$') WHEN t.type <> 'ARRAY' THEN coalesce(try_cast(t.atom AS DOUBLE)::VARCHAR, t.atom::VARCHAR) END AS value
+  FROM objects, json_tree(objects.meta) AS t WHERE t.type NOT IN ('OBJECT', 'NULL') AND NOT contains(t.fullkey, '[')
+), types AS (SELECT source, month, field, string_agg(DISTINCT type, ',' ORDER BY type) AS types FROM flat GROUP BY 1, 2, 3
+
+)"""
+P2_SQL = P2_FLAT + r""", steps AS (
+  SELECT source, month AS step, before FROM (SELECT source, month, lag(month) OVER (PARTITION BY source ORDER BY month) AS before FROM (SELECT DISTINCT source, month FROM types)) WHERE before IS NOT NULL
+), old AS (SELECT s.source, s.step, s.before, t.field, t.types FROM steps s JOIN types t ON t.source = s.source AND t.month = s.before
+), new AS (SELECT s.source, s.step, s.before, t.field, t.types FROM steps s JOIN types t ON t.source = s.source AND t.month = s.step
+), gone AS (SELECT o.* FROM old o ANTI JOIN new n ON n.source = o.source AND n.step = o.step AND n.field = o.field
+), come AS (SELECT n.* FROM new n ANTI JOIN old o ON n.source = o.source AND n.step = o.step AND n.field = o.field
+), a AS (SELECT g.source, g.step, g.field, f.capture_id, f.workflow_id, f.value FROM gone g JOIN flat f ON f.source = g.source AND f.month = g.before AND f.field = g.field WHERE f.value IS NOT NULL
+), b AS (SELECT c.source, c.step, c.field, f.capture_id, f.workflow_id, f.value FROM come c JOIN flat f ON f.source = c.source AND f.month = c.step AND f.field = c.field WHERE f.value IS NOT NULL
+), renamed AS (
+  SELECT a.source, a.step, a.field AS old_field, b.field AS new_field FROM a JOIN b ON a.source = b.source AND a.step = b.step AND a.capture_id = b.capture_id AND a.workflow_id = b.workflow_id
+  GROUP BY 1, 2, 3, 4 HAVING bool_and(a.value = b.value)
+), shapes AS (
+  SELECT batch_no, field, string_agg(DISTINCT shape, ',' ORDER BY shape) AS shapes FROM (
+    SELECT batch_no, 'frontend_version' AS field, nullif(regexp_replace(regexp_replace(frontend_version, '^\s+|\s+$', '', 'g'), '[0-9]+', '9', 'g'), '') AS shape FROM derived_workflows
+    UNION ALL SELECT batch_no, 'graph_version', nullif(regexp_replace(regexp_replace(graph_version, '^\s+|\s+$', '', 'g'), '[0-9]+', '9', 'g'), '') FROM derived_workflows
+  ) WHERE batch_no IS NOT NULL GROUP BY 1, 2
+), moved AS (SELECT *, lag(shapes) OVER w AS before, row_number() OVER w AS n FROM shapes WINDOW w AS (PARTITION BY field ORDER BY batch_no))
+SELECT source, step, old_field, new_field, 'renamed' AS drift FROM renamed
+UNION ALL SELECT source, step, field, '', 'removed' FROM gone g WHERE NOT EXISTS (SELECT 1 FROM renamed r WHERE r.source = g.source AND r.step = g.step AND r.old_field = g.field)
+UNION ALL SELECT source, step, '', field, 'added' FROM come g WHERE NOT EXISTS (SELECT 1 FROM renamed r WHERE r.source = g.source AND r.step = g.step AND r.new_field = g.field)
+UNION ALL SELECT o.source, o.step, o.field, o.field, 'retyped' FROM old o JOIN new n ON n.source = o.source AND n.step = o.step AND n.field = o.field WHERE n.types <> o.types
+UNION ALL SELECT 'derived_workflows', lpad(batch_no::VARCHAR, 2, '0'), field, field, 'reshaped' FROM moved WHERE n > 1 AND coalesce(before, '') <> coalesce(shapes, '')"""
+P2_VERSIONS_SQL = P2_FLAT + r"""
+, prints AS (
+  SELECT source, month, count(*) AS n_fields,
+    md5('[' || string_agg('{"field":"' || field || '","types":["' || replace(types, ',', '","') || '"]}', ',' ORDER BY field) || ']') AS fingerprint
+  FROM types GROUP BY 1, 2
+), moved AS (SELECT *, CASE WHEN fingerprint IS DISTINCT FROM lag(fingerprint) OVER w THEN 1 ELSE 0 END AS moved FROM prints WINDOW w AS (PARTITION BY source ORDER BY month))
+SELECT source, month, n_fields, fingerprint, CAST(sum(moved) OVER (PARTITION BY source ORDER BY month) AS INT) AS version FROM moved
+"""
+
 #: What the node tables give to p3_found, and where a stamp stands if its element has its own table.
 NODE_FIELDS = {"node": ["id", "type", "properties.cnr_id"], "api_node": ["class_type"]}
 STAMPS = "node.properties"
@@ -154,4 +201,4 @@ QUERIES = {
     "p3_found": p3_found, "p3_subgraphs": p3_subgraphs, "p3_layout": p3_layout, "p3_tables": p3_tables,
     "p4_found": p4_found,
 }
-SQL = {"p4_found": P4_SQL}
+SQL = {"p2_found": P2_SQL, "p2_versions": P2_VERSIONS_SQL, "p4_found": P4_SQL}
