@@ -498,27 +498,6 @@ def consumed_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- listing items ------------------------------------------------------------------------
 
 
-@query(r"""
-SELECT source_artifact_id, bool_or(coalesce(CAST(json_extract(source_meta, '$.hasMeta') AS BOOLEAN), false)) AS has_meta,
-  bool_or(list_contains(coalesce(CAST(json_extract(source_meta, '$.toolIds') AS BIGINT[]), []), 86)) AS marked
-FROM (SELECT * FROM raw_artifacts WHERE source = 'galleryhub' AND left(source_meta, 1) = '{' AND json_valid(source_meta)) GROUP BY 1""")
-def prefilter_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Why an item is wanted (P2, P3), from the listing kept with each capture. As in its SQL only
-    records whose text begins with an object; :func:`prefilter_flags_decoded` has all of them."""
-    rows = table(spark, sf_dir, "raw_artifacts").filter("source = 'galleryhub' AND left(source_meta, 1) = '{'")
-    return _flags(rows)
-
-
-def _flags(rows: DataFrame) -> DataFrame:
-    meta = rows.select("source_artifact_id", F.try_parse_json("source_meta").alias("v")).filter("v IS NOT NULL")
-    flags = meta.select(
-        "source_artifact_id", F.try_variant_get("v", "$.hasMeta", "boolean").alias("has_meta"), F.try_variant_get("v", "$.toolIds", "array<int>").alias("tools")
-    )
-    return flags.groupBy("source_artifact_id").agg(
-        F.bool_or(F.coalesce("has_meta", F.lit(False))).alias("has_meta"), F.bool_or(listing.wanted(F.col("tools"), F.col("has_meta"), "tagged")).alias("marked")
-    )
-
-
 def _listing_fields(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [decode_object(meta) for meta in batch.column(1).to_pylist()]
@@ -526,12 +505,27 @@ def _listing_fields(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["source_artifact_id", "source_meta"])
 
 
-@query()
-def prefilter_flags_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flags of :func:`prefilter_flags` from every readable record, also those whose JSON is
-    encoded twice or has leading blanks."""
+@query(r"""
+WITH once AS (
+  SELECT source_artifact_id,
+    CASE WHEN json_valid(source_meta) THEN CASE WHEN json_type(source_meta) = 'VARCHAR' THEN json_extract_string(source_meta, '$') ELSE source_meta END END AS meta
+  FROM raw_artifacts WHERE source = 'galleryhub'
+)
+SELECT source_artifact_id, bool_or(coalesce(try_cast(json_extract(meta, '$.hasMeta') AS BOOLEAN), false)) AS has_meta,
+  bool_or(list_contains(coalesce(try_cast(json_extract(meta, '$.toolIds') AS BIGINT[]), []), 86)) AS marked
+FROM once WHERE json_valid(meta) AND json_type(meta) = 'OBJECT' GROUP BY 1""")
+def prefilter_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Why an item is wanted (P2, P3), from the listing kept with each capture: every readable record,
+    also those whose JSON is encoded twice or has leading blanks."""
     rows = table(spark, sf_dir, "raw_artifacts").filter("source = 'galleryhub' AND source_meta IS NOT NULL").select("source_artifact_id", "source_meta")
-    return _flags(rows.mapInArrow(_listing_fields, "source_artifact_id string, source_meta string"))
+    meta = rows.mapInArrow(_listing_fields, "source_artifact_id string, source_meta string")
+    meta = meta.select("source_artifact_id", F.try_parse_json("source_meta").alias("v")).filter("v IS NOT NULL")
+    flags = meta.select(
+        "source_artifact_id", F.try_variant_get("v", "$.hasMeta", "boolean").alias("has_meta"), F.try_variant_get("v", "$.toolIds", "array<int>").alias("tools")
+    )
+    return flags.groupBy("source_artifact_id").agg(
+        F.bool_or(F.coalesce("has_meta", F.lit(False))).alias("has_meta"), F.bool_or(listing.wanted(F.col("tools"), F.col("has_meta"), "tagged")).alias("marked")
+    )
 
 
 @query(r"""
