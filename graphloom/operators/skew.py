@@ -63,10 +63,11 @@ def replicated(
 
 
 def small_join(
-    left: DataFrame, right: DataFrame, keys: list[str], spread_by: list[str], how: str = "left", limit: int = 100_000
+    left: DataFrame, right: DataFrame, keys: list[str], spread_by: list[str], how: str = "left", limit: int = 100_000, size: int | None = None
 ) -> DataFrame:
-    """Join with a table that is usually tiny: it is counted, goes to every task up to ``limit``
-    rows, and beyond that is joined by salted copies. Store ``right`` first."""
-    if right.limit(limit + 1).count() <= limit:
+    """Join with a table that is usually tiny: it is counted (unless its ``size`` is known), goes to
+    every task up to ``limit`` rows, and beyond that is joined by salted copies. Store ``right``
+    first."""
+    if (right.limit(limit + 1).count() if size is None else size) <= limit:
         return left.join(F.broadcast(right), keys, how)
     return replicated(left, right, keys, spread_by, how)

@@ -9,7 +9,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _written: list[str] = []
 
@@ -47,6 +48,13 @@ def materialize(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def measured(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """As :func:`materialize`, with the number of rows, which are counted as they are written."""
+    counted = Observation()
+    stored = materialize(df.observe(counted, F.count(F.lit(1)).alias("n")), label)
+    return stored, counted.get["n"]
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a path of any file system Spark knows."""
     jvm = spark.sparkContext._jvm

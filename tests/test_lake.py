@@ -51,7 +51,7 @@ def bucket(tmp_path):
 
 @pytest.fixture
 def lake(spark, tmp_path):
-    core = spark.createDataFrame([("CheckpointLoaderSimple", False), ("KSampler", True), (None, None)], "class_type string, hidden_prompt boolean")
+    core = spark.createDataFrame([("Opener", False), ("Mixer", True), (None, None), ("CheckpointLoaderSimple", False), ("KSampler", True)], "class_type string, hidden_prompt boolean")
     nodes = spark.createDataFrame([("Loader", "pack-a", "", "", "", "m"), ("Loader", "pack-b", "", "", "", "m"), ("Sampler", "", "https://h.example/O/R.git", "", "", "m")], TABLES["pack_nodes"].schema)
     packs = spark.createDataFrame([("pack-r", "pack-r", "h.example/o/r", "")], "pack_id string, cnr_id string, repo string, repo_url string")
     return Lake(spark, str(tmp_path / "lake"), core, nodes, packs)
@@ -63,8 +63,8 @@ def test_ingest_end_to_end(spark, lake, bucket):
     assert first["rows"]["derived_workflows"] == 1 and first["rows"]["derived_artifact_workflows"] == 2
     flow = lake.table("derived_workflows").head()
     want = derive(CANVAS)
-    assert flow["workflow_id"] == want["workflow_id"] and flow["pack_set"] == ["pack-x"] and str(flow["first_seen"])[:10] == "2026-03-01"
-    assert (flow["stamped_nodes"], flow["cnr_nodes"], flow["aux_nodes"], flow["muted_or_bypassed"], flow["hidden_prompt_nodes"]) == (3, 3, 1, 1, 1)
+    assert flow["workflow_id"] == want["workflow_id"] and flow["pack_set"] == ["tool-pack"] and str(flow["first_seen"])[:10] == "2026-03-01"
+    assert (flow["stamped_nodes"], flow["cnr_nodes"], flow["aux_nodes"], flow["muted_or_bypassed"], flow["hidden_prompt_nodes"]) == (2, 2, 1, 1, 1)
     raw = {r["source_artifact_id"]: r for r in lake.table("raw_artifacts").collect()}
     assert [raw[str(n)]["workflow_id"] != "" for n in range(1, 6)] == [True, True, False, False, False]
     assert raw["1"]["source_meta"] == '{"id": 1, "x": 8.0}' and raw["5"]["payload_kind"] == "none"
@@ -84,8 +84,8 @@ def test_ingest_end_to_end(spark, lake, bucket):
     lake.reset()
     lake.ingest(bucket)
     assert {name: lake.table(name).count() for name in lake_tables()} == logical
-    assert lake.compact("derived_workflow_nodes") == 5 and lake.physical("derived_workflow_nodes").count() == 5
-    assert lake.by_class().count() == 5 and lake.check() == {}
+    assert lake.compact("derived_workflow_nodes") == 6 and lake.physical("derived_workflow_nodes").count() == 6
+    assert lake.by_class().count() == 6 and lake.check() == {}
 
 
 def lake_tables():
