@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from graphloom.operators.skew import replicated
-from graphloom.sources.shared import exists, materialize
+from graphloom.operators.skew import small_join
+from graphloom.sources.shared import exists, materialize, measured
 
 #: Least bytes of a chunk, zero bits that end one, most bytes: for digests, and for texts by kind.
 LEAST, MASK_BITS, MOST = 8, 4, 256
@@ -32,7 +32,7 @@ KEY = ["kind", "value_id"]
 CHUNKS = "kind string, value_id binary, record string, batch_no int, chunk binary, chunk_bytes int, value_bytes int"
 STORED = "chunk binary, kind string, value_id binary, record string, chunk_bytes int, value_bytes int, batch_no int, bucket int"
 MATCHES = "kind string, value_id binary, held_id binary, held_record string, held_batch int, shared_bytes bigint, value_bytes int"
-#: Chunks of a batch up to which their hashes go to every task that reads the table.
+#: Chunks of a batch, or held values, up to which they go to every task that reads the table.
 BROADCAST_CHUNKS = 500_000
 
 #: Random 32-bit words by byte value, from a fixed seed.
@@ -112,6 +112,12 @@ def chunked(values: DataFrame) -> DataFrame:
     return values.select("kind", "value_id", "record", "batch_no", "value").mapInArrow(_chunk, CHUNKS)
 
 
+def _only(stored: DataFrame, keys: DataFrame, key: str, size: int) -> DataFrame:
+    """Stored rows with one of the distinct keys; up to BROADCAST_CHUNKS of these go to every task, so that
+    nothing of the table is sent but what is wanted. ``size`` is not under their number."""
+    return stored.join(F.broadcast(keys) if size <= BROADCAST_CHUNKS else keys, key, "left_semi")
+
+
 class ChunkHistory:
     """The stored chunk table at a path. ``buckets`` must stay the same over its life; choose it so
     that a bucket of all history is some hundred megabytes."""
@@ -122,45 +128,49 @@ class ChunkHistory:
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64("chunk"), F.lit(self.buckets)).cast("int")
 
-    def _hits(self, batch_no: int, chunks: DataFrame) -> DataFrame | None:
-        """Stored rows of earlier batches whose chunk the batch has; None if nothing is stored."""
+    def _touched(self, batch_no: int, chunks: DataFrame) -> tuple[DataFrame | None, int]:
+        """Stored rows of earlier batches in the buckets that the batch has chunks in, None if nothing is
+        stored, and how many different chunks the batch has."""
         if not exists(self.spark, self.path):
-            return None
-        mine = chunks.select("chunk", self._bucket().alias("bucket")).distinct()
-        counts = {r["bucket"]: r["n"] for r in mine.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `buckets` rows
-        stored = self.spark.read.schema(STORED).parquet(self.path).filter(F.col("bucket").isin(list(counts)) & (F.col("batch_no") < batch_no))
-        few = sum(counts.values()) <= BROADCAST_CHUNKS
-        found = stored.join(F.broadcast(mine) if few else mine, ["bucket", "chunk"], "left_semi")
-        return found.select(
-            "chunk", F.col("kind").alias("held_kind"), F.col("value_id").alias("held_id"), F.col("record").alias("held_record"),
-            F.col("batch_no").alias("held_batch"), F.col("chunk_bytes").alias("held_bytes"), F.col("value_bytes").alias("held_total"),
-        )
+            return None, 0
+        mine = chunks.select("chunk", self._bucket().alias("bucket")).distinct().groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+        counts = {r["bucket"]: r["n"] for r in mine.collect()}  # at most `buckets` rows
+        stored = self.spark.read.schema(STORED).parquet(self.path)
+        return stored.filter(F.col("bucket").isin(list(counts)) & (F.col("batch_no") < batch_no)).select(
+            "chunk", F.col("value_id").alias("held_id"), F.col("record").alias("held_record"), F.col("batch_no").alias("held_batch"),
+            F.col("chunk_bytes").alias("held_bytes"), F.col("value_bytes").alias("held_total"),
+        ), sum(counts.values())
 
     def matches(self, batch_no: int, chunks: DataFrame, threshold: float = 1.0) -> DataFrame:
         """Rows of MATCHES: each value of the batch and held value of an earlier batch that covers it
         by at least ``threshold``. ``chunks`` (of this batch) should be stored.
 
         A value that covers so much must hold one of any chunks that together have more than the
-        bytes that may be missing; so only the rarest chunks of each value look for candidates,
-        and boilerplate does not."""
-        hits = self._hits(batch_no, chunks)
-        if hits is None:
+        bytes that may be missing. So it is first counted how many values hold each chunk; the rarest
+        chunks of each value then look for candidates, and boilerplate never does; and only for those
+        candidates all chunks are compared. The table is read three times and filtered as it is read."""
+        stored, n_chunks = self._touched(batch_no, chunks)
+        if stored is None:
             return self.spark.createDataFrame([], MATCHES)
-        hits = materialize(hits, "hits")
-        holders = hits.groupBy("chunk").agg(F.count(F.lit(1)).alias("holders"))
-        known = replicated(chunks, holders, ["chunk"], ["value_id"], "left").withColumn("holders", F.coalesce("holders", F.lit(0)))
+        own = chunks.select(*KEY, "chunk", "chunk_bytes", "value_bytes")
+        holders = _only(stored, own.select("chunk").distinct(), "chunk", n_chunks).groupBy("chunk").agg(F.count(F.lit(1)).alias("holders"))
+        holders, n_held = measured(holders, "holders")
+        known = small_join(own, holders, ["chunk"], ["value_id"], limit=BROADCAST_CHUNKS, size=n_held).withColumn("holders", F.coalesce("holders", F.lit(0)))
         rarest = Window.partitionBy(*KEY).orderBy("holders", "chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         before = F.sum("chunk_bytes").over(rarest) - F.col("chunk_bytes")
         probes = known.withColumn("before", before).filter((F.col("before") <= F.lit(1 - threshold + 1e-9) * F.col("value_bytes")) & (F.col("holders") > 0))
+        probes, n_probes = measured(probes.select(*KEY, "chunk", "value_bytes"), "probes")
         candidates = (
-            replicated(hits, probes.select(*KEY, "chunk", "value_bytes"), ["chunk"], ["held_id"])
+            small_join(stored, probes, ["chunk"], ["held_id"], "inner", BROADCAST_CHUNKS, n_probes)
             .filter(F.col("held_total") >= F.lit(threshold - 1e-9) * F.col("value_bytes"))
             .select(*KEY, "held_id").distinct()
         )
+        candidates, n_candidates = measured(candidates, "candidates")
+        held = _only(stored, candidates.select("held_id").distinct(), "held_id", n_candidates)
         shared = F.sum(F.least("chunk_bytes", "held_bytes")).alias("shared_bytes")
         return (
-            candidates.join(chunks.select(*KEY, "chunk", "chunk_bytes", "value_bytes"), KEY)
-            .join(hits, ["held_id", "chunk"])
+            candidates.join(own, KEY)
+            .join(held, ["held_id", "chunk"])
             .groupBy(*KEY, "held_id")
             .agg(shared, F.any_value("value_bytes").alias("value_bytes"), F.min("held_record").alias("held_record"), F.min("held_batch").alias("held_batch"))
             .filter(F.col("shared_bytes") >= F.lit(threshold - 1e-9) * F.col("value_bytes"))

@@ -88,11 +88,11 @@ def test_only_touched_buckets_are_read(spark):
     store.take(1, chunks.filter("batch_no = 1"))
     new = chunks.filter("batch_no = 2")
     touched = {r["b"] for r in new.select(store._bucket().alias("b")).collect()}
-    hits = store._hits(2, new)
-    read = {int(f.split("bucket=")[1].split("/")[0]) for f in hits.inputFiles() if "bucket=" in f}
-    plan = hits._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan and len(touched) < 10 and touched <= read
-    assert hits.count() >= 1 and {r["held_record"] for r in hits.collect()} == {"r0"}
+    stored, _ = store._touched(2, new)
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and len(touched) < 10
+    read = {r["b"] for r in stored.select(F.pmod(F.xxhash64("chunk"), F.lit(64)).alias("b")).collect()}
+    assert read <= touched and {r["held_record"] for r in store.matches(2, new).collect()} == {"r0"}
 
 
 def test_boilerplate_does_not_make_candidates(spark):
