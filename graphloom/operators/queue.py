@@ -29,6 +29,12 @@ def claim(queue: DataFrame, source: str, n: int, now: Column, lease_seconds: int
     return claimed, update(queue, claimed.select("source", "artifact_id", "state", "lease_until", "attempts"), ["source", "artifact_id"])
 
 
+def seconds_left(until: Column, now: Column) -> Column:
+    """Whole seconds up to a time, null for one that is past or null."""
+    left = F.unix_micros(until) - F.unix_micros(now)
+    return F.when(left > 0, F.floor(left / 1_000_000))
+
+
 def finish(queue: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Set state and error of (source, artifact_id, state, error) and end the lease."""
     done = outcomes.select("source", "artifact_id", "state", F.lit(None).cast("timestamp").alias("lease_until"), error_text("error").alias("last_error"))

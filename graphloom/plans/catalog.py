@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from graphloom.functions.graph import CANVAS_CLASSES, derive
 from graphloom.functions.jsontext import decode_object
-from graphloom.functions.text import blob_key, host, normal_repo, seconds_text
+from graphloom.functions.text import blob_key, error_text, host, manifest_key, normal_repo, seconds_text, total_size
 from graphloom.operators import attribution, health, listing, queue
 from graphloom.operators.shred import graphs
 from graphloom.operators.state import absent, forget, latest, update, upsert
@@ -495,6 +495,56 @@ def consumed_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed.join(consumed.distinct(), "manifest_key", "left_anti")
 
 
+@query(QUEUE_SQL + f"""
+SELECT artifact_id, date_diff('second', {NOW_SQL}, lease_until) AS seconds_left FROM q WHERE lease_until > {NOW_SQL}""")
+def lease_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seconds until a lease runs out, of those that have not."""
+    rows = _orders_queue(spark, sf_dir).select("artifact_id", queue.seconds_left(F.col("lease_until"), _now()).alias("seconds_left"))
+    return rows.filter("seconds_left IS NOT NULL")
+
+
+@query(QUEUE_SQL + f"""
+, claimed AS (SELECT artifact_id, row_number() OVER (ORDER BY priority DESC, published_at DESC NULLS LAST, artifact_id) AS n FROM q WHERE state = 'pending' OR (state = 'leased' AND lease_until < {NOW_SQL}))
+SELECT artifact_id FROM claimed WHERE n <= 500 AND (n > 400 OR artifact_id LIKE '%7')""")
+def leases_to_return(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leases given back at the end of a run (E3): of five hundred claimed the last hundred were not
+    processed, and of the others those whose id ends in 7 were without a stored record."""
+    claimed, _ = queue.claim(_orders_queue(spark, sf_dir), "orders", 500, _now())
+    claimed = materialize(claimed, "claimed")
+    done = claimed.orderBy(F.desc("priority"), F.desc_nulls_last("published_at"), "artifact_id").limit(400)
+    undurable = done.filter(F.col("artifact_id").endswith("7"))
+    return queue.unprocessed(claimed, done, undurable.select("source", "artifact_id")).select("artifact_id")
+
+
+@query("""
+SELECT doc_id FROM documents WHERE posted_at < TIMESTAMPTZ '2026-06-01 00:00:00+00' ORDER BY posted_at, doc_id::VARCHAR LIMIT 100""")
+def gc_oldest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hundred that ran out first (T3, R15): a garbage run takes so many. Stand-in: documents posted
+    before a date as blobs."""
+    blobs = table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("sha256"), F.col("posted_at").alias("expires_at"))
+    return queue.expired(blobs, F.timestamp_seconds(F.lit(1780272000)), 100).select("doc_id")
+
+
+@query("""
+WITH a AS (
+  SELECT source, source_artifact_id, bool_or(channel LIKE 'bytes%' AND payload_kind IN ('workflow', 'prompt')) AS b, bool_or(channel = 'api' AND payload_kind IN ('workflow', 'prompt')) AS p
+  FROM raw_artifacts GROUP BY 1, 2
+)
+SELECT source, count(*) AS artifacts, count(*) FILTER (WHERE b) AS from_bytes, count(*) FILTER (WHERE p) AS from_api, count(*) FILTER (WHERE b OR p) AS from_either FROM a GROUP BY 1""")
+def channel_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each channel gives and both together (E5): artifacts with a graph by channel."""
+    rows = table(spark, sf_dir, "raw_artifacts")
+    graph = F.col("payload_kind").isin("workflow", "prompt")
+    keys = ["source", "source_artifact_id"]
+    of = lambda wanted, name: rows.filter(wanted & graph).select(*keys, F.lit(name).alias("way"))
+    union = of(F.col("channel").startswith("bytes"), "bytes").unionByName(of(F.col("channel") == "api", "api"))
+    every = rows.select(*keys, F.lit("none").alias("way"))
+    ways = every.unionByName(union).groupBy(*keys).agg(F.bool_or(F.col("way") == "bytes").alias("b"), F.bool_or(F.col("way") == "api").alias("p"))
+    return ways.groupBy("source").agg(
+        F.count(F.lit(1)).alias("artifacts"), F.count_if("b").alias("from_bytes"), F.count_if("p").alias("from_api"), F.count_if(F.col("b") | F.col("p")).alias("from_either")
+    )
+
+
 # --- listing items ------------------------------------------------------------------------
 
 
@@ -528,6 +578,45 @@ def prefilter_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+SELECT capture_id, manifest_key, crawled_at, payload_sha256, url FROM (
+  SELECT *, CASE WHEN coalesce(u, '') = '' THEN NULL WHEN u LIKE 'http%' THEN u ELSE 'https://files.example/' || u || '/original=true/' || coalesce(title, u || '.png') || '' END AS url
+  FROM (SELECT *, CASE WHEN channel = 'api' THEN left(payload_sha256, 12) ELSE fetch_url END AS u FROM raw_artifacts))""")
+def listing_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses of files (P5): full ones stay, bare ids are put into the template with their name.
+    Stand-in: digests of the second channel as ids, titles as names."""
+    rows = table(spark, sf_dir, "raw_artifacts")
+    given = F.when(F.col("channel") == "api", F.left("payload_sha256", F.lit(12))).otherwise(F.col("fetch_url"))
+    return rows.select(
+        "capture_id", "manifest_key", "crawled_at", "payload_sha256", listing.absolute_url(given, F.col("title"), "https://files.example/{id}/original=true/{name}").alias("url")
+    )
+
+
+@query("""
+SELECT run_id, source, 'raw/' || source || '/' || strftime(landed_at, '%Y-%m') || '/' || run_id || '-' || lpad(n::VARCHAR, 4, '0') || '.jsonl.gz' AS manifest_key
+FROM (SELECT DISTINCT r.run_id, m.source, m.landed_at, r.run_seq * 7 AS n FROM ingest_manifest m JOIN ingest_run r ON date_trunc('day', m.landed_at) = date_trunc('day', r.started_at))""")
+def manifest_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of manifests (F6). Stand-in: runs with the manifests that landed on their day."""
+    runs = table(spark, sf_dir, "ingest_run").select("run_id", (F.col("run_seq") * 7).alias("n"), F.to_date("started_at").alias("day"))
+    landed = table(spark, sf_dir, "ingest_manifest").select("source", "landed_at", F.to_date("landed_at").alias("day"))
+    rows = landed.join(runs, "day").select("run_id", "source", "landed_at", "n").distinct()
+    return rows.select("run_id", "source", manifest_key("source", "landed_at", "run_id", "n").alias("manifest_key"))
+
+
+@query("""
+SELECT capture_id, manifest_key, crawled_at, coalesce(CASE WHEN http_status = 206 THEN total_size WHEN http_status = 200 THEN bytes_fetched END, -1) AS size,
+  nullif(left(coalesce(title, ''), 500), '') AS error FROM raw_artifacts""")
+def answer_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes out of response headers and errors as they are kept (F15, F20). Stand-in: headers written
+    from the sizes of captures, titles as errors."""
+    rows = table(spark, sf_dir, "raw_artifacts")
+    ranged = F.when((F.col("http_status") == 206) & F.col("total_size").isNotNull(), F.concat(F.lit("bytes 0-99/"), F.col("total_size").cast("string")))
+    return rows.select(
+        "capture_id", "manifest_key", "crawled_at", F.coalesce(total_size(ranged, F.col("bytes_fetched").cast("string"), "http_status"), F.lit(-1)).cast("long").alias("size"),
+        error_text(F.coalesce("title", F.lit(""))).alias("error"),
+    )
+
+
 @query(r"""
 SELECT capture_id, manifest_key, crawled_at, map_keys(stats) IS NOT NULL AS has_stats, list_sort(map_keys(stats))::VARCHAR AS names,
   CAST(list_sum(map_values(stats)) AS BIGINT) AS total FROM raw_artifacts WHERE stats IS NOT NULL AND cardinality(stats) > 0""")
