@@ -7,24 +7,24 @@ is additive, so that of a run is that of the run before plus what arrived. A run
 partitions whose fingerprint is not the stored one and no other. It writes in this order: what is
 new or changed, in a folder of the run; the changed partitions, each replaced as a whole by
 dynamic partition overwrite; the fingerprints. A run that dies at any place is run again: the
-list of changes is taken as it is if it is complete, replacing a partition twice gives the same,
-and fingerprints come last. So nothing is skipped and nothing appears twice.
+list of changes is taken as it is if it is complete, and fingerprints come last. One that died while
+it replaced partitions has left a note, and its partitions are built anew from all their rows. So
+nothing is skipped and nothing appears twice.
 """
 
 from __future__ import annotations
 
-import decimal
+import json
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from graphloom.operators.skew import small_join
-from graphloom.sources.shared import complete_folders, exists, materialize
+from graphloom.sources.shared import complete_folders, exists, materialize, read_text, remove, write_text
 
 VERSIONS = "record_key string, version string, content string, part string, run_seq int"
 LATEST = "record_key string, version string, content string, part string"
 CHANGES = "record_key string"
-FINGERPRINTS = "part string, n bigint, hash_sum decimal(38,0)"
 #: Pairs of partition and run whose sums come to the driver at once.
 MOST_SUMS = 1_000_000
 #: Records of one run up to which their keys go to every task that reads the store.
@@ -90,13 +90,11 @@ class ChangeStore:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _fingerprints(self) -> dict[str, tuple[int, int]]:
-        """The last stored fingerprint of each partition."""
-        runs = complete_folders(self.spark, f"{self.path}/fingerprints")
-        if not runs:
-            return {}
-        stored = self.spark.read.schema(FINGERPRINTS).parquet(f"{self.path}/fingerprints/{runs[-1]}")
-        return {r["part"]: (r["n"], int(r["hash_sum"])) for r in stored.collect()}  # one row a partition
+    def fingerprints(self) -> tuple[int, dict[str, tuple[int, int]]]:
+        """The number of the last run that ended, 0 for none, and its fingerprint of each partition."""
+        text = read_text(self.spark, f"{self.path}/fingerprints.json")
+        held = json.loads(text) if text is not None else {"run": 0, "parts": {}}
+        return held["run"], {p: (n, h) for p, (n, h) in held["parts"].items()}
 
     def _latest(self) -> DataFrame:
         at = f"{self.path}/latest"
@@ -112,9 +110,11 @@ class ChangeStore:
         what arrived for it, ``expected`` those without. Of a partition whose stored fingerprint is
         not the expected one (rows came to an older file) all rows are read again. Returns the
         partitions that were worked on."""
-        stored = self._fingerprints()
+        _, stored = self.fingerprints()
         changed = sorted(p for p, mark in now.items() if stored.get(p) != mark)
-        stale = [p for p in changed if stored.get(p) != expected.get(p)]
+        note = f"{self.path}/replacing-{number:09d}"
+        broken = read_text(self.spark, note) is not None
+        stale = changed if broken else [p for p in changed if stored.get(p) != expected.get(p)]
         if changed:
             wanted = F.col("part").isin(changed) & (F.col("run_seq") == runs[-1])
             if stale:
@@ -123,9 +123,11 @@ class ChangeStore:
             if self._changes(number).rsplit("/", 1)[1] not in complete_folders(self.spark, f"{self.path}/changes"):
                 came = sum(mark[0] - expected.get(p, (0, 0))[0] for p, mark in now.items()) if not stale else BROADCAST_KEYS + 1
                 self._write_changes(number, arrived, held, came <= BROADCAST_KEYS)
-            self._replace(arrived, held, changed)
-        rows = [(p, n, decimal.Decimal(h)) for p, (n, h) in sorted(now.items())]
-        self.spark.createDataFrame(rows, FINGERPRINTS).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/fingerprints/run-{number:09d}")
+            write_text(self.spark, note, "")
+            self._replace(arrived, held.filter(~F.col("part").isin(stale)) if stale else held, changed)
+        write_text(self.spark, f"{self.path}/fingerprints.json", json.dumps({"run": number, "parts": now}))
+        if changed:
+            remove(self.spark, note)
         return changed
 
     def _write_changes(self, number: int, arrived: DataFrame, held: DataFrame, few: bool) -> None:
@@ -145,8 +147,7 @@ class ChangeStore:
             .groupBy("record_key", "part").agg(F.max(F.struct("version", "content")).alias("best"))
             .select("record_key", "best.version", "best.content", "part")
         )
-        # read before it is overwritten: the rows go through a table of their own
-        merged = materialize(merged, "merged")
+        # new files are written beside those that are read, and take their place when all are there
         merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(f"{self.path}/latest")
 
     def changes(self, numbers: dict[int, int]) -> DataFrame:
@@ -175,13 +176,13 @@ def catch_up(spark: SparkSession, path: str, staged: DataFrame, order: list[int]
         raise ValueError(f"more than {MOST_SUMS} partitions and runs at once; catch up in parts")
     numbers = {place: run for place, run in enumerate(order, 1)}
     sums: dict[str, tuple[int, int]] = {}
-    done = complete_folders(spark, f"{store.path}/fingerprints")
+    done, _ = store.fingerprints()
     for number, run in numbers.items():
         expected = dict(sums)
         for r in each:
             if r["run_seq"] == run:
                 n, h = sums.get(r["part"], (0, 0))
                 sums[r["part"]] = (n + r["n"], h + int(r["hash_sum"]))
-        if f"run-{number:09d}" not in done:
+        if number > done:
             store.apply(number, staged, order[:number], expected, sums)
     return store.changes(numbers)

@@ -79,6 +79,33 @@ def complete_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getName() for f in folders if system.exists(jvm.org.apache.hadoop.fs.Path(f, "_SUCCESS")))
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small text at a path of any file system, as a whole: under another name first."""
+    jvm = spark.sparkContext._jvm
+    target, part = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.{uuid.uuid4().hex}"))
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stream = system.create(part, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    system.delete(target, False)
+    if not system.rename(part, target):
+        raise OSError(f"{path} could not be put in its place")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text that :func:`write_text` put there; None if there is none."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    system = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(at):
+        return None
+    stream = system.open(at)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def cleanup(spark: SparkSession) -> int:
     """Delete what :func:`materialize` wrote in this process; return how many paths."""
     count = len(_written)

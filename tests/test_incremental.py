@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -59,7 +60,7 @@ def test_catch_up_equals_brute_force(spark):
         assert {tuple(r) for r in log.collect()} == brute(rows, landed, runs)
 
 
-@pytest.mark.parametrize("place", ["_write_changes", "_replace", "fingerprints"])
+@pytest.mark.parametrize("place", ["_write_changes", "_replace", "write_text", "half"])
 def test_run_by_run_with_a_failure_between(spark, monkeypatch, place):
     rows, landed, runs, df, manifests, run_df = case(spark, 7)
     path = scratch_path(spark, "t")
@@ -70,8 +71,16 @@ def test_run_by_run_with_a_failure_between(spark, monkeypatch, place):
     for upto in (5, 8):
         first = run_df.filter(F.col("run_seq") <= upto)
         with monkeypatch.context() as broken:  # dies before this step, or before the fingerprints
-            if place == "fingerprints":
-                broken.setattr(type(df), "coalesce", lost)
+            if place == "write_text":
+                put = incremental.write_text
+                broken.setattr(incremental, "write_text", lambda s, p, t: lost() if p.endswith("json") else put(s, p, t))
+            elif place == "half":  # the old partitions are gone, the new ones not yet in place
+                def half(store, arrived, held, changed):
+                    for part in changed:
+                        shutil.rmtree(f"{store.path}/latest/part={part}", ignore_errors=True)
+                    lost()
+
+                broken.setattr(incremental.ChangeStore, "_replace", half)
             else:
                 broken.setattr(incremental.ChangeStore, place, lost)
             with pytest.raises(RuntimeError):
