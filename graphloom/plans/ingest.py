@@ -19,6 +19,7 @@ from pyspark.sql.types import StructType
 from graphloom.functions.graph import derive
 from graphloom.functions.text import seconds_text
 from graphloom.operators import attribution
+from graphloom.operators.skew import lookup
 from graphloom.operators.state import drifted, latest
 from graphloom.schemas import DERIVED, INGEST_VERSION, TABLES
 from graphloom.sources import manifests as store
@@ -67,6 +68,13 @@ def carried_rows(lines: DataFrame) -> DataFrame:
     return lines.withColumn("payload_sha256", F.explode(own)).drop("documents")
 
 
+def _weighted(right: DataFrame, left: DataFrame, key: str) -> DataFrame:
+    """``right``, unique by key, with ``_n``, how many rows of ``left`` have it; stored. One document may be
+    what a third of all lines carry."""
+    counts = left.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return materialize(right.join(counts, key), "weighted")
+
+
 def raw_rows(lines: DataFrame, derived: DataFrame) -> DataFrame:
     """Rows of raw_artifacts, one a line, with defaults in place of nulls and the workflow of the
     payload, '' if there is none; of several documents of a line the first."""
@@ -75,8 +83,9 @@ def raw_rows(lines: DataFrame, derived: DataFrame) -> DataFrame:
     else:
         lines = lines.withColumn("payload_ref", F.col("payload_sha256"))
     at = lambda c: F.try_to_timestamp(seconds_text(c), F.lit("yyyy-MM-dd HH:mm:ss"))
+    lines = lines.withColumn("_sha", F.when(F.col("payload_kind").isin("workflow", "prompt"), F.col("payload_sha256")))
     known = derived.filter("format <> 'unknown'").select(F.col("sha256").alias("_sha"), F.col("workflow_id").alias("_workflow"))
-    joined = lines.join(known, (F.col("payload_sha256") == F.col("_sha")) & F.col("payload_kind").isin("workflow", "prompt"), "left")
+    joined = lookup(lines, _weighted(known, lines, "_sha"), ["_sha"], "_n", ["capture_id", "line"], "left")
     text = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
     number = lambda c, t: F.coalesce(F.col(c), F.lit(0)).cast(t).alias(c)
     return joined.select(
@@ -101,7 +110,7 @@ def derived_tables(lines: DataFrame, derived: DataFrame, core: DataFrame, named:
         F.col("payload_sha256").alias("sha256"), "source", "source_artifact_id", "channel", "payload_kind", F.coalesce("author", F.lit("")).alias("author"),
         at("published_at").alias("published_at"), F.coalesce(at("published_at"), at("crawled_at")).alias("first_seen"), "manifest_key", "line",
     )
-    placed = sightings.join(good.select("sha256", "workflow_id"), "sha256")
+    placed = lookup(sightings, _weighted(good.select("sha256", "workflow_id"), sightings, "sha256"), ["sha256"], "_n", ["source_artifact_id", "line"])
     # the first record of a workflow, by manifest and place in it
     first = placed.groupBy("workflow_id").agg(
         F.min_by(F.struct(F.col("source").alias("first_source"), "first_seen", "manifest_key", "line"), F.struct("manifest_key", "line")).alias("f")
