@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.sources.shared import complete_folders, materialize, remove
+from graphloom.sources.shared import complete_folders, measured, remove
 
 KEY = ["field", "term", "record"]
 RECORDS = "field string, term string, record string, n bigint, presence int"
@@ -57,9 +57,8 @@ class TermStore:
         older = self._epochs(before=epoch)
         new = delta.select(*KEY, "n", F.lit(0).cast("long").alias("old"))
         if older:
-            keys = materialize(delta.select("field", "record").distinct(), "touched")
-            few = keys.limit(BROADCAST_RECORDS + 1).count() <= BROADCAST_RECORDS
-            held = self._read("records", RECORDS, older).join(F.broadcast(keys) if few else keys, ["field", "record"], "left_semi")
+            keys, n = measured(delta.select("field", "record").distinct(), "touched")
+            held = self._read("records", RECORDS, older).join(F.broadcast(keys) if n <= BROADCAST_RECORDS else keys, ["field", "record"], "left_semi")
             new = new.unionByName(held.select(*KEY, F.lit(0).cast("long").alias("n"), F.col("n").alias("old")))
         merged = new.groupBy(*KEY).agg(F.sum("n").alias("n"), F.sum("old").alias("old")).withColumn("n", F.greatest(F.col("n"), -F.col("old")))
         presence = (F.col("old") + F.col("n") > 0).cast("int") - (F.col("old") > 0).cast("int")

@@ -22,16 +22,13 @@ def pack_ids(packs: DataFrame) -> DataFrame:
 def pack_rows(workflows: DataFrame, packs: DataFrame, key: str) -> DataFrame:
     """(key, item): the distinct normalised packs of each key; elements stripped and lower-cased,
     a repository replaced by its pack_id, blanks and nulls dropped. Rows with a null key or a
-    null array give nothing.
-
-    The spellings are made distinct before the join, so that a pack that a third of all rows
-    name is joined once a key and not once a row.
-    """
+    null array give nothing. The packs are few and go to every task, so rows are sent once, after
+    each task has made its own distinct."""
     spelled = (
         workflows.filter(F.col(key).isNotNull())
         .select(key, F.explode("pack_set").alias("raw"))
         .select(key, F.lower(strip("raw")).alias("repo"))
-        .filter(F.col("repo") != "").distinct()
+        .filter(F.col("repo") != "")
     )
     return (
         small_join(spelled, materialize(pack_ids(packs), "pack-ids"), ["repo"], [key])
