@@ -133,11 +133,12 @@ class ChangeStore:
     def _write_changes(self, number: int, arrived: DataFrame, held: DataFrame, few: bool) -> None:
         """Records that are new, or whose latest version has another content than before. ``few``: there
         are at most BROADCAST_KEYS of them, by the sums."""
-        came = arrived.groupBy("record_key").agg(F.max(F.struct("version", "content")).alias("came"))
         keys = arrived.select("record_key").distinct()
         known = held.join(F.broadcast(keys) if few else keys, "record_key", "left_semi")
-        known = known.groupBy("record_key").agg(F.max(F.struct("version", "content")).alias("held"))
-        both = came.join(known, "record_key", "left")
+        # both sides in one aggregate: each record is sent once from each task
+        best, none = F.struct("version", "content"), F.lit(None).cast("struct<version: string, content: string>")
+        both = arrived.select("record_key", best.alias("came"), none.alias("held")).unionByName(known.select("record_key", none.alias("came"), best.alias("held")))
+        both = both.groupBy("record_key").agg(F.max("came").alias("came"), F.max("held").alias("held"))
         newer = F.col("held").isNull() | ((F.col("came") > F.col("held")) & ~F.col("came.content").eqNullSafe(F.col("held.content")))
         both.filter(newer).select("record_key").write.mode("overwrite").parquet(self._changes(number))
 
