@@ -20,8 +20,8 @@ from __future__ import annotations
 import hashlib
 import itertools
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections import ChainMap, Counter
+from collections.abc import Collection, Iterator, Mapping
 from functools import lru_cache
 from typing import Any, NamedTuple
 
@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.functions.jsontext import clean, decode, decode_object, plain
+from graphloom.operators.skew import lookup
+from graphloom.sources.shared import materialize, measured
 
 EDGES = "parent string, child string, records bigint, occurrences bigint, repeated boolean"
 #: Columns of every row: the table it belongs to and its key, the row it stands in, its key in a map,
@@ -37,8 +39,8 @@ EDGES = "parent string, child string, records bigint, occurrences bigint, repeat
 KEYS = (
     "table_name", "capture_id", "row_id", "parent_table", "parent_id", "entry_key", "graph", "graph_id", "parent_subgraph_id", "subgraph_id",
 )
-#: Pairs of types that a layout is made of, the most frequent ones; a type beyond is inlined, with
-#: its place in the name of its fields.
+#: Pairs of types up to which the driver makes the layout and tasks have all of it. Of more pairs it is
+#: made by joins; this many types, the most frequent, are then sent to tasks, the others joined.
 LAYOUT_EDGES = 20_000
 GRAPH_KINDS = {"save_graph": "workflow", "api_graph": "prompt"}
 #: Elements that are no graph by themselves, whatever they hold.
@@ -192,6 +194,25 @@ def graphs(record: dict) -> Iterator[tuple[str, str, dict]]:
 # --- the schema graph and the layout --------------------------------------------------------
 
 
+class Layout(dict):
+    """For each element type the table that holds it. Beyond LAYOUT_EDGES the most frequent types are
+    here and ``everything`` is the table of all, in which a lookup of another one goes on."""
+
+    everything: DataFrame | None = None
+
+    def __missing__(self, name: str) -> str:
+        row = None if self.everything is None else self.everything.filter(F.col("element") == name).select("table_name").head()
+        if row is None:
+            raise KeyError(name)
+        return row["table_name"]
+
+    def get(self, name: str, default: Any = None) -> Any:
+        try:
+            return self[name]
+        except KeyError:
+            return default
+
+
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         records: Counter = Counter()
@@ -261,16 +282,97 @@ def layout(edges: list[tuple[str, str, bool]]) -> dict[str, str]:
     return {n: holder(n) for n in sorted(names)}
 
 
-def measured_layout(raw: DataFrame) -> dict[str, str]:
-    """The layout of all records. The catalogue of types comes to the driver, LAYOUT_EDGES at most."""
-    edges = schema_graph(raw).orderBy(F.desc("occurrences"), "parent", "child").limit(LAYOUT_EDGES).collect()
-    return layout([(r["parent"], r["child"], bool(r["repeated"])) for r in edges])
+def _batch(rows: Collection[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
+
+
+def _ways(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (type, least length) the types on the way to it that are as long as that, and itself, as digests."""
+    schema = pa.schema([("key", pa.binary()), ("way", pa.binary()), ("length", pa.int32())])
+    for batch in batches:
+        rows: list[tuple[bytes, bytes, int]] = []
+        for name, least in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            key, way, at = hashlib.md5(name.encode()).digest(), hashlib.md5(), 0
+            for end in [*(m.start() for m in _NAMES.finditer(name)), len(name)]:
+                way.update(name[at:end].encode())
+                at = end
+                if end >= least:
+                    rows.append((key, way.digest(), end))
+            if len(rows) > 100_000:
+                yield _batch(rows, schema)
+                rows = []
+        if rows:
+            yield _batch(rows, schema)
+
+
+def joined_layout(edges: DataFrame) -> DataFrame:
+    """What :func:`layout` gives, for any number of edges: (element, table_name, inlined, parents,
+    occurrences), made by joins. A type with a dot in its name stands in the type before its last
+    name, and else only in types below itself or itself; the few without a dot are the roots of all
+    names. So a circle goes back to a type on the way to another, or through roots, and what is on
+    it are types on the ways to the parents where it closes."""
+    dotted = lambda c: F.instr(c, ".") > 0
+    root = lambda c: F.substring_index(c, ".", 1)
+    inner = edges.filter("parent <> ''")
+    across = inner.filter(~dotted("child")).withColumn("step", F.concat(root("parent"), F.lit(" "), "child"))
+    steps = {tuple(r["step"].split(" ")) for r in across.select("step").distinct().collect()}  # pairs of roots
+    reach = {n: {n} for step in steps for n in step}
+    while any(not reach[b] <= reach[a] for a, b in steps):
+        for a, b in steps:
+            reach[a] |= reach[b]
+    closing = [f"{a} {b}" for a, b in steps if a in reach[b]]
+    back = inner.filter(dotted("child") & (F.length("child") <= F.length("parent"))).select("parent", F.length("child").alias("least"))
+    circles = back.unionByName(across.filter(F.col("step").isin(closing)).select("parent", F.lit(0).alias("least")))
+    ways = "key binary, way binary, length int"
+    recursive = circles.groupBy("parent").agg(F.min("least").alias("least")).mapInArrow(_ways, ways).select(F.col("way").alias("key")).distinct()
+    inside = F.col("parent") != ""
+    found = edges.groupBy(F.col("child").alias("element")).agg(
+        F.array_sort(F.collect_list(F.when(inside, F.col("parent")))).alias("parents"), F.sum("occurrences").alias("occurrences"),
+        F.coalesce(F.max(F.when(inside, F.col("repeated"))), F.lit(False)).alias("repeated"),
+    ).withColumn("key", F.unhex(F.md5("element")))
+    types = materialize(
+        found.join(recursive.withColumn("recursive", F.lit(True)), "key", "left")
+        .withColumn("own", (F.size("parents") != 1) | F.col("repeated") | F.coalesce("recursive", F.lit(False))).drop("repeated", "recursive"),
+        "types",
+    )
+    # an inlined type is held by the longest type on its way that has a table, or by what holds its root
+    inlined = types.filter(~F.col("own"))
+    roots = {r["element"]: r["parents"][0] for r in inlined.filter(~dotted("element")).select("element", "parents").collect()}
+    above = inlined.filter(dotted("element")).select("element", (F.length(root("element")) + 1).alias("least")).mapInArrow(_ways, ways)
+    near = above.join(types.filter("own").select(F.col("key").alias("way")), "way").groupBy("key").agg(F.max("length").alias("near"))
+    name = F.when(F.col("own"), F.col("element")).otherwise(F.expr("substring(element, 1, near)"))
+    held = types.join(near, "key", "left").withColumn("table_name", name)
+    known = {r["element"]: r["table_name"] for r in held.filter(F.col("element").isin(list(roots.values()))).select("element", "table_name").collect()}
+
+    def holder(name: str) -> str:
+        while name in roots:
+            parent = roots[name]
+            name = known[parent] or parent.split(".")[0]
+        return name
+
+    table = F.coalesce("table_name", *(F.when(root("element") == n, F.lit(holder(n))) for n in roots), root("element"))
+    return held.withColumn("table_name", table).select("element", "table_name", (F.col("element") != F.col("table_name")).alias("inlined"), "parents", "occurrences")
+
+
+def measured_layout(raw: DataFrame) -> Layout:
+    """The layout of all records."""
+    edges, count = measured(schema_graph(raw), "edges")
+    if count <= LAYOUT_EDGES:
+        return Layout(layout([(r["parent"], r["child"], bool(r["repeated"])) for r in edges.collect()]))
+    everything = materialize(joined_layout(edges).drop("parents"), "layout")
+    frequent = everything.orderBy(F.desc("occurrences"), "element").limit(LAYOUT_EDGES).collect()
+    held = Layout((r["element"], r["table_name"]) for r in frequent)
+    held.everything = everything
+    return held
 
 
 def describe(raw: DataFrame) -> DataFrame:
     """The schema graph with the layout that follows from it: (element, table_name, inlined, parents,
     occurrences)."""
-    edges = schema_graph(raw).orderBy(F.desc("occurrences"), "parent", "child").limit(LAYOUT_EDGES).collect()
+    stored, count = measured(schema_graph(raw), "edges")
+    if count > LAYOUT_EDGES:
+        return joined_layout(stored)
+    edges = stored.collect()
     holders = layout([(r["parent"], r["child"], bool(r["repeated"])) for r in edges])
     above: dict[str, list[str]] = {}
     counts: Counter = Counter()
@@ -284,7 +386,7 @@ def describe(raw: DataFrame) -> DataFrame:
 # --- rows -----------------------------------------------------------------------------------
 
 
-def fields(element: Element, holders: dict[str, str]) -> dict[str, str]:
+def fields(element: Element, holders: Mapping[str, str]) -> dict[str, str]:
     """The values of an element and of all that is inlined into it, by dotted path: texts as they are,
     other values as JSON, of an array what is no object. Null values have none."""
     out: dict[str, str] = {}
@@ -313,7 +415,7 @@ def fields(element: Element, holders: dict[str, str]) -> dict[str, str]:
     return out
 
 
-def pick(element: Element, path: str, holders: dict[str, str]) -> str:
+def pick(element: Element, path: str, holders: Mapping[str, str]) -> str:
     """One value of :func:`fields`, '' if there is none, without looking at the others."""
     obj, kind = element.obj, element.type
     *way, last = path.split(".")
@@ -328,9 +430,12 @@ def pick(element: Element, path: str, holders: dict[str, str]) -> str:
     return plain(obj.get(last))
 
 
-def record_rows(meta: str | None, holders: dict[str, str], wanted: dict[str, list[str] | None] | None = None) -> Iterator[tuple[str, ...]]:
+def record_rows(
+    meta: str | None, holders: Mapping[str, str], wanted: dict[str, list[str] | None] | None = None, strict: bool = False
+) -> Iterator[tuple[str, ...]]:
     """(table_name, row_id, parent_table, parent_id, entry_key, graph, graph_id, parent_subgraph_id,
-    subgraph_id, fields) of each element with a table; see :func:`shred`. None if unreadable."""
+    subgraph_id, fields) of each element with a table; see :func:`shred`. None if unreadable.
+    ``strict``: a type that the layout does not have is a LookupError."""
     record = decode_object(meta)
     if record is None:
         return
@@ -339,7 +444,9 @@ def record_rows(meta: str | None, holders: dict[str, str], wanted: dict[str, lis
     for element in elements(record):
         kind, place = element.type, element.place
         holding = above.get(element.parent_at, ("", ""))
-        if holders.get(kind) != kind:
+        if (holder := holders.get(kind)) != kind:
+            if strict and holder is None:
+                raise LookupError(kind)
             above[element.at] = holding
             continue
         above[element.at] = (kind, element.at)
@@ -353,34 +460,88 @@ def record_rows(meta: str | None, holders: dict[str, str], wanted: dict[str, lis
         )
 
 
-def shred(raw: DataFrame, holders: dict[str, str], wanted: dict[str, list[str] | None] | None = None, columns: tuple[str, ...] = KEYS) -> DataFrame:
-    """Rows of all tables of a layout, told apart by ``table_name``: ``columns`` of KEYS, and ``fields``.
-    (capture_id, row_id) is the key of a row and (capture_id, parent_id) that of the row it stands
-    in; ``wanted`` restricts the tables and, by table, the fields (None: all). Captures with a null
-    id keep a null key. Unreadable meta gives no row; equal rows of one task come once."""
+def _rows(
+    metas: DataFrame, holders: dict[str, str], wanted: dict[str, list[str] | None] | None, columns: tuple[str, ...], strict: bool = False
+) -> DataFrame:
+    """Rows of records (capture_id, source_meta, and if need be the further types that have tables);
+    ``strict`` leaves out records with a type that ``holders`` does not have."""
     order = [c for c in KEYS if c != "capture_id"]
     at = [order.index(c) for c in columns if c != "capture_id"]
     named = [c for c in columns if c != "capture_id"]
     ddl = ", ".join(["capture_id string", *(f"{c} string" for c in named), "fields map<string,string>"])
     schema = pa.schema([("capture_id", pa.string()), *((c, pa.string()) for c in named), ("fields", pa.map_(pa.string(), pa.string()))])
 
-    def batch_of(rows: dict[tuple, None]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: dict[tuple, None] = {}
-            for capture, meta in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for row in record_rows(meta, holders, wanted):
+            for capture, meta, *further in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                held = ChainMap({t: t for t in further[0]}, holders) if further else holders
+                made = record_rows(meta, held, wanted, strict)
+                if strict:
+                    try:
+                        made = iter(list(made))
+                    except LookupError:
+                        continue
+                for row in made:
                     rows[(capture, *[row[n] for n in at], row[-1])] = None
                 if len(rows) > 100_000:
-                    yield batch_of(rows)
+                    yield _batch(rows, schema)
                     rows = {}
             if rows:
-                yield batch_of(rows)
+                yield _batch(rows, schema)
+
+    return metas.mapInArrow(run, ddl).select(*columns, "fields")
+
+
+def _with_further(metas: DataFrame, common: dict[str, str], everything: DataFrame) -> DataFrame:
+    """The records with a type that is not among the common ones, and those of these types that have
+    tables: types go by record to the table of all, and back to the record by its digest."""
+    schema = pa.schema([("capture_id", pa.string()), ("source_meta", pa.string()), ("types", pa.list_(pa.string()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept: list[tuple] = []
+            for capture, meta in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                record = decode_object(meta)
+                types = {e.type for e in elements(record)}.difference(common) if record is not None else ()
+                if types:
+                    kept.append((capture, meta, sorted(types)))
+            if kept:
+                yield _batch(kept, schema)
+
+    marked = metas.mapInArrow(run, "capture_id string, source_meta string, types array<string>")
+    marked = materialize(marked.withColumn("key", F.unhex(F.md5("source_meta"))), "beyond")
+    texts = marked.groupBy("key").agg(F.first("types").alias("types"), F.count(F.lit(1)).alias("n"))
+    own = everything.filter("not inlined").select("element", F.col("element").alias("own"))
+    further = texts.select("key", "n", F.explode("types").alias("element")).join(own, "element", "left")
+    further = materialize(further.groupBy("key").agg(F.first("n").alias("n"), F.collect_list("own").alias("own")), "further")
+    return lookup(marked.drop("types"), further, ["key"], "n", ["capture_id"]).select("capture_id", "source_meta", "own")
+
 
-    made = raw.select("capture_id", "source_meta").filter(F.col("source_meta").isNotNull()).mapInArrow(run, ddl)
-    return made.select(*columns, "fields")
+def shred(raw: DataFrame, holders: dict[str, str], wanted: dict[str, list[str] | None] | None = None, columns: tuple[str, ...] = KEYS) -> DataFrame:
+    """Rows of all tables of a layout, told apart by ``table_name``: ``columns`` of KEYS, and ``fields``.
+    (capture_id, row_id) is the key of a row and (capture_id, parent_id) that of the row it stands
+    in; ``wanted`` restricts the tables and, by table, the fields (None: all). Captures with a null
+    id keep a null key. Unreadable meta gives no row; equal rows of one task come once."""
+    metas = raw.select("capture_id", "source_meta").filter(F.col("source_meta").isNotNull())
+    common, everything = dict(holders), getattr(holders, "everything", None)
+    if everything is None:
+        return _rows(metas, common, wanted, columns)
+    if wanted is not None and None not in wanted.values() and not {"parent_table", "parent_id"} & set(columns):
+        # only the wanted tables, and the types that a path of a field goes through, decide here
+        for kind in [k for w, names in wanted.items() for n in names for k in _through(w, n)] + list(wanted):
+            if (holder := holders.get(kind)) is not None:
+                common[kind] = holder
+        return _rows(metas, common, wanted, columns)
+    further = _with_further(metas, common, everything)
+    return _rows(metas, common, wanted, columns, strict=True).unionByName(_rows(further, common, wanted, columns))
+
+
+def _through(kind: str, path: str) -> Iterator[str]:
+    """The types that :func:`pick` goes through."""
+    for field in path.split(".")[:-1]:
+        kind = child_type(kind, field, True, 0)
+        yield kind
 
 
 def table(shredded: DataFrame, name: str, names: list[str]) -> DataFrame:
